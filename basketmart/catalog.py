@@ -11,6 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketmart.plans import baskets as B
+from basketmart.plans import campaigns as K
+from basketmart.plans import categories as C
+from basketmart.plans import customers as U
+from basketmart.plans import household_period as H
+from basketmart.plans import products as P
+from basketmart.plans import promotion as R
 from basketmart.plans.staging import stage_all
 from basketmart.session import ensure_checkpoint_dir, tune
 from basketmart.sources.star import star_sources
@@ -80,3 +86,243 @@ def kpi_summary(s):
         discount_amount=2,
         coupon_basket_rate=6,
     )
+
+
+# --- products and categories -----------------------------------------------------------------------------------------
+
+
+def _baskets(s):
+    return B.mart_baskets(s["transactions"])
+
+
+def _categories(s):
+    return C.mart_categories(s["transactions"], s["products"])
+
+
+def _category_periods(s):
+    return C.mart_category_period(s["transactions"], s["products"])
+
+
+def _diagnostics(s):
+    return C.mart_category_diagnostics(_categories(s), _category_periods(s))
+
+
+def _rounded_products(frame: DataFrame, **extra: int) -> DataFrame:
+    return rounded(
+        frame,
+        product_sales=2,
+        basket_penetration=6,
+        household_penetration=6,
+        discount_rate=6,
+        sales_growth=2,
+        **extra,
+    )
+
+
+@query
+def mart_products(s):
+    return _rounded_products(P.mart_products(s["transactions"], s["products"]), sales_growth_rate=6)
+
+
+@query
+def mart_products_legacy(s):
+    return _rounded_products(P.mart_products(s["transactions"], s["products"], legacy=True))
+
+
+CATEGORY_ROUNDING = {
+    "category_sales": 2,
+    "household_penetration": 6,
+    "basket_penetration": 6,
+    "discount_rate": 6,
+    "first_year_sales": 2,
+    "second_year_sales": 2,
+    "sales_growth": 2,
+}
+
+
+@query
+def mart_categories(s):
+    return rounded(_categories(s), **CATEGORY_ROUNDING, sales_growth_rate=6)
+
+
+@query
+def mart_categories_legacy(s):
+    return rounded(C.mart_categories(s["transactions"], s["products"], legacy=True), **CATEGORY_ROUNDING)
+
+
+@query
+def mart_category_period(s):
+    return rounded(_category_periods(s), sales=2)
+
+
+@query
+def mart_category_diagnostics(s):
+    return rounded(
+        _diagnostics(s),
+        **CATEGORY_ROUNDING,
+        sales_growth_rate=6,
+        mean_period_sales=6,
+        sd_period_sales=2,
+        sales_coefficient_of_variation=6,
+    )
+
+
+@query
+def category_top15(s):
+    columns = [
+        "department",
+        "commodity_desc",
+        "category_sales",
+        "household_count",
+        "household_penetration",
+        "sales_growth",
+        "sales_growth_rate",
+        "sales_coefficient_of_variation",
+        "household_engagement_change",
+        "high_sales_declining_flag",
+    ]
+    top = C.top_categories(_diagnostics(s), "category_sales", 15, 50).select(*columns)
+    return rounded(
+        top,
+        category_sales=2,
+        household_penetration=6,
+        sales_growth=2,
+        sales_growth_rate=6,
+        sales_coefficient_of_variation=6,
+    )
+
+
+@query
+def category_top10(s):
+    columns = ["commodity_desc", "category_sales", "household_penetration", "discount_rate", "sales_growth"]
+    top = C.top_categories(_categories(s), "category_sales", 10, 50).select(*columns)
+    return rounded(top, category_sales=2, household_penetration=6, discount_rate=6, sales_growth=2)
+
+
+@query
+def category_growth_leaders(s):
+    columns = ["commodity_desc", "first_year_sales", "second_year_sales", "sales_growth", "household_penetration"]
+    top = C.top_categories(_categories(s), "sales_growth", 10, 100).select(*columns)
+    return rounded(top, first_year_sales=2, second_year_sales=2, sales_growth=2, household_penetration=6)
+
+
+# --- household periods and customers ---------------------------------------------------------------------------------
+
+
+def _period_inputs(s):
+    return (_baskets(s), s["transactions"], s["products"], s["exposures"], s["campaigns"], s["redemptions"])
+
+
+def _household_period(s):
+    return H.mart_household_period(*_period_inputs(s))
+
+
+PERIOD_ROUNDING = {
+    "total_spend": 2,
+    "average_basket_value": 4,
+    "average_basket_size": 6,
+    "total_discount": 2,
+    "discount_rate": 6,
+    "prior_period_spend": 2,
+    "spend_change": 2,
+}
+
+
+@query
+def mart_household_period(s):
+    return rounded(_household_period(s), **PERIOD_ROUNDING)
+
+
+@query
+def mart_household_period_active(s):
+    return rounded(H.mart_household_period_active(*_period_inputs(s)), **PERIOD_ROUNDING)
+
+
+@query
+def customer_period_summary(s):
+    return rounded(H.customer_period_summary(_household_period(s)), retention_rate=6)
+
+
+@query
+def customer_retention_matrix(s):
+    return rounded(H.customer_retention_matrix(_household_period(s)), retention_rate=6)
+
+
+@query
+def dropped_events(s):
+    return H.dropped_events(H.household_spine(_baskets(s)), s["exposures"], s["campaigns"], s["redemptions"])
+
+
+@query
+def household_spine(s):
+    return H.household_spine(_baskets(s))
+
+
+@query
+def period_series(s):
+    return H.period_series(_baskets(s))
+
+
+@query
+def customer_segments(s):
+    return rounded(U.customer_segments(_baskets(s)), avg_spend=2, avg_baskets=2)
+
+
+@query
+def value_concentration(s):
+    return rounded(U.value_concentration(_baskets(s)), spend=2, cumulative_share=6)
+
+
+# --- campaigns, coupons and promotions -------------------------------------------------------------------------------
+
+
+def _campaigns(s):
+    return K.mart_campaigns(s["campaigns"], s["exposures"], s["redemptions"])
+
+
+@query
+def mart_campaigns(s):
+    return rounded(_campaigns(s), household_redemption_rate=6)
+
+
+@query
+def campaign_funnel_top10(s):
+    return rounded(K.campaign_funnel(_campaigns(s)), household_redemption_rate=6)
+
+
+@query
+def mart_coupon_redemptions(s):
+    return K.mart_coupon_redemptions(s["redemptions"], s["campaigns"])
+
+
+@query
+def campaign_bias_comparison(s):
+    frame = K.campaign_bias_comparison(s["transactions"], s["exposures"], s["campaigns"], s["redemptions"])
+    return rounded(
+        frame,
+        avg_pre_spend=4,
+        avg_post_spend=4,
+        avg_spend_change=4,
+        avg_pre_baskets=6,
+        avg_post_baskets=6,
+        avg_basket_change=6,
+    )
+
+
+@query
+def campaign_segment_analysis(s):
+    segments = U.household_segments(_baskets(s))
+    frame = K.campaign_segment_analysis(segments, s["exposures"], s["campaigns"], s["redemptions"])
+    return rounded(frame, redemption_rate=6)
+
+
+@query
+def campaign_prepost(s):
+    frame = K.campaign_prepost(s["transactions"], s["exposures"], s["campaigns"])
+    return rounded(frame, avg_pre_spend=2, avg_post_spend=2, avg_change=2)
+
+
+@query
+def mart_promotion_performance(s):
+    frame = R.mart_promotion_performance(s["transactions"], s["merchandising"])
+    return rounded(frame, sales=2, avg_sales_per_product_store_week=4)

@@ -171,3 +171,459 @@ FROM basket
 """,
     BASKET,
 )
+
+
+# --- products and categories -----------------------------------------------------------------------------------------
+
+TOTALS = """
+totals AS (SELECT count(DISTINCT basket_id) AS all_b, count(DISTINCT household_key) AS all_h FROM tx),
+"""
+
+PRODUCT_BODY = """
+WITH per_quarter AS (
+  SELECT product_id, quarter, sum(net_c) AS net_c FROM tx GROUP BY product_id, quarter
+),
+edges AS (SELECT {first} AS q_first, max(quarter) AS q_last FROM per_quarter),
+trend AS (
+  SELECT product_id, sum(net_c) FILTER (quarter = q_first) AS first_c, sum(net_c) FILTER (quarter = q_last) AS last_c
+  FROM per_quarter, edges GROUP BY product_id
+),
+buyers AS (
+  SELECT product_id, count(*) FILTER (visits > 1) AS repeaters
+  FROM (SELECT product_id, household_key, count(DISTINCT basket_id) AS visits FROM tx GROUP BY ALL) GROUP BY product_id
+),
+sold AS (
+  SELECT product_id, CAST(sum(net_c) AS BIGINT) AS net_c, sum(quantity) AS units, CAST(sum(disc_c) AS BIGINT) AS disc_c,
+         CAST(sum({base}) AS BIGINT) AS base_c, count(DISTINCT basket_id) AS b, count(DISTINCT household_key) AS h
+  FROM tx GROUP BY product_id
+)
+SELECT sold.product_id, {attributes}, round(sold.net_c / 100.0, 2) AS product_sales, units,
+       round(b / all_b, 6) AS basket_penetration, round(h / all_h, 6) AS household_penetration,
+       round(CASE WHEN base_c > 0 THEN disc_c / base_c END, 6) AS discount_rate,
+       round((coalesce(last_c, 0) - coalesce(first_c, 0)) / 100.0, 2) AS sales_growth, {rate}
+       repeaters AS repeat_household_count
+FROM sold CROSS JOIN totals JOIN trend ON trend.product_id = sold.product_id
+JOIN buyers ON buyers.product_id = sold.product_id LEFT JOIN goods g ON g.product_id = sold.product_id
+"""
+_add(
+    "mart_products",
+    PRODUCT_BODY.format(
+        first="min(quarter)",
+        base="gross_c",
+        attributes="manufacturer, brand, curr_size_of_product, department, commodity_desc, sub_commodity_desc",
+        rate="round(CASE WHEN first_c > 0 THEN (last_c - first_c) / first_c END, 6) AS sales_growth_rate,",
+    ),
+    TOTALS,
+)
+_add(
+    "mart_products_legacy",
+    PRODUCT_BODY.format(
+        first="1", base="net_c + retail_c", attributes="department, commodity_desc, sub_commodity_desc", rate=""
+    ),
+    TOTALS,
+)
+
+LABELLED = """
+labelled AS (
+  SELECT tx.*, ifnull(g.department, 'UNKNOWN') AS department, ifnull(g.commodity_desc, 'UNKNOWN') AS commodity_desc,
+         g.department AS raw_department, g.commodity_desc AS raw_commodity
+  FROM tx LEFT JOIN goods g ON g.product_id = tx.product_id
+),
+"""
+CATEGORY = """
+category AS (
+  SELECT department, commodity_desc, CAST(sum(net_c) AS BIGINT) AS net_c, sum(quantity) AS units,
+         count(DISTINCT household_key) AS h, count(DISTINCT basket_id) AS b, CAST(sum(disc_c) AS BIGINT) AS disc_c,
+         CAST(sum(gross_c) AS BIGINT) AS gross_c, CAST(sum(retail_c) AS BIGINT) AS retail_c,
+         CAST(coalesce(sum(net_c) FILTER (week_no <= 52), 0) AS BIGINT) AS early_c,
+         CAST(coalesce(sum(net_c) FILTER (week_no > 52), 0) AS BIGINT) AS late_c
+  FROM labelled GROUP BY department, commodity_desc
+),
+"""
+CATEGORY_COLUMNS = """department, commodity_desc, round(net_c / 100.0, 2) AS category_sales, units,
+       h AS household_count, round(h / all_h, 6) AS household_penetration, round(b / all_b, 6) AS basket_penetration,
+       round(CASE WHEN {base} > 0 THEN disc_c / ({base}) END, 6) AS discount_rate,
+       round(early_c / 100.0, 2) AS first_year_sales, round(late_c / 100.0, 2) AS second_year_sales,
+       round((late_c - early_c) / 100.0, 2) AS sales_growth"""
+GROWTH_RATE = "round(CASE WHEN early_c > 0 THEN (late_c - early_c) / early_c END, 6) AS sales_growth_rate"
+_add(
+    "mart_categories",
+    f"SELECT {CATEGORY_COLUMNS.format(base='gross_c')}, {GROWTH_RATE} FROM category, totals",
+    TOTALS,
+    LABELLED,
+    CATEGORY,
+)
+_add(
+    "mart_categories_legacy",
+    f"SELECT {CATEGORY_COLUMNS.format(base='net_c + retail_c')} FROM category, totals",
+    TOTALS,
+    LABELLED,
+    CATEGORY,
+)
+CATEGORY_QUARTER = """
+category_quarter AS (
+  SELECT department, commodity_desc, quarter, CAST(sum(net_c) AS BIGINT) AS net_c,
+         count(DISTINCT household_key) AS h, count(DISTINCT basket_id) AS b
+  FROM labelled GROUP BY department, commodity_desc, quarter
+),
+"""
+_add(
+    "mart_category_period",
+    """
+SELECT department, commodity_desc, quarter AS quarter_like_period, round(net_c / 100.0, 2) AS sales, h AS households,
+       b AS baskets
+FROM category_quarter
+""",
+    LABELLED,
+    CATEGORY_QUARTER,
+)
+DIAGNOSTICS = (
+    CATEGORY_QUARTER
+    + """
+stability AS (
+  SELECT department AS d, commodity_desc AS c, sum(net_c) / (100.0 * count(*)) AS mean_s,
+         stddev_samp(net_c / 100.0) AS sd_s, max(h) FILTER (quarter = 1) AS h_first,
+         max(h) FILTER (quarter = (SELECT max(quarter) FROM category_quarter)) AS h_last
+  FROM category_quarter GROUP BY department, commodity_desc
+),
+cuts AS (
+  SELECT quantile_cont(net_c / 100.0, 0.75) AS sales_cut, quantile_cont(h / all_h, 0.75) AS reach_cut,
+         median(net_c / 100.0 / h) AS spend_cut
+  FROM category, totals
+),
+diagnostics AS (
+  SELECT category.*, all_h, all_b, mean_s, sd_s, h_last - h_first AS engagement, CAST(h < 50 AS INTEGER) AS small,
+         CAST(net_c / 100.0 >= sales_cut AND late_c < early_c AS INTEGER) AS declining,
+         CAST(h / all_h >= reach_cut AND net_c / 100.0 / h <= spend_cut AS INTEGER) AS wide_light
+  FROM category JOIN stability ON department = d AND commodity_desc = c, totals, cuts
+),
+"""
+)
+_add(
+    "mart_category_diagnostics",
+    f"""
+SELECT {CATEGORY_COLUMNS.format(base='gross_c')}, {GROWTH_RATE}, round(mean_s, 6) AS mean_period_sales,
+       round(sd_s, 2) AS sd_period_sales, round(sd_s / nullif(mean_s, 0), 6) AS sales_coefficient_of_variation,
+       engagement AS household_engagement_change, small AS small_group_flag, declining AS high_sales_declining_flag,
+       wide_light AS high_penetration_low_spend_flag
+FROM diagnostics
+""",
+    TOTALS,
+    LABELLED,
+    CATEGORY,
+    DIAGNOSTICS,
+)
+_add(
+    "category_top15",
+    f"""
+SELECT department, commodity_desc, round(net_c / 100.0, 2) AS category_sales, h AS household_count,
+       round(h / all_h, 6) AS household_penetration, round((late_c - early_c) / 100.0, 2) AS sales_growth, {GROWTH_RATE},
+       round(sd_s / nullif(mean_s, 0), 6) AS sales_coefficient_of_variation,
+       engagement AS household_engagement_change, declining AS high_sales_declining_flag
+FROM diagnostics WHERE h >= 50 ORDER BY net_c DESC, department, commodity_desc LIMIT 15
+""",
+    TOTALS,
+    LABELLED,
+    CATEGORY,
+    DIAGNOSTICS,
+)
+_add(
+    "category_top10",
+    """
+SELECT commodity_desc, round(net_c / 100.0, 2) AS category_sales, round(h / all_h, 6) AS household_penetration,
+       round(CASE WHEN gross_c > 0 THEN disc_c / gross_c END, 6) AS discount_rate,
+       round((late_c - early_c) / 100.0, 2) AS sales_growth
+FROM category, totals WHERE h >= 50 ORDER BY net_c DESC, department, commodity_desc LIMIT 10
+""",
+    TOTALS,
+    LABELLED,
+    CATEGORY,
+)
+_add(
+    "category_growth_leaders",
+    """
+SELECT commodity_desc, round(early_c / 100.0, 2) AS first_year_sales, round(late_c / 100.0, 2) AS second_year_sales,
+       round((late_c - early_c) / 100.0, 2) AS sales_growth, round(h / all_h, 6) AS household_penetration
+FROM category, totals WHERE h >= 100 ORDER BY late_c - early_c DESC, department, commodity_desc LIMIT 10
+""",
+    TOTALS,
+    LABELLED,
+    CATEGORY,
+)
+
+# --- household periods and customers ---------------------------------------------------------------------------------
+
+PERIOD_PARTS = """
+bought AS (
+  SELECT household_key AS hk, CAST((week_no + 3) // 4 AS INTEGER) AS p, count(*) AS n, min(day) AS d_min,
+         max(day) AS d_max, CAST(sum(spend_c) AS BIGINT) AS spend_c, sum(units) AS units,
+         CAST(sum(disc_c) AS BIGINT) AS disc_c, CAST(sum(used) AS BIGINT) AS used
+  FROM basket GROUP BY 1, 2
+),
+variety AS (
+  SELECT household_key AS hk, period_id AS p, count(DISTINCT product_id) AS n_prod,
+         count(DISTINCT coalesce(raw_commodity, raw_department, 'UNKNOWN')) AS n_cat
+  FROM labelled GROUP BY 1, 2
+),
+exposed AS (
+  SELECT household_key AS hk, CAST((start_day + 27) // 28 AS INTEGER) AS p, count(*) AS n
+  FROM expo JOIN camp ON camp.campaign = expo.campaign GROUP BY 1, 2
+),
+redeemed AS (SELECT household_key AS hk, CAST((day + 27) // 28 AS INTEGER) AS p, count(*) AS n FROM rdm GROUP BY 1, 2),
+"""
+HOUSEHOLD_PERIOD = (
+    PERIOD_PARTS
+    + """
+grid AS (
+  SELECT hk, CAST(p AS INTEGER) AS p
+  FROM (SELECT DISTINCT household_key AS hk FROM basket),
+       (SELECT unnest(generate_series(1, (SELECT max(p) FROM bought))) AS p)
+),
+hp AS (
+  SELECT g.hk, g.p, (SELECT max(day) FROM tx) AS last_day, (SELECT max(p) FROM bought) AS last_p,
+         b.hk IS NOT NULL AS active, ifnull(b.n, 0) AS n, ifnull(b.spend_c, 0) AS spend_c, ifnull(b.units, 0) AS units,
+         b.spend_c / (100.0 * b.n) AS abv, b.units / b.n AS abs, ifnull(b.disc_c, 0) AS disc_c,
+         ifnull(b.used, 0) AS used, ifnull(n_prod, 0) AS n_prod, ifnull(n_cat, 0) AS n_cat,
+         ifnull(r.n, 0) AS n_red, ifnull(e.n, 0) AS n_exp
+  FROM grid g LEFT JOIN bought b ON b.hk = g.hk AND b.p = g.p LEFT JOIN variety v ON v.hk = g.hk AND v.p = g.p
+  LEFT JOIN exposed e ON e.hk = g.hk AND e.p = g.p LEFT JOIN redeemed r ON r.hk = g.hk AND r.p = g.p
+),
+hpw AS (
+  SELECT *, lag(spend_c) OVER past AS before_c, ifnull(lag(active) OVER past, false) AS was_active,
+         min(CASE WHEN active THEN p END) OVER (PARTITION BY hk) AS cohort
+  FROM hp WINDOW past AS (PARTITION BY hk ORDER BY p)
+),
+"""
+)
+PERIOD_SHARED = (BASKET, LABELLED, HOUSEHOLD_PERIOD)
+_add(
+    "mart_household_period",
+    """
+SELECT hk AS household_key, p AS period_id, 28 * p - 27 AS period_start, least(28 * p, last_day) AS period_end,
+       CAST(p = last_p AND 28 * p > last_day AS INTEGER) AS incomplete_period_flag, CAST(active AS INTEGER) AS active_flag,
+       n AS basket_count, round(spend_c / 100.0, 2) AS total_spend, CAST(units AS DOUBLE) AS total_units,
+       round(abv, 4) AS average_basket_value, round(abs, 6) AS average_basket_size,
+       round(disc_c / 100.0, 2) AS total_discount, used AS coupon_basket_count, n_prod AS distinct_product_count,
+       n_cat AS distinct_category_count, n_red AS coupon_redemption_count, n_exp AS campaign_exposure_count,
+       round(CASE WHEN spend_c + disc_c > 0 THEN disc_c / (spend_c + disc_c) END, 6) AS discount_rate,
+       round(before_c / 100.0, 2) AS prior_period_spend, round((spend_c - before_c) / 100.0, 2) AS spend_change,
+       CAST(active AND was_active AS INTEGER) AS retention_repeat_flag
+FROM hpw
+""",
+    *PERIOD_SHARED,
+)
+_add(
+    "mart_household_period_active",
+    """
+SELECT b.hk AS household_key, b.p AS period_id, d_min AS period_start_day, d_max AS period_end_day, 1 AS active_flag,
+       b.n AS basket_count, round(spend_c / 100.0, 2) AS total_spend, units AS total_units,
+       round(spend_c / (100.0 * b.n), 4) AS average_basket_value, round(units / b.n, 6) AS average_basket_size,
+       round(disc_c / 100.0, 2) AS total_discount, used AS coupon_basket_count, n_prod AS distinct_product_count,
+       n_cat AS distinct_category_count, ifnull(r.n, 0) AS coupon_redemption_count,
+       ifnull(e.n, 0) AS campaign_exposure_count,
+       round(CASE WHEN spend_c + disc_c > 0 THEN disc_c / (spend_c + disc_c) END, 6) AS discount_rate,
+       round(lag(spend_c) OVER past / 100.0, 2) AS prior_period_spend,
+       round((spend_c - lag(spend_c) OVER past) / 100.0, 2) AS spend_change,
+       CAST(row_number() OVER past > 1 AS INTEGER) AS retention_repeat_flag
+FROM bought b LEFT JOIN variety v ON v.hk = b.hk AND v.p = b.p LEFT JOIN exposed e ON e.hk = b.hk AND e.p = b.p
+LEFT JOIN redeemed r ON r.hk = b.hk AND r.p = b.p
+WINDOW past AS (PARTITION BY b.hk ORDER BY b.p)
+""",
+    BASKET,
+    LABELLED,
+    PERIOD_PARTS,
+)
+_add(
+    "customer_period_summary",
+    """
+SELECT p AS period_id, 28 * p - 27 AS period_start, max(least(28 * p, last_day)) AS period_end,
+       count(*) FILTER (active) AS active_households, count(*) FILTER (active AND p = cohort) AS new_households,
+       count(*) FILTER (active AND p > cohort) AS returning_households,
+       count(*) FILTER (was_active) AS prior_active_households,
+       count(*) FILTER (active AND was_active) AS retained_households,
+       round(count(*) FILTER (active AND was_active) / nullif(count(*) FILTER (was_active), 0), 6) AS retention_rate
+FROM hpw GROUP BY p
+""",
+    *PERIOD_SHARED,
+)
+COHORT = """
+cohort_size AS (SELECT cohort, count(DISTINCT hk) AS members FROM hpw GROUP BY cohort),
+retention AS (
+  SELECT hpw.cohort, p, count(*) FILTER (active) AS active, any_value(members) AS members
+  FROM hpw JOIN cohort_size s ON s.cohort = hpw.cohort WHERE p >= hpw.cohort GROUP BY hpw.cohort, p
+),
+"""
+_add(
+    "customer_retention_matrix",
+    """
+SELECT cohort AS cohort_period, p AS period_id, active AS active_households, members AS cohort_households,
+       round(active / members, 6) AS retention_rate
+FROM retention
+""",
+    *PERIOD_SHARED,
+    COHORT,
+)
+_add(
+    "dropped_events",
+    """
+SELECT 'campaign_exposures' AS event, CAST(coalesce(sum(n), 0) AS BIGINT) AS dropped_events
+FROM exposed WHERE (hk, p) NOT IN (SELECT (hk, p) FROM grid)
+UNION ALL
+SELECT 'coupon_redemptions', CAST(coalesce(sum(n), 0) AS BIGINT) FROM redeemed WHERE (hk, p) NOT IN (SELECT (hk, p) FROM grid)
+""",
+    *PERIOD_SHARED,
+)
+_add("household_spine", "SELECT hk AS household_key, p AS period_id FROM grid", *PERIOD_SHARED)
+_add("period_series", "SELECT DISTINCT p AS period_id FROM grid", *PERIOD_SHARED)
+
+HOUSEHOLD = """
+household AS (
+  SELECT household_key, CAST(sum(spend_c) AS BIGINT) AS spend_c, count(*) AS baskets, max(week_no) AS last_week
+  FROM basket GROUP BY household_key
+),
+quartiled AS (SELECT *, CAST(ntile(4) OVER (ORDER BY spend_c, household_key) AS INTEGER) AS tile FROM household),
+segmented AS (
+  SELECT *, CASE WHEN tile = 4 THEN 'high_value' WHEN last_week + 13 < (SELECT max(week_no) FROM basket)
+                 THEN 'at_risk_lapsed' WHEN tile = 1 THEN 'low_value' ELSE 'mid_value' END AS segment
+  FROM quartiled
+),
+"""
+_add(
+    "customer_segments",
+    """
+SELECT segment, count(*) AS households, round(sum(spend_c) / (100.0 * count(*)), 2) AS avg_spend,
+       round(sum(baskets) / count(*), 2) AS avg_baskets
+FROM segmented GROUP BY segment
+""",
+    BASKET,
+    HOUSEHOLD,
+)
+_add(
+    "value_concentration",
+    """
+SELECT household_key, round(spend_c / 100.0, 2) AS spend,
+       round(sum(spend_c) OVER (ORDER BY spend_c DESC, household_key ROWS UNBOUNDED PRECEDING)
+             / (SELECT sum(spend_c) FROM household), 6) AS cumulative_share
+FROM household
+""",
+    BASKET,
+    HOUSEHOLD,
+)
+
+# --- campaigns, coupons and promotions -------------------------------------------------------------------------------
+
+FUNNEL = """
+funnel AS (
+  SELECT k.campaign, k.kind, k.start_day, k.end_day, count(DISTINCT e.household_key) AS reached,
+         count(DISTINCT r.household_key) AS redeeming, count(r.household_key) AS redemptions
+  FROM camp k LEFT JOIN expo e ON e.campaign = k.campaign
+  LEFT JOIN rdm r ON r.campaign = e.campaign AND r.household_key = e.household_key
+  GROUP BY ALL
+),
+"""
+_add(
+    "mart_campaigns",
+    """
+SELECT campaign, kind AS description, kind AS campaign_type, start_day, end_day, reached AS exposed_households,
+       redeeming AS redeeming_households, redemptions AS redemption_count,
+       round(redeeming / nullif(reached, 0), 6) AS household_redemption_rate
+FROM funnel
+""",
+    FUNNEL,
+)
+_add(
+    "campaign_funnel_top10",
+    """
+SELECT campaign, kind AS campaign_type, reached AS exposed_households, redeeming AS redeeming_households,
+       redemptions AS redemption_count, round(redeeming / nullif(reached, 0), 6) AS household_redemption_rate
+FROM funnel ORDER BY reached DESC, campaign LIMIT 10
+""",
+    FUNNEL,
+)
+_add(
+    "mart_coupon_redemptions",
+    """
+SELECT rdm.household_key, rdm.day, rdm.coupon_upc, rdm.campaign, kind AS campaign_type, start_day, end_day
+FROM rdm LEFT JOIN camp ON camp.campaign = rdm.campaign
+""",
+)
+BEHAVIOUR = """
+behaviour AS (
+  SELECT e.household_key, e.campaign, k.kind, k.start_day,
+         CAST(EXISTS (FROM rdm r WHERE r.household_key = e.household_key AND r.campaign = e.campaign) AS INTEGER) AS hit,
+         CAST(coalesce(sum(net_c) FILTER (day < start_day), 0) AS BIGINT) AS pre_c,
+         CAST(coalesce(sum(net_c) FILTER (day >= start_day), 0) AS BIGINT) AS post_c,
+         count(DISTINCT basket_id) FILTER (day < start_day) AS pre_b,
+         count(DISTINCT basket_id) FILTER (day >= start_day) AS post_b
+  FROM expo e JOIN camp k ON k.campaign = e.campaign
+  LEFT JOIN tx t ON t.household_key = e.household_key AND t.day >= start_day - 28 AND t.day < start_day + 28
+  GROUP BY ALL
+),
+"""
+_add(
+    "campaign_bias_comparison",
+    """
+SELECT kind AS campaign_type, tile AS prior_value_quartile, hit AS redeemed_flag, count(*) AS household_campaign_exposures,
+       round(sum(pre_c) / (100.0 * count(*)), 4) AS avg_pre_spend, round(sum(post_c) / (100.0 * count(*)), 4) AS avg_post_spend,
+       round(sum(post_c - pre_c) / (100.0 * count(*)), 4) AS avg_spend_change, round(avg(pre_b), 6) AS avg_pre_baskets,
+       round(avg(post_b), 6) AS avg_post_baskets, round(avg(post_b - pre_b), 6) AS avg_basket_change
+FROM (SELECT *, CAST(ntile(4) OVER (PARTITION BY campaign ORDER BY pre_c, household_key) AS INTEGER) AS tile FROM behaviour)
+GROUP BY kind, tile, hit
+""",
+    BEHAVIOUR,
+)
+_add(
+    "campaign_segment_analysis",
+    """
+SELECT k.kind AS campaign_type, segment, count(*) AS household_campaign_exposures, count(r.campaign) AS redeemed_exposures,
+       round(count(r.campaign) / count(*), 6) AS redemption_rate
+FROM expo e JOIN camp k ON k.campaign = e.campaign JOIN segmented s ON s.household_key = e.household_key
+LEFT JOIN (SELECT DISTINCT household_key, campaign FROM rdm) r
+  ON r.household_key = e.household_key AND r.campaign = e.campaign
+GROUP BY k.kind, segment
+""",
+    BASKET,
+    HOUSEHOLD,
+)
+_add(
+    "campaign_prepost",
+    """
+SELECT kind AS campaign_type, count(*) AS households, round(sum(pre_c) / (100.0 * count(*)), 2) AS avg_pre_spend,
+       round(sum(post_c) / (100.0 * count(*)), 2) AS avg_post_spend,
+       round(sum(post_c - pre_c) / (100.0 * count(*)), 2) AS avg_change
+FROM (
+  SELECT kind, e.household_key,
+         coalesce(sum(net_c) FILTER (day >= start_day - 28 AND day < start_day), 0) AS pre_c,
+         coalesce(sum(net_c) FILTER (day >= start_day AND day <= end_day + 28), 0) AS post_c
+  FROM expo e JOIN camp k ON k.campaign = e.campaign LEFT JOIN tx t ON t.household_key = e.household_key
+  GROUP BY kind, e.household_key
+) GROUP BY kind
+""",
+)
+SHELF = """
+shelf AS (
+  SELECT product_id, store_id, week_no, CAST(sum(net_c) AS BIGINT) AS net_c, sum(quantity) AS units, count(*) AS n_lines,
+         count(DISTINCT basket_id) AS baskets
+  FROM tx GROUP BY product_id, store_id, week_no
+),
+shown AS (
+  SELECT product_id, store_id, week_no, bool_or(ifnull(display, '0') <> '0') AS on_display,
+         bool_or(ifnull(mailer, '0') <> '0') AS in_mailer
+  FROM caus GROUP BY product_id, store_id, week_no
+),
+shelf_status AS (
+  SELECT shelf.*, coalesce(on_display, false) AS on_display, coalesce(in_mailer, false) AS in_mailer,
+         CASE WHEN on_display OR in_mailer THEN 'promoted' ELSE 'not_promoted' END AS status
+  FROM shelf LEFT JOIN shown USING (product_id, store_id, week_no)
+),
+"""
+_add(
+    "mart_promotion_performance",
+    """
+SELECT status AS promotion_status, count(*) AS product_store_weeks, CAST(sum(n_lines) AS BIGINT) AS transaction_lines,
+       round(sum(net_c) / 100.0, 2) AS sales, sum(units) AS units, CAST(sum(baskets) AS BIGINT) AS basket_occurrences,
+       round(sum(net_c) / (100.0 * count(*)), 4) AS avg_sales_per_product_store_week
+FROM shelf_status GROUP BY status
+""",
+    SHELF,
+)
