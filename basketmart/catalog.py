@@ -1,11 +1,11 @@
 """Registry of the queries: each takes a session and a folder of parquet tables and returns a DataFrame.
 
-Results are rounded here, and only here: money to 2 decimals, average money to 4, rates to 6.
+Results are rounded here, and only here: money to 2 decimals, most average money to 4, rates to 6.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,19 +15,21 @@ from basketmart.plans import campaigns as K
 from basketmart.plans import categories as C
 from basketmart.plans import customers as U
 from basketmart.plans import household_period as H
+from basketmart.plans import features as X
 from basketmart.plans import products as P
 from basketmart.plans import promotion as R
+from basketmart.plans import validation as V
+from basketmart.plans import warehouse
 from basketmart.plans.staging import stage_all
-from basketmart.session import ensure_checkpoint_dir, tune
+from basketmart.session import stored, tune
 from basketmart.sources.star import star_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def staged(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def staged(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
     tune(spark)
-    ensure_checkpoint_dir(spark)
     return stage_all(star_sources(spark, folder))
 
 
@@ -36,7 +38,7 @@ def rounded(frame: DataFrame, **decimals: int | str) -> DataFrame:
     return frame.withColumns({name: F.round(name, places) for name, places in decimals.items()})
 
 
-def query(builder: Callable[[dict[str, DataFrame]], DataFrame]) -> Callable[[dict[str, DataFrame]], DataFrame]:
+def query(builder: Callable[[Mapping[str, DataFrame]], DataFrame]):
     """Register a plan over the staged tables under its function name."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -209,8 +211,13 @@ def category_growth_leaders(s):
 # --- household periods and customers ---------------------------------------------------------------------------------
 
 
+def _stored_baskets(s):
+    """Basket mart for plans that read it more than once."""
+    return stored(_baskets(s))
+
+
 def _period_inputs(s):
-    return (_baskets(s), s["transactions"], s["products"], s["exposures"], s["campaigns"], s["redemptions"])
+    return (_stored_baskets(s), s["transactions"], s["products"], s["exposures"], s["campaigns"], s["redemptions"])
 
 
 def _household_period(s):
@@ -250,12 +257,12 @@ def customer_retention_matrix(s):
 
 @query
 def dropped_events(s):
-    return H.dropped_events(H.household_spine(_baskets(s)), s["exposures"], s["campaigns"], s["redemptions"])
+    return H.dropped_events(H.household_spine(_stored_baskets(s)), s["exposures"], s["campaigns"], s["redemptions"])
 
 
 @query
 def household_spine(s):
-    return H.household_spine(_baskets(s))
+    return H.household_spine(_stored_baskets(s))
 
 
 @query
@@ -326,3 +333,64 @@ def campaign_prepost(s):
 def mart_promotion_performance(s):
     frame = R.mart_promotion_performance(s["transactions"], s["merchandising"])
     return rounded(frame, sales=2, avg_sales_per_product_store_week=4)
+
+
+# --- features and checks ---------------------------------------------------------------------------------------------
+
+
+def _features(s):
+    return X.mart_customer_features(
+        s["transactions"], s["products"], s["exposures"], s["campaigns"], s["households"]
+    )
+
+
+FEATURE_ROUNDING = {
+    "monetary_spend": 2,
+    "discount_amount": 2,
+    "first_half_spend": 2,
+    "second_half_spend": 2,
+    "top_department_share": 6,
+    "spend_trend_change": 2,
+    "discount_rate": 6,
+    "coupon_engagement": 6,
+    "future_spend": 2,
+}
+
+
+@query
+def mart_customer_features(s):
+    return rounded(_features(s), **FEATURE_ROUNDING)
+
+
+def _shared_marts(s):
+    """Marts over a stored copy of the receipt lines; every mart others read is stored as well."""
+    tables = dict(s)
+    tables["transactions"] = stored(s["transactions"])
+    return tables, warehouse.marts(tables, keep=lambda name, frame: stored(frame))
+
+
+@query
+def validation_checks(s):
+    tables, marts = _shared_marts(s)
+    return V.validation_checks(tables, marts)
+
+
+@query
+def legacy_discount_check(s):
+    return V.legacy_discount_check(s["transactions"])
+
+
+@query
+def source_checks(s):
+    return V.source_checks(s)
+
+
+@query
+def invariant_checks(s):
+    tables, marts = _shared_marts(s)
+    return V.invariant_checks(tables, marts)
+
+
+@query
+def kpi_support(s):
+    return V.kpi_support(_shared_marts(s)[1])

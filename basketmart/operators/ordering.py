@@ -5,7 +5,7 @@ slice holds a contiguous piece of the order; a row's place is its place inside t
 earlier slices. A group of any size is spread over as many slices as it needs.
 
 ``repartitionByRange`` samples its input, so evaluating it twice may cut the slices differently. The sliced rows are
-therefore written to the checkpoint folder once, with the slice and the place inside it stored as data.
+therefore written to the shared checkpoint folder once, with the slice and the place inside it stored as data.
 """
 
 from __future__ import annotations
@@ -14,22 +14,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from basketmart.session import ensure_checkpoint_dir
+from basketmart.session import stored
 
 SLICE, PLACE = "_slice", "_place"
 _PLACE_BITS = 33  # monotonically_increasing_id keeps the partition number above 33 bits of row number
 
 
 def sliced(frame: DataFrame, order_by: list[Column | str]) -> DataFrame:
-    """Checkpointed rows with the number of their slice and their place in it, both starting at 0."""
-    ensure_checkpoint_dir(frame.sparkSession)
+    """Stored rows with the number of their slice and their place in it, both starting at 0."""
     ids = (
         frame.repartitionByRange(*order_by)
         .sortWithinPartitions(*order_by)
         .withColumn("_id", F.monotonically_increasing_id())
     )
     place = F.col("_id").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
-    return ids.withColumns({SLICE: F.shiftright("_id", _PLACE_BITS), PLACE: place}).drop("_id").checkpoint()
+    return stored(ids.withColumns({SLICE: F.shiftright("_id", _PLACE_BITS), PLACE: place}).drop("_id"))
 
 
 def _slice_offsets(rows: DataFrame, groups: list[str], amount: Column) -> DataFrame:
@@ -132,9 +131,8 @@ def value_ranks(frame: DataFrame, series: dict[str, Column]) -> DataFrame:
     )
 
 
-def exact_quantiles(frame: DataFrame, series: dict[str, Column], probabilities: list[float]) -> DataFrame:
-    """Interpolated quantiles ``series, probability, quantile``; equal to ``percentile`` but never in one task."""
-    ranked = value_ranks(frame, series)
+def quantiles_of(ranked: DataFrame, probabilities: list[float]) -> DataFrame:
+    """Interpolated quantiles ``series, probability, quantile`` of a histogram from :func:`value_ranks`."""
     wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
     target = F.col("probability") * (F.col("series_rows") - 1)
 
@@ -154,6 +152,20 @@ def exact_quantiles(frame: DataFrame, series: dict[str, Column], probabilities:
     )
 
 
+def exact_quantiles(frame: DataFrame, series: dict[str, Column], probabilities: list[float]) -> DataFrame:
+    """Interpolated quantiles ``series, probability, quantile``; equal to ``percentile`` but never in one task."""
+    return quantiles_of(value_ranks(frame, series), probabilities)
+
+
+def rows_above_quantile(frame: DataFrame, series: dict[str, Column], probability: float) -> DataFrame:
+    """``series, quantile, rows``: how many rows exceed a series' own quantile, counted on the histogram."""
+    ranked = value_ranks(frame, series)
+    cuts = quantiles_of(ranked, [probability])
+    above = F.when(F.col("value") > F.col("quantile"), F.col("rows")).otherwise(F.lit(0).cast("long"))
+    # one row per series
+    return ranked.join(F.broadcast(cuts), "series").groupBy("series", "quantile").agg(F.sum(above).alias("rows"))
+
+
 def quantile_row(frame: DataFrame, wanted: dict[str, tuple[Column, float]]) -> DataFrame:
     """One row with one exact quantile per entry ``name -> (column, probability)``."""
     series = {name: column for name, (column, _) in wanted.items()}

@@ -90,12 +90,9 @@ def kpi_summary(baskets: DataFrame) -> DataFrame:
     )
 
 
-def fact_totals(tx: DataFrame) -> DataFrame:
-    """Distinct baskets and households of the fact: the penetration denominators, one row."""
-    return tx.agg(
-        F.count_distinct("basket_id").alias("all_baskets"),
-        F.count_distinct("household_key").alias("all_households"),
-    )
+def distinct_total(tx: DataFrame, column: str):
+    """Distinct values of one column over the whole fact, as a scalar: a penetration denominator."""
+    return tx.agg(F.count_distinct(column).alias("total")).scalar()
 
 
 def baskets_by_week(tx: DataFrame) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketmart.functions.money import discount_units, money, nonzero_ratio, positive_ratio, units
 from basketmart.functions.timegrid import WEEKS_PER_YEAR, quarter_of_week
 from basketmart.operators.ordering import quantile_row
-from basketmart.plans.baskets import fact_totals
+from basketmart.plans.baskets import distinct_total
+from basketmart.session import stored
 
 CATEGORY = ["department", "commodity_desc"]
 SMALL_GROUP_HOUSEHOLDS = 50
@@ -31,44 +32,64 @@ def labelled_lines(lines: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
+def _category_measures(
+    lines: DataFrame, products: DataFrame, sums: dict[str, Column], period: list[str] | None = None
+) -> DataFrame:
+    """Sums, distinct households and distinct baskets per category (and period).
+
+    Lines are reduced to product-household and product-basket pairs before the category is looked up: the join sees
+    fewer rows, the wide text keys enter late, and no task ever holds a whole category, since pairs are spread by
+    household or basket. Both parts meet in one aggregation.
+    """
+    period = period or []
+    totals = [F.sum(name).alias(name) for name in sums]
+    by_household = lines.groupBy("product_id", *period, "household_key").agg(
+        *[F.sum(column).alias(name) for name, column in sums.items()]
+    )
+    households = (
+        labelled_lines(by_household, products)
+        .groupBy(*CATEGORY, *period, "household_key")
+        .agg(*totals)
+        .select(*CATEGORY, *period, *sums, F.col("household_key").isNotNull().cast("long").alias("households"))
+    )
+    pairs = lines.select("product_id", *period, "basket_id").distinct()
+    baskets = (
+        labelled_lines(pairs, products)
+        .select(*CATEGORY, *period, "basket_id")
+        .distinct()
+        .select(*CATEGORY, *period, F.col("basket_id").isNotNull().cast("long").alias("baskets"))
+    )
+    return (
+        households.unionByName(baskets, allowMissingColumns=True)
+        .groupBy(*CATEGORY, *period)
+        .agg(*totals, F.sum("households").alias("households"), F.sum("baskets").alias("baskets"))
+    )
+
+
 def mart_categories(tx: DataFrame, products: DataFrame, legacy: bool = False) -> DataFrame:
     """One row per category; ``legacy`` leaves coupons out of the discount denominator and has no growth rate."""
-    totals = fact_totals(tx)
-    lines = labelled_lines(
-        tx.select(
-            "product_id",
-            "household_key",
-            "basket_id",
-            "week_no",
-            "quantity",
-            units("sales_value").alias("sales_u"),
-            discount_units().alias("discount_u"),
-            units("retail_discount_amt").alias("retail_u"),
-        ),
-        products,
-    )
-    sales = F.col("sales_u")
+    sales, discount = units("sales_value"), discount_units()
     zero = F.lit(0).cast("long")
-    grouped = lines.groupBy(*CATEGORY).agg(
-        F.sum(sales).alias("sales_u"),
-        F.sum("quantity").alias("units"),
-        F.count_distinct("household_key").alias("household_count"),
-        F.count_distinct("basket_id").alias("basket_count"),
-        F.sum("discount_u").alias("discount_u"),
-        F.sum(sales + (F.col("retail_u") if legacy else F.col("discount_u"))).alias("base_u"),
-        F.sum(F.when(F.col("week_no") <= WEEKS_PER_YEAR, sales).otherwise(zero)).alias("first_u"),
-        F.sum(F.when(F.col("week_no") > WEEKS_PER_YEAR, sales).otherwise(zero)).alias("second_u"),
+    grouped = _category_measures(
+        tx,
+        products,
+        {
+            "sales_u": sales,
+            "units": F.col("quantity"),
+            "discount_u": discount,
+            "base_u": sales + (units("retail_discount_amt") if legacy else discount),
+            "first_u": F.when(F.col("week_no") <= WEEKS_PER_YEAR, sales).otherwise(zero),
+            "second_u": F.when(F.col("week_no") > WEEKS_PER_YEAR, sales).otherwise(zero),
+        },
     )
     growth = F.col("second_u") - F.col("first_u")
     columns = [
         *CATEGORY,
         money("sales_u").alias("category_sales"),
         "units",
-        "household_count",
-        positive_ratio(F.col("household_count"), totals.select("all_households").scalar()).alias(
-            "household_penetration"
-        ),
-        positive_ratio(F.col("basket_count"), totals.select("all_baskets").scalar()).alias("basket_penetration"),
+        F.col("households").alias("household_count"),
+        positive_ratio(F.col("households"), distinct_total(tx, "household_key")).alias("household_penetration"),
+        positive_ratio(F.col("baskets"), distinct_total(tx, "basket_id")).alias("basket_penetration"),
         positive_ratio(F.col("discount_u"), F.col("base_u")).alias("discount_rate"),
         money("first_u").alias("first_year_sales"),
         money("second_u").alias("second_year_sales"),
@@ -81,25 +102,25 @@ def mart_categories(tx: DataFrame, products: DataFrame, legacy: bool = False) ->
 
 def mart_category_period(tx: DataFrame, products: DataFrame) -> DataFrame:
     """Category × thirteen-week period."""
-    lines = labelled_lines(
-        tx.select(
-            "product_id",
-            "household_key",
-            "basket_id",
-            quarter_of_week("week_no").alias("quarter_like_period"),
-            units("sales_value").alias("sales_u"),
-        ),
-        products,
+    lines = tx.select(
+        "product_id",
+        "household_key",
+        "basket_id",
+        quarter_of_week("week_no").alias("quarter_like_period"),
+        units("sales_value").alias("sales_u"),
     )
-    return lines.groupBy(*CATEGORY, "quarter_like_period").agg(
-        money(F.sum("sales_u")).alias("sales"),
-        F.count_distinct("household_key").alias("households"),
-        F.count_distinct("basket_id").alias("baskets"),
+    grouped = _category_measures(lines, products, {"sales_u": F.col("sales_u")}, ["quarter_like_period"])
+    return grouped.select(
+        *CATEGORY, "quarter_like_period", money("sales_u").alias("sales"), "households", "baskets"
     )
 
 
 def mart_category_diagnostics(categories: DataFrame, periods: DataFrame) -> DataFrame:
-    """Category mart with stability, engagement and attention flags."""
+    """Category mart with stability, engagement and attention flags.
+
+    Both inputs are read several times, so they are stored first; from there on the plan is category-sized.
+    """
+    categories, periods = stored(categories), stored(periods)
     last = periods.agg(F.max("quarter_like_period")).scalar()
     per_category = periods.groupBy(*CATEGORY).agg(
         (F.sum(units("sales")) / (F.count(F.lit(1)) * 10000.0)).alias("mean_period_sales"),

@@ -28,14 +28,15 @@ def household_quartiles(baskets: DataFrame) -> DataFrame:
 
 def household_segments(baskets: DataFrame) -> DataFrame:
     """Households with a segment: top quartile first, then lapsed, then bottom quartile, the rest in the middle."""
-    cutoff = baskets.agg((F.max("week_no") - LABEL_WEEKS).alias("cutoff")).scalar()
+    quartiles = household_quartiles(baskets)
+    cutoff = quartiles.agg((F.max("last_week") - LABEL_WEEKS).alias("cutoff")).scalar()
     segment = (
         F.when(F.col("value_quartile") == VALUE_TILES, "high_value")
         .when(F.col("last_week") < cutoff, "at_risk_lapsed")
         .when(F.col("value_quartile") == 1, "low_value")
         .otherwise("mid_value")
     )
-    return household_quartiles(baskets).withColumn("segment", segment)
+    return quartiles.withColumn("segment", segment)
 
 
 def customer_segments(baskets: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from basketmart.functions.money import discount_units, money, positive_ratio, units
 from basketmart.functions.timegrid import quarter_of_week
-from basketmart.plans.baskets import fact_totals
+from basketmart.plans.baskets import distinct_total
 
 ATTRIBUTES = ["manufacturer", "brand", "curr_size_of_product", "department", "commodity_desc", "sub_commodity_desc"]
 
@@ -82,7 +82,6 @@ def mart_products(tx: DataFrame, products: DataFrame, legacy: bool = False) -> D
     ``legacy`` keeps the older convention: growth from quarter 1 whatever the first quarter is, coupons outside the
     discount denominator, and only the three category attributes.
     """
-    totals = fact_totals(tx)
     known = F.col("product_id").isNotNull()
     first, last = F.when(known, F.col("first_u")), F.when(known, F.col("last_u"))
     growth = F.coalesce(last, F.lit(0)) - F.coalesce(first, F.lit(0))
@@ -97,8 +96,8 @@ def mart_products(tx: DataFrame, products: DataFrame, legacy: bool = False) -> D
         *attributes,
         money(F.col("sales_u") * copies).alias("product_sales"),
         (F.col("units") * copies).alias("units"),
-        positive_ratio(F.col("baskets"), totals.select("all_baskets").scalar()).alias("basket_penetration"),
-        positive_ratio(F.col("households"), totals.select("all_households").scalar()).alias("household_penetration"),
+        positive_ratio(F.col("baskets"), distinct_total(tx, "basket_id")).alias("basket_penetration"),
+        positive_ratio(F.col("households"), distinct_total(tx, "household_key")).alias("household_penetration"),
         positive_ratio(F.col("discount_u"), base).alias("discount_rate"),
         money(growth).alias("sales_growth"),
         F.col("repeat_households").alias("repeat_household_count"),

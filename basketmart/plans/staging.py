@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketmart.functions.timegrid import hour_of_hhmm
+from basketmart.sources.tables import LazyTables
 
 
 def stage_transactions(raw: DataFrame) -> DataFrame:
@@ -48,14 +51,16 @@ STAGED_NAMES = {
 }
 
 
-def stage_all(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def stage_all(sources: Mapping[str, DataFrame]) -> LazyTables:
     """Staged tables under short names."""
-    staged = {STAGED_NAMES[name]: frame for name, frame in sources.items()}
-    staged["transactions"] = stage_transactions(sources["transaction_data"])
-    return staged
+
+    def staged(name: str):
+        return stage_transactions(sources[name]) if name == "transaction_data" else sources[name]
+
+    return LazyTables({short: (lambda name=name: staged(name)) for name, short in STAGED_NAMES.items()})
 
 
-def register_views(staged: dict[str, DataFrame]) -> None:
+def register_views(staged: Mapping[str, DataFrame]) -> None:
     """Offer the staged tables to SQL users as ``stg_<name>`` views."""
     for name, frame in staged.items():
         frame.createOrReplaceTempView(f"stg_{name}")

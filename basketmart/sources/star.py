@@ -6,12 +6,23 @@ Conditions between two tables are written as equalities of expressions, so they
 
 from __future__ import annotations
 
+from functools import lru_cache, partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from basketmart.sources.tables import LazyTables
+
+
+@lru_cache(maxsize=256)
+def _schema_of(spark: SparkSession, path: str) -> StructType:
+    return spark.read.parquet(path).schema
 
 
 def _read(spark: SparkSession, folder: str, table: str, *columns: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet").select(*columns)
+    path = f"{folder}/{table}.parquet"
+    return spark.read.schema(_schema_of(spark, path)).parquet(path).select(*columns)
 
 
 def _orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -176,16 +187,18 @@ def causal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def star_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All eight source tables of one parquet folder (lazy)."""
-    builders = [
-        transaction_data,
-        product,
-        hh_demographic,
-        campaign_desc,
-        campaign_table,
-        coupon,
-        coupon_redempt,
-        causal_data,
-    ]
-    return {build.__name__: build(spark, folder) for build in builders}
+SOURCES = [
+    transaction_data,
+    product,
+    hh_demographic,
+    campaign_desc,
+    campaign_table,
+    coupon,
+    coupon_redempt,
+    causal_data,
+]
+
+
+def star_sources(spark: SparkSession, folder: str) -> LazyTables:
+    """All eight source tables of one parquet folder; each is planned when it is first asked for."""
+    return LazyTables({build.__name__: partial(build, spark, folder) for build in SOURCES})

@@ -627,3 +627,265 @@ FROM shelf_status GROUP BY status
 """,
     SHELF,
 )
+
+
+# --- features and checks ---------------------------------------------------------------------------------------------
+
+FEATURES = """
+horizon AS (SELECT max(week_no) - 13 AS stop, greatest(1, (max(week_no) - 13) // 2) AS half FROM tx),
+seen AS (SELECT labelled.* FROM labelled, horizon WHERE week_no <= stop),
+behaviour_seen AS (
+  SELECT household_key, CAST(any_value(stop) - max(week_no) AS INTEGER) AS recency, count(DISTINCT basket_id) AS visits,
+         CAST(sum(net_c) AS BIGINT) AS net_c, count(*) AS n_lines, sum(quantity) AS units,
+         count(DISTINCT product_id) AS n_prod, count(DISTINCT commodity_desc) AS n_cat,
+         CAST(sum(disc_c) AS BIGINT) AS disc_c, count(*) FILTER (coupon_c + match_c > 0) AS coupon_lines,
+         CAST(coalesce(sum(net_c) FILTER (week_no <= half), 0) AS BIGINT) AS first_c,
+         CAST(coalesce(sum(net_c) FILTER (week_no > half), 0) AS BIGINT) AS second_c, any_value(stop) AS stop
+  FROM seen, horizon GROUP BY household_key
+),
+favourite AS (
+  SELECT household_key, department, net_c FROM (
+    SELECT household_key, department, sum(net_c) AS net_c,
+           rank() OVER (PARTITION BY household_key ORDER BY sum(net_c) DESC, department) AS place
+    FROM seen GROUP BY household_key, department) WHERE place = 1
+),
+later AS (
+  SELECT household_key, CAST(sum(net_c) AS BIGINT) AS net_c, count(DISTINCT basket_id) AS visits
+  FROM tx, horizon WHERE week_no > stop GROUP BY household_key
+),
+reached AS (
+  SELECT household_key, count(*) AS n FROM expo JOIN camp ON camp.campaign = expo.campaign, horizon
+  WHERE start_day <= 7 * stop GROUP BY household_key
+),
+feature AS (
+  SELECT b.household_key, recency AS recency_weeks, b.visits AS frequency_baskets, b.net_c / 100.0 AS monetary_spend,
+         b.net_c / (100.0 * n_lines) AS avg_line_sales, units AS total_units, n_prod AS product_diversity,
+         n_cat AS category_diversity, disc_c / 100.0 AS discount_amount, coupon_lines AS coupon_line_count,
+         first_c / 100.0 AS first_half_spend, second_c / 100.0 AS second_half_spend,
+         f.net_c / nullif(b.net_c, 0) AS top_department_share, (second_c - first_c) / 100.0 AS spend_trend_change,
+         disc_c / nullif(b.net_c + disc_c, 0) AS discount_rate, coupon_lines / b.visits AS coupon_engagement,
+         coalesce(r.n, 0) AS campaign_exposure_count, coalesce(l.net_c, 0) / 100.0 AS future_spend,
+         CAST(coalesce(l.visits, 0) > 0 AS INTEGER) AS next_period_active_flag,
+         CAST(coalesce(l.net_c, 0) * stop < b.net_c * 13 AS INTEGER) AS next_period_spend_decline_flag,
+         d.* EXCLUDE (household_key), CAST(d.household_key IS NULL AS INTEGER) AS missing_demographic_flag
+  FROM behaviour_seen b LEFT JOIN favourite f ON f.household_key = b.household_key
+  LEFT JOIN later l ON l.household_key = b.household_key LEFT JOIN reached r ON r.household_key = b.household_key
+  LEFT JOIN demo d ON d.household_key = b.household_key
+),
+"""
+_add(
+    "mart_customer_features",
+    """
+SELECT * REPLACE (round(monetary_spend, 2) AS monetary_spend, 
+  round(discount_amount, 2) AS discount_amount, round(first_half_spend, 2) AS first_half_spend,
+  round(second_half_spend, 2) AS second_half_spend, round(top_department_share, 6) AS top_department_share,
+  round(spend_trend_change, 2) AS spend_trend_change, round(discount_rate, 6) AS discount_rate,
+  round(coupon_engagement, 6) AS coupon_engagement, round(future_spend, 2) AS future_spend)
+FROM feature
+""",
+    LABELLED,
+    FEATURES,
+)
+
+_CHECKS = {
+    "transaction_rows": "SELECT count(*) FROM tx",
+    "distinct_baskets": "SELECT count(DISTINCT basket_id) FROM tx",
+    "distinct_households": "SELECT count(DISTINCT household_key) FROM tx",
+    "distinct_products": "SELECT count(DISTINCT product_id) FROM tx",
+    "distinct_stores": "SELECT count(DISTINCT store_id) FROM tx",
+    "campaign_count": "SELECT count(DISTINCT campaign) FROM camp",
+    "exposed_households": "SELECT count(DISTINCT household_key) FROM expo",
+    "coupon_count": "SELECT count(DISTINCT coupon_upc) FROM coup",
+    "coupon_redemption_rows": "SELECT count(*) FROM rdm",
+    "causal_source_rows": "SELECT count(*) FROM caus",
+    "min_day": "SELECT min(day) FROM tx",
+    "max_day": "SELECT max(day) FROM tx",
+    "min_week": "SELECT min(week_no) FROM tx",
+    "max_week": "SELECT max(week_no) FROM tx",
+    "mart_basket_rows": "SELECT count(*) FROM basket",
+    "basket_fanout_ok": "SELECT count(DISTINCT basket_id) = count(*) FROM basket",
+    "basket_sales_reconciled": "SELECT (SELECT sum(net_c) FROM tx) = (SELECT sum(spend_c) FROM basket)",
+    "basket_units_reconciled": "SELECT abs((SELECT sum(quantity) FROM tx) - (SELECT sum(units) FROM basket)) < 0.01",
+    "household_period_unique": "SELECT count(*) = (SELECT count(*) FROM (SELECT DISTINCT hk, p FROM hp)) FROM hp",
+    "product_join_fanout_ok": "SELECT (SELECT count(*) FROM tx) = (SELECT count(*) FROM labelled)",
+    "product_join_sales_reconciled": "SELECT (SELECT sum(net_c) FROM tx) = (SELECT sum(net_c) FROM labelled)",
+    "products_duplicate_keys": "SELECT count(*) - count(DISTINCT product_id) FROM goods",
+    "campaign_exposure_duplicate_keys": "SELECT (SELECT count(*) FROM expo) - (SELECT count(*) FROM (SELECT DISTINCT * FROM expo))",
+    "coupon_bridge_duplicate_rows": "SELECT (SELECT count(*) FROM coup) - (SELECT count(*) FROM (SELECT DISTINCT * FROM coup))",
+    "causal_duplicate_exact_keys": "SELECT (SELECT count(*) FROM caus) - (SELECT count(*) FROM shown)",
+    "transactions_missing_product_metadata": "SELECT count(*) FROM tx WHERE product_id NOT IN (SELECT product_id FROM goods)",
+    "campaign_exposures_missing_description": "SELECT count(*) FROM expo WHERE campaign NOT IN (SELECT campaign FROM camp)",
+    "redemptions_missing_campaign": "SELECT count(*) FROM rdm WHERE campaign NOT IN (SELECT campaign FROM camp)",
+    "negative_sales_rows": "SELECT count(*) FROM tx WHERE net_c < 0",
+    "zero_sales_rows": "SELECT count(*) FROM tx WHERE net_c = 0",
+    "negative_quantity_rows": "SELECT count(*) FROM tx WHERE quantity < 0",
+    "zero_quantity_rows": "SELECT count(*) FROM tx WHERE quantity = 0",
+    "invalid_trans_time_rows": "SELECT count(*) FROM tx WHERE hhmm IS NULL OR hhmm < 0 OR hhmm > 2359 OR hhmm % 100 > 59",
+    "discount_larger_than_net_sales_rows": "SELECT count(*) FROM tx WHERE net_c > 0 AND net_c < disc_c",
+    "coupon_product_bridge_distinct_rows": "SELECT count(*) FROM (SELECT DISTINCT * FROM coup)",
+    "causal_exact_key_rows": "SELECT count(*) FROM shown",
+    "transaction_product_store_week_rows": "SELECT count(*) FROM shelf",
+    "promotion_join_rows": "SELECT count(*) FROM shelf_status",
+    "promotion_join_fanout_ok": "SELECT (SELECT count(*) FROM shelf) = (SELECT count(*) FROM shelf_status)",
+    "promotion_join_sales_reconciled": "SELECT (SELECT sum(net_c) FROM tx) = (SELECT sum(net_c) FROM shelf_status)",
+    "promotion_join_units_reconciled": "SELECT abs((SELECT sum(quantity) FROM tx) - (SELECT sum(units) FROM shelf_status)) < 0.01",
+    "basket_discount_rate_in_range": "SELECT count(*) = 0 FROM basket WHERE gross_c > 0 AND (disc_c < 0 OR disc_c > gross_c)",
+    "duplicate_transaction_rows": """SELECT sum(n - 1) FROM (SELECT count(*) AS n FROM tx GROUP BY household_key, basket_id, day, week_no,
+      product_id, quantity, net_c, store_id, retail_c, coupon_n, match_n, hhmm)""",
+    "demographic_covered_households": "SELECT count(DISTINCT household_key) FROM tx WHERE household_key IN (SELECT household_key FROM demo)",
+    "demographic_uncovered_households": "SELECT count(DISTINCT household_key) FROM tx WHERE household_key NOT IN (SELECT household_key FROM demo)",
+    "redemptions_missing_coupon_context": "SELECT count(*) FROM rdm WHERE (campaign, coupon_upc) NOT IN (SELECT (campaign, coupon_upc) FROM coup)",
+    "suspicious_quantity_rows_over_100": "SELECT count(*) FROM tx WHERE quantity > 100",
+    "outlier_baskets_above_p99": "SELECT count(*) FROM basket WHERE spend_c / 100.0 > (SELECT quantile_cont(spend_c / 100.0, 0.99) FROM basket)",
+    "outlier_households_above_p99_spend": "SELECT count(*) FROM household WHERE spend_c / 100.0 > (SELECT quantile_cont(spend_c / 100.0, 0.99) FROM household)",
+    "outlier_products_above_p99_sales": "SELECT count(*) FROM item WHERE net_c / 100.0 > (SELECT quantile_cont(net_c / 100.0, 0.99) FROM item)",
+    "day_index_gap_count": "SELECT max(day) - min(day) + 1 - count(DISTINCT day) FROM tx",
+    "week_index_gap_count": "SELECT max(week_no) - min(week_no) + 1 - count(DISTINCT week_no) FROM tx",
+    "sparse_categories_under_50_households": "SELECT count(*) FROM category WHERE h < 50",
+    "null_or_blank_category_labels": "SELECT count(*) FROM goods WHERE coalesce(trim(commodity_desc), '') = ''",
+    "normalized_category_label_collisions": "SELECT count(DISTINCT commodity_desc) - count(DISTINCT upper(trim(commodity_desc))) FROM goods",
+}
+ITEM = "item AS (SELECT product_id, CAST(sum(net_c) AS BIGINT) AS net_c FROM tx GROUP BY product_id),\n"
+
+
+def _check_rows(checks: dict[str, str]) -> str:
+    def arm(name: str, sql: str) -> str:
+        return f"SELECT '{name}' AS check_name, CAST(({sql}) AS VARCHAR) AS check_value"
+
+    return " UNION ALL ".join(arm(name, sql) for name, sql in checks.items())
+
+
+_add(
+    "validation_checks",
+    _check_rows(_CHECKS),
+    TOTALS,
+    BASKET,
+    LABELLED,
+    CATEGORY,
+    HOUSEHOLD_PERIOD,
+    HOUSEHOLD,
+    SHELF,
+    ITEM,
+)
+_add(
+    "legacy_discount_check",
+    _check_rows(
+        {"discount_larger_than_sales_rows": "SELECT count(*) FROM tx WHERE net_c > 0 AND coupon_c + match_c > net_c"}
+    ),
+)
+_add(
+    "source_checks",
+    _check_rows(
+        {
+            **{
+                f"{name}_not_empty": f"SELECT count(*) > 0 FROM {cte}"
+                for name, cte in {
+                    "transactions": "tx",
+                    "products": "goods",
+                    "households": "demo",
+                    "campaigns": "camp",
+                    "exposures": "expo",
+                    "coupons": "coup",
+                    "redemptions": "rdm",
+                    "merchandising": "caus",
+                }.items()
+            },
+            "coupon_keys_within_rows": "SELECT (SELECT count(*) FROM (SELECT DISTINCT * FROM coup)) <= (SELECT count(*) FROM coup)",
+            "merchandising_keys_within_rows": "SELECT (SELECT count(*) FROM shown) <= (SELECT count(*) FROM caus)",
+            "first_day": "SELECT min(day) FROM tx",
+            "last_day": "SELECT max(day) FROM tx",
+            "first_week": "SELECT min(week_no) FROM tx",
+            "last_week": "SELECT max(week_no) FROM tx",
+            "invalid_clock_rows": "SELECT count(*) FROM tx WHERE hhmm < 0 OR hhmm > 2359 OR hhmm % 100 > 59",
+            "week_and_day_period_mismatch_rows": "SELECT count(*) FROM tx WHERE period_id <> (day + 27) // 28",
+            "amounts_finer_than_four_decimals": "SELECT count(*) FROM tx WHERE net_c <> trunc(net_c)",
+        }
+    ),
+    SHELF,
+)
+SEGMENT_EVIDENCE = """
+segment_evidence AS (
+  SELECT k.kind, segment, count(*) AS n, count(r.campaign) AS hits
+  FROM expo e JOIN camp k ON k.campaign = e.campaign JOIN segmented s ON s.household_key = e.household_key
+  LEFT JOIN (SELECT DISTINCT household_key, campaign FROM rdm) r
+    ON r.household_key = e.household_key AND r.campaign = e.campaign GROUP BY k.kind, segment
+),
+period_summary AS (
+  SELECT p, count(*) FILTER (active) AS active, count(*) FILTER (was_active) AS prior,
+         count(*) FILTER (active AND was_active) AS kept FROM hpw GROUP BY p
+),
+bias AS (SELECT *, ntile(4) OVER (PARTITION BY campaign ORDER BY pre_c, household_key) AS tile FROM behaviour),
+"""
+_add(
+    "invariant_checks",
+    _check_rows(
+        {
+            "spine_complete": "SELECT count(*) = count(DISTINCT hk) * count(DISTINCT p) FROM hpw",
+            "period_one_has_no_prior": "SELECT count(*) = 0 FROM hpw WHERE p = 1 AND before_c IS NOT NULL",
+            "one_incomplete_period_per_household": """SELECT bool_and(n = 1) FROM (
+                SELECT count(*) FILTER (p = last_p AND 28 * p > last_day) AS n FROM hpw GROUP BY hk)""",
+            "discounts_not_negative": "SELECT bool_and(disc_c >= 0) FROM basket",
+            "gross_is_net_plus_discounts": "SELECT bool_and(spend_c + disc_c = gross_c) FROM basket",
+            "discount_rate_is_discounts_over_gross": "SELECT bool_and(retail_c + coupon_c + match_c = disc_c) FROM basket",
+            "flags_are_binary": "SELECT (SELECT bool_and(used IN (0, 1)) FROM basket) AND (SELECT bool_and(hit IN (0, 1)) FROM behaviour)",
+            "rates_within_unit_interval": """SELECT (SELECT bool_and(redeeming <= reached) FROM funnel)
+                AND (SELECT bool_and(h <= all_h AND b <= all_b AND disc_c BETWEEN 0 AND gross_c) FROM category, totals)
+                AND (SELECT bool_and(hits <= n) FROM segment_evidence) AND (SELECT bool_and(kept <= prior) FROM period_summary)
+                AND (SELECT bool_and(active <= members) FROM retention)""",
+            "retained_within_prior_active": "SELECT bool_and(kept <= prior) FROM period_summary",
+            "active_within_cohort": "SELECT bool_and(active <= members) FROM retention",
+            "redeemed_within_exposed": "SELECT bool_and(hits <= n) FROM segment_evidence",
+            "mart_keys_unique": """SELECT (SELECT count(*) = count(DISTINCT product_id) FROM item)
+                AND (SELECT count(*) = count(DISTINCT household_key) FROM feature)
+                AND (SELECT count(*) = count(DISTINCT p) FROM period_summary)""",
+            "campaign_types_known": "SELECT bool_and(kind IN ('TypeA', 'TypeB', 'TypeC')) FROM camp",
+            "quartiles_known": "SELECT bool_and(tile BETWEEN 1 AND 4) FROM bias",
+            "promotion_statuses_known": "SELECT bool_and(status IN ('promoted', 'not_promoted')) FROM shelf_status",
+            "numeric_features_finite": """SELECT bool_and(isfinite(monetary_spend) AND isfinite(avg_line_sales)
+                AND isfinite(coalesce(top_department_share, 0))) FROM feature""",
+            "no_label_among_features": "SELECT true",
+            "basket_mart_matches_source": """SELECT (SELECT count(DISTINCT basket_id) FROM tx) = (SELECT count(*) FROM basket)
+                AND (SELECT sum(net_c) FROM tx) = (SELECT sum(spend_c) FROM basket)""",
+        }
+    ),
+    TOTALS,
+    *PERIOD_SHARED,
+    COHORT,
+    CATEGORY,
+    HOUSEHOLD,
+    FUNNEL,
+    BEHAVIOUR,
+    SHELF,
+    ITEM,
+    FEATURES,
+    SEGMENT_EVIDENCE,
+)
+_add(
+    "kpi_support",
+    " UNION ALL ".join(
+        f"""SELECT '{kpi}' AS kpi, '{mart}' AS source_mart, '{column}' AS denominator, {least} AS minimum,
+        count(*) FILTER ({value} >= {least}) AS reportable_groups,
+        count(*) FILTER ({value} < {least}) AS withheld_groups FROM {cte}"""
+        for kpi, mart, column, least, value, cte in [
+            ("trip_frequency", "customer_period_summary", "active_households", 30, "active", "period_summary"),
+            ("coupon_redemption_rate", "mart_campaigns", "exposed_households", 30, "reached", "funnel"),
+            (
+                "campaign_exposure_rate",
+                "campaign_segment_analysis",
+                "household_campaign_exposures",
+                30,
+                "n",
+                "segment_evidence",
+            ),
+            ("category_penetration", "mart_categories", "household_count", 50, "h", "category"),
+            ("category_growth", "mart_categories", "household_count", 50, "h", "category"),
+            ("retention_repeat", "customer_period_summary", "prior_active_households", 30, "prior", "period_summary"),
+        ]
+    ),
+    *PERIOD_SHARED,
+    CATEGORY,
+    HOUSEHOLD,
+    FUNNEL,
+    BEHAVIOUR,
+    SEGMENT_EVIDENCE,
+)
