@@ -10,18 +10,25 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketmart.operators import ordering as O
 from basketmart.plans import baskets as B
 from basketmart.plans import campaigns as K
 from basketmart.plans import categories as C
+from basketmart.plans import chart_data as D
 from basketmart.plans import customers as U
 from basketmart.plans import household_period as H
+from basketmart.plans import matrix as M
+from basketmart.plans import model as L
 from basketmart.plans import features as X
 from basketmart.plans import products as P
 from basketmart.plans import promotion as R
+from basketmart.plans import statistics as T
 from basketmart.plans import validation as V
 from basketmart.plans import warehouse
 from basketmart.plans.staging import stage_all
 from basketmart.session import stored, tune
+from basketmart.functions.money import money
+from basketmart.functions.pvalues import normal_p, student_p
 from basketmart.sources.star import star_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -394,3 +401,323 @@ def invariant_checks(s):
 @query
 def kpi_support(s):
     return V.kpi_support(_shared_marts(s)[1])
+
+
+# --- statistics ------------------------------------------------------------------------------------------------------
+
+
+def _stored_periods(s):
+    return stored(_household_period(s))
+
+
+def nine_digits(column: str):
+    """A double with nine significant digits, for values whose size differs by many orders of magnitude."""
+    return F.format_string("%.8e", F.col(column)).cast("double")
+
+
+@query
+def basket_descriptives(s):
+    return rounded(
+        T.basket_descriptives(_stored_baskets(s)),
+        mean_basket_spend=4,
+        median_basket_spend=4,
+        sd_basket_spend=2,
+        mean_basket_units=6,
+        median_basket_units=4,
+        mean_discount_rate=6,
+        median_discount_rate=6,
+    )
+
+
+@query
+def event_probabilities(s):
+    inputs = _period_inputs(s)
+    summary = H.customer_period_summary(H.mart_household_period(*inputs))
+    frame = T.event_probabilities(inputs[0], summary)
+    return rounded(frame, **{name: 6 for name in frame.columns})
+
+
+@query
+def bootstrap_ci(s):
+    return rounded(T.bootstrap_ci(_stored_baskets(s)), lower=3, upper=3)
+
+
+@query
+def welch_spend(s):
+    return rounded(
+        T.welch_spend(_stored_periods(s)), early_mean=4, late_mean=4, t_statistic=6, degrees_of_freedom=3
+    )
+
+
+@query
+def cohens_d(s):
+    return rounded(T.cohens_d(_stored_periods(s)), late_minus_early_d=6)
+
+
+@query
+def mann_whitney_discount(s):
+    return rounded(T.mann_whitney_discount(_categories(s)), z_score=6)
+
+
+@query
+def rank_biserial(s):
+    return rounded(T.rank_biserial(_categories(s)), rank_biserial=6)
+
+
+@query
+def hypothesis_p_values(s):
+    welch = T.welch_spend(_stored_periods(s)).select(
+        F.lit("welch_spend").alias("test"), F.round(student_p("t_statistic", "degrees_of_freedom"), 4).alias("p_value")
+    )
+    ranks = T.mann_whitney_discount(_categories(s)).select(
+        F.lit("mann_whitney_discount").alias("test"), F.round(normal_p("z_score"), 4).alias("p_value")
+    )
+    return welch.unionByName(ranks)
+
+
+@query
+def basket_spearman(s):
+    return rounded(T.basket_spearman(_baskets(s)), rho=6)
+
+
+@query
+def basket_covariance(s):
+    return T.basket_covariance(_baskets(s)).withColumn("covariance", nine_digits("covariance"))
+
+
+@query
+def experiment_mde(s):
+    return rounded(T.experiment_mde(_stored_periods(s)), mde_spend=2, mde_percent=2)
+
+
+@query
+def sample_size_by_lift(s):
+    return T.sample_size_by_lift(_baskets(s))
+
+
+# --- figures ---------------------------------------------------------------------------------------------------------
+
+
+@query
+def baskets_by_week(s):
+    return B.baskets_by_week(s["transactions"])
+
+
+@query
+def basket_spend_hist(s):
+    return rounded(D.basket_spend_histogram(_stored_baskets(s)), bin_start=2)
+
+
+@query
+def basket_freq_hist(s):
+    return rounded(D.basket_frequency_histogram(_stored_periods(s)), bin_start=6)
+
+
+@query
+def retention_pivot(s):
+    matrix = stored(H.customer_retention_matrix(_household_period(s)))
+    last = matrix.agg(F.max("period_id")).first()[0]
+    frame = D.retention_pivot(matrix, last)
+    return rounded(frame, **{name: 6 for name in frame.columns if name != "cohort_period"})
+
+
+@query
+def category_points(s):
+    return rounded(
+        D.category_points(_categories(s)), household_penetration=6, category_sales=2, sales_growth=2, discount_rate=6
+    )
+
+
+@query
+def discount_sales_fit(s):
+    return D.discount_sales_fit(_categories(s)).select(
+        nine_digits("slope").alias("slope"), nine_digits("intercept").alias("intercept")
+    )
+
+
+@query
+def first_campaigns(s):
+    return D.first_campaigns(_campaigns(s))
+
+
+# --- matrix and model ------------------------------------------------------------------------------------------------
+
+
+def _cells(s):
+    return M.spend_cells(s["transactions"], s["products"])
+
+
+@query
+def spend_matrix_cells(s):
+    return _cells(s).select("household_key", "commodity_desc", F.round(money("spend_u"), 2).alias("spend"))
+
+
+@query
+def matrix_profile(s):
+    return rounded(M.matrix_profile(_cells(s)), sparsity=4)
+
+
+@query
+def nearest_households(s):
+    return rounded(M.nearest_households(stored(_cells(s))), cosine_similarity=4)
+
+
+@query
+def nearest_to_first_household(s):
+    return rounded(M.nearest_households(stored(_cells(s)), sample=200, anchor_only=True), cosine_similarity=4)
+
+
+@query
+def pca_variance(s):
+    return rounded(M.pca_variance(_cells(s)), variance_share=4, cumulative_share=4)
+
+
+@query
+def model_holdout(s):
+    return L.model_holdout(_features(s))
+
+
+@query
+def model_coefficients(s):
+    return rounded(L.model_coefficients(_features(s)), coefficient=3)
+
+
+# --- single operators ------------------------------------------------------------------------------------------------
+
+
+@query
+def interval_join(s):
+    frame = K.exposure_behaviour(s["transactions"], s["exposures"], s["campaigns"], s["redemptions"])
+    return frame.select(
+        "household_key",
+        "campaign",
+        "redeemed_flag",
+        F.round(money("pre_u"), 2).alias("pre_spend"),
+        F.round(money("post_u"), 2).alias("post_spend"),
+        "pre_baskets",
+        "post_baskets",
+    )
+
+
+@query
+def existence_flag(s):
+    redeemed = K.redeemed_pairs(s["redemptions"])
+    joined = s["exposures"].join(redeemed, ["household_key", "campaign"], "left")
+    return joined.select(
+        "household_key", "campaign", F.col("redemptions").isNotNull().cast("int").alias("redeemed_flag")
+    )
+
+
+@query
+def missing_product_lines(s):
+    lines = s["transactions"].groupBy("product_id").agg(F.count(F.lit(1)).alias("transaction_lines"))
+    return lines.join(s["products"], "product_id", "left_anti")
+
+
+@query
+def covered_households(s):
+    return s["transactions"].select("household_key").distinct().join(s["households"], "household_key", "left_semi")
+
+
+@query
+def exact_grain_join(s):
+    frame = R.promoted_product_store_weeks(s["transactions"], s["merchandising"])
+    return frame.select(
+        *R.GRAIN, "promotion_status", F.round(money("sales_u"), 2).alias("sales"), "baskets", "transaction_lines"
+    )
+
+
+@query
+def deduplicated_bridge(s):
+    return R.exact_merchandising(s["merchandising"])
+
+
+@query
+def distinct_tuples(s):
+    """Tuples with a NULL field count like any other, so the pair is counted as one struct."""
+    tx = s["transactions"]
+    return tx.agg(
+        F.count_distinct(F.struct("product_id", "coupon_disc_signed")).alias("product_coupon_tuples"),
+        F.count_distinct("product_id", "coupon_disc_signed").alias("complete_tuples"),
+    )
+
+
+@query
+def product_attributes(s):
+    return P.product_attributes(s["products"])
+
+
+@query
+def basket_quantiles(s):
+    series = {"basket_spend": F.col("basket_spend"), "basket_units": F.col("basket_units")}
+    return rounded(O.exact_quantiles(_baskets(s), series, [0.5, 0.75, 0.99]), quantile=4)
+
+
+@query
+def outliers_above_p99(s):
+    series = {"basket_spend": F.col("basket_spend"), "basket_units": F.col("basket_units")}
+    return rounded(O.rows_above_quantile(_baskets(s), series, 0.99), quantile=4)
+
+
+@query
+def clipped_basket_spend(s):
+    baskets = _stored_baskets(s).select("basket_id", "household_key", "basket_spend")
+    return rounded(D.clip_at_quantile(baskets, "basket_spend", 0.99), basket_spend=4)
+
+
+@query
+def average_ranks(s):
+    """Basket spend, units and their tied ranks, looked up without gathering a frequent value."""
+    baskets = _stored_baskets(s).select("basket_id", "household_key", "basket_units")
+    ranks = stored(O.value_ranks(baskets, {"units": F.col("basket_units")}))
+    return O.attach_rank(baskets, ranks, "units", "basket_units", "units_rank")
+
+
+@query
+def ntile_global(s):
+    return U.household_quartiles(_baskets(s)).select("household_key", "value_quartile")
+
+
+@query
+def ntile_per_campaign(s):
+    frame = K.exposure_behaviour(s["transactions"], s["exposures"], s["campaigns"], s["redemptions"])
+    tiled = O.ntile(frame, 4, ["pre_u", "household_key"], ["campaign"], "prior_value_quartile")
+    return tiled.select("household_key", "campaign", "prior_value_quartile")
+
+
+@query
+def top_department(s):
+    tx = s["transactions"]
+    end = X.observation_end(tx)
+    return X.top_departments(X.observed_products(tx, s["products"], end)).select(
+        "household_key", "top_department", F.round(money("top_u"), 2).alias("department_spend")
+    )
+
+
+@query
+def demographic_gaps(s):
+    buyers = s["transactions"].select("household_key").distinct().join(s["households"], "household_key", "left")
+    return buyers.select(
+        "household_key", X.all_null_flag(buyers, X.DEMOGRAPHIC_COLUMNS).alias("missing_demographic_flag")
+    )
+
+
+@query
+def supported_categories(s):
+    return C.min_support(_categories(s), "household_count", 50).select("department", "commodity_desc", "household_count")
+
+
+@query
+def index_gaps(s):
+    def gaps(name):
+        return (F.max(name) - F.min(name) + 1 - F.count_distinct(name)).alias(f"{name}_gaps")
+
+    return s["transactions"].select("day", "week_no").distinct().agg(gaps("day"), gaps("week_no"))
+
+
+@query
+def label_collisions(s):
+    """Spellings that become one label once case and outer blanks are ignored."""
+    labels = s["products"].filter(F.col("commodity_desc").isNotNull())
+    normal = F.upper(F.trim("commodity_desc")).alias("normalized_label")
+    return labels.groupBy(normal).agg(F.count_distinct("commodity_desc").alias("spellings")).filter("spellings > 1")

@@ -160,7 +160,12 @@ def mart_category_diagnostics(categories: DataFrame, periods: DataFrame) -> Data
     )
 
 
+def min_support(frame: DataFrame, column: str, least: int) -> DataFrame:
+    """Rows whose denominator reaches the minimum."""
+    return frame.filter(F.col(column) >= least)
+
+
 def top_categories(frame: DataFrame, measure: str, count: int, min_households: int) -> DataFrame:
     """The ``count`` leading categories by a measure among those with enough buying households."""
-    supported = frame.filter(F.col("household_count") >= min_households)
+    supported = min_support(frame, "household_count", min_households)
     return supported.orderBy(F.col(measure).desc(), *CATEGORY).limit(count)

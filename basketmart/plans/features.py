@@ -34,7 +34,7 @@ def _zero():
     return F.lit(0).cast("long")
 
 
-def _observed_products(tx: DataFrame, products: DataFrame, end: Column) -> DataFrame:
+def observed_products(tx: DataFrame, products: DataFrame, end: Column) -> DataFrame:
     """Observed lines reduced to household × product, with the product's category."""
     half = F.greatest(F.lit(1), F.floor(end / 2))
     sales, discount = units("sales_value"), discount_units()
@@ -91,7 +91,7 @@ def mart_customer_features(
 ) -> DataFrame:
     """One row per household seen in the observation window."""
     end = observation_end(tx)
-    observed = _observed_products(tx, products, end)
+    observed = observed_products(tx, products, end)
     base = observed.groupBy(HOUSEHOLD).agg(
         (end - F.max("last_week")).alias("recency_weeks"),
         F.sum("sales_u").alias("sales_u"),

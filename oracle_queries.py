@@ -889,3 +889,470 @@ _add(
     BEHAVIOUR,
     SEGMENT_EVIDENCE,
 )
+
+
+# --- statistics ------------------------------------------------------------------------------------------------------
+
+MEASURE = """
+measure AS (
+  SELECT basket_id, household_key, spend_c / 100.0 AS spend, units, CASE WHEN gross_c > 0 THEN disc_c / gross_c END AS rate,
+         spend_c, used
+  FROM basket
+),
+"""
+_add(
+    "basket_descriptives",
+    """
+SELECT round(sum(spend_c) / (100.0 * count(*)), 4) AS mean_basket_spend, round(median(spend), 4) AS median_basket_spend,
+       round(stddev_samp(spend), 2) AS sd_basket_spend, round(sum(units) / count(units), 6) AS mean_basket_units,
+       round(median(units), 4) AS median_basket_units, round(avg(rate), 6) AS mean_discount_rate,
+       round(median(rate), 6) AS median_discount_rate
+FROM measure
+""",
+    BASKET,
+    MEASURE,
+)
+_add(
+    "event_probabilities",
+    """
+SELECT round(sum(used) / count(*), 6) AS coupon_basket_probability,
+       round(count(*) FILTER (spend_c > 5000) / count(*), 6) AS basket_over_50_probability,
+       round((SELECT count(*) FILTER (active AND was_active) / count(*) FILTER (was_active) FROM hpw), 6)
+         AS adjacent_retention_probability
+FROM basket
+""",
+    *PERIOD_SHARED,
+)
+_add(
+    "bootstrap_ci",
+    """
+WITH amounts AS (
+  SELECT 'basket_spend' AS measure, CAST(basket_id AS VARCHAR) AS k, spend_c AS c FROM basket
+  UNION ALL SELECT 'household_spend', CAST(household_key AS VARCHAR), spend_c FROM household
+),
+bucketed AS (
+  SELECT measure, CAST('0x' || md5(k)[1:8] AS BIGINT) % 1000 AS bucket, sum(c) AS total, count(*) AS n
+  FROM amounts GROUP BY ALL
+),
+poisson AS (
+  SELECT k, sum(p) OVER (ORDER BY k ROWS UNBOUNDED PRECEDING) AS reach
+  FROM (SELECT k, exp(-1) / factorial(CAST(k AS INTEGER)) AS p FROM range(13) t(k))
+),
+draws AS (
+  SELECT measure, replicate, total, n,
+         CAST('0x' || md5(bucket || '-' || replicate)[1:8] AS BIGINT) / 4294967296.0 AS u
+  FROM bucketed, range(500) r(replicate)
+),
+means AS (
+  SELECT measure, replicate, sum(w * total) / (100.0 * sum(w * n)) AS m
+  FROM (SELECT *, (SELECT count(*) FROM poisson WHERE reach <= u) AS w FROM draws) GROUP BY measure, replicate
+)
+SELECT measure, round(quantile_cont(m, 0.025), 3) AS lower, round(quantile_cont(m, 0.975), 3) AS upper
+FROM means GROUP BY measure
+""",
+    BASKET,
+    HOUSEHOLD,
+)
+HALVES = """
+halves AS (
+  SELECT p <= (SELECT median(p) FROM hp) AS early, count(*) AS n, sum(spend_c) / (100.0 * count(*)) AS m,
+         var_samp(spend_c / 100.0) AS v
+  FROM hp GROUP BY 1
+),
+sides AS (
+  SELECT max(n) FILTER (early) AS n1, max(n) FILTER (NOT early) AS n2, max(m) FILTER (early) AS m1,
+         max(m) FILTER (NOT early) AS m2, max(v) FILTER (early) AS v1, max(v) FILTER (NOT early) AS v2
+  FROM halves
+),
+"""
+_add(
+    "welch_spend",
+    """
+SELECT n1 AS early_rows, n2 AS late_rows, round(m1, 4) AS early_mean, round(m2, 4) AS late_mean,
+       round((m1 - m2) / sqrt(v1 / n1 + v2 / n2), 6) AS t_statistic,
+       round(pow(v1 / n1 + v2 / n2, 2) / (pow(v1 / n1, 2) / (n1 - 1) + pow(v2 / n2, 2) / (n2 - 1)), 3)
+         AS degrees_of_freedom
+FROM sides
+""",
+    *PERIOD_SHARED,
+    HALVES,
+)
+_add(
+    "cohens_d",
+    "SELECT round((m2 - m1) / sqrt((v1 + v2) / 2), 6) AS late_minus_early_d FROM sides",
+    *PERIOD_SHARED,
+    HALVES,
+)
+GROUPS = """
+priced_category AS (
+  SELECT net_c, h, CASE WHEN gross_c > 0 THEN disc_c / gross_c END AS rate FROM category WHERE h >= {least}
+),
+split AS (
+  SELECT net_c, rate >= (SELECT median(rate) FROM priced_category) AS high FROM priced_category WHERE rate IS NOT NULL
+),
+placed AS (
+  SELECT high, rank() OVER (ORDER BY net_c) + (count(*) OVER (PARTITION BY net_c) - 1) / 2.0 AS r,
+         count(*) OVER (PARTITION BY net_c) AS t
+  FROM split
+),
+u_test AS (
+  SELECT count(*) FILTER (high) AS n1, count(*) FILTER (NOT high) AS n2,
+         sum(r) FILTER (high) - count(*) FILTER (high) * (count(*) FILTER (high) + 1) / 2.0 AS u,
+         sum(t * t - 1) AS ties
+  FROM placed
+),
+"""
+_add(
+    "mann_whitney_discount",
+    """
+SELECT n1 AS high_discount_categories, n2 AS low_discount_categories, CAST(u AS DOUBLE) AS u_statistic,
+       round((greatest(u, n1 * n2 - u) - n1 * n2 / 2.0 - 0.5)
+             / sqrt(n1 * n2 / 12.0 * (n1 + n2 + 1 - ties / ((n1 + n2) * (n1 + n2 - 1.0)))), 6) AS z_score
+FROM u_test
+""",
+    LABELLED,
+    CATEGORY,
+    GROUPS.format(least=0),
+)
+_add(
+    "rank_biserial",
+    """
+SELECT n1 AS high_discount_categories, n2 AS low_discount_categories, CAST(u AS DOUBLE) AS u_statistic,
+       round(2 * u / (n1 * n2) - 1, 6) AS rank_biserial
+FROM u_test
+""",
+    LABELLED,
+    CATEGORY,
+    GROUPS.format(least=50),
+)
+_PAIR_NAMES = {"basket_spend": "spend", "basket_units": "units", "discount_rate": "rate"}
+_add(
+    "basket_covariance",
+    " UNION ALL ".join(
+        f"""SELECT '{a}' AS measure, '{b}' AS other_measure,
+        CAST(printf('%.8e', covar_samp({x}, {y})) AS DOUBLE) AS covariance
+        FROM measure WHERE {x} IS NOT NULL AND {y} IS NOT NULL"""
+        for a, x in _PAIR_NAMES.items()
+        for b, y in _PAIR_NAMES.items()
+    ),
+    BASKET,
+    MEASURE,
+)
+
+
+def _tied(column: str) -> str:
+    return f"rank() OVER (ORDER BY {column}) + (count(*) OVER (PARTITION BY {column}) - 1) / 2.0"
+
+
+_add(
+    "basket_spearman",
+    " UNION ALL ".join(
+        f"""SELECT '{a}' AS measure, '{b}' AS other_measure, round(corr(x, y), 6) AS rho
+        FROM (SELECT {_tied(x)} AS x, {_tied(y)} AS y FROM measure WHERE {x} IS NOT NULL AND {y} IS NOT NULL)"""
+        for a, x in _PAIR_NAMES.items()
+        for b, y in _PAIR_NAMES.items()
+    ),
+    BASKET,
+    MEASURE,
+)
+_add(
+    "experiment_mde",
+    """
+SELECT CAST(arm AS INTEGER) AS households_per_arm, round(2.8 * sqrt(2) * sd / sqrt(arm), 2) AS mde_spend,
+       round(100 * 2.8 * sqrt(2) * sd / sqrt(arm) / m, 2) AS mde_percent
+FROM (SELECT sum(spend_c) / (100.0 * count(*)) AS m, stddev_samp(spend_c / 100.0) AS sd FROM hp WHERE p < last_p),
+     (VALUES (250), (500), (1000), (1500)) arms(arm)
+""",
+    *PERIOD_SHARED,
+)
+_add(
+    "sample_size_by_lift",
+    """
+SELECT CAST(pct AS DOUBLE) AS lift_percent,
+       CAST(ceil(2 * pow(2.8 * sd / (m * pct / 100), 2)) AS BIGINT) AS households_per_group
+FROM (SELECT sum(spend_c) / (100.0 * count(*)) AS m, stddev_samp(spend_c / 100.0) AS sd FROM household),
+     (VALUES (3.0::DOUBLE), (4.0), (5.0), (7.5), (10.0)) lifts(pct)
+""",
+    BASKET,
+    HOUSEHOLD,
+)
+
+# --- figures ---------------------------------------------------------------------------------------------------------
+
+_add("baskets_by_week", "SELECT week_no, count(DISTINCT basket_id) AS baskets FROM tx GROUP BY week_no")
+_add(
+    "basket_spend_hist",
+    """
+WITH cut AS (SELECT min(spend) AS lo, quantile_cont(spend, 0.99) AS hi FROM measure),
+placed AS (SELECT least(floor((least(spend, hi) - lo) / ((hi - lo) / 50)), 49) AS bin FROM measure, cut)
+SELECT CAST(bin AS INTEGER) AS bin, round(lo + bin * ((hi - lo) / 50), 2) AS bin_start, count(*) AS baskets
+FROM placed, cut GROUP BY bin, lo, hi
+""",
+    BASKET,
+    MEASURE,
+)
+_add(
+    "basket_freq_hist",
+    """
+WITH cut AS (SELECT CAST(min(n) AS DOUBLE) AS lo, CAST(max(n) AS DOUBLE) AS hi FROM bought),
+placed AS (SELECT CASE WHEN hi > lo THEN least(floor((n - lo) / ((hi - lo) / 40)), 39) ELSE 0 END AS bin FROM bought, cut)
+SELECT CAST(bin AS INTEGER) AS bin, round(lo + bin * ((hi - lo) / 40), 6) AS bin_start, count(*) AS household_periods
+FROM placed, cut GROUP BY bin, lo, hi
+""",
+    BASKET,
+    LABELLED,
+    PERIOD_PARTS,
+)
+_add(
+    "retention_pivot",
+    "SELECT cohort AS cohort_period, "
+    + ", ".join(f"round(max(active / members) FILTER (p = {p}), 6) AS period_{p}" for p in range(1, 27))
+    + " FROM retention GROUP BY cohort",
+    *PERIOD_SHARED,
+    COHORT,
+)
+POINTS = """
+points AS (
+  SELECT department, commodity_desc, h / all_h AS reach, net_c / 100.0 AS sales, (late_c - early_c) / 100.0 AS growth,
+         CASE WHEN gross_c > 0 THEN disc_c / gross_c END AS rate
+  FROM category, totals WHERE h >= 50 ORDER BY net_c DESC, department, commodity_desc LIMIT 40
+),
+"""
+_add(
+    "category_points",
+    """
+SELECT department, commodity_desc, round(reach, 6) AS household_penetration, round(sales, 2) AS category_sales,
+       round(growth, 2) AS sales_growth, round(rate, 6) AS discount_rate
+FROM points
+""",
+    TOTALS,
+    LABELLED,
+    CATEGORY,
+    POINTS,
+)
+_add(
+    "discount_sales_fit",
+    """
+SELECT CAST(printf('%.8e', regr_slope(sales, rate)) AS DOUBLE) AS slope,
+       CAST(printf('%.8e', regr_intercept(sales, rate)) AS DOUBLE) AS intercept
+FROM points
+""",
+    TOTALS,
+    LABELLED,
+    CATEGORY,
+    POINTS,
+)
+_add(
+    "first_campaigns",
+    """
+SELECT campaign, reached AS exposed_households, redeeming AS redeeming_households FROM funnel ORDER BY campaign LIMIT 20
+""",
+    FUNNEL,
+)
+
+# --- matrix ----------------------------------------------------------------------------------------------------------
+
+CELLS = """
+cell AS (
+  SELECT household_key, commodity_desc, CAST(sum(net_c) AS BIGINT) AS net_c FROM labelled
+  GROUP BY household_key, commodity_desc
+),
+"""
+_add(
+    "spend_matrix_cells",
+    "SELECT household_key, commodity_desc, round(net_c / 100.0, 2) AS spend FROM cell",
+    LABELLED,
+    CELLS,
+)
+_add(
+    "matrix_profile",
+    """
+SELECT count(DISTINCT household_key) AS matrix_rows, count(DISTINCT commodity_desc) AS matrix_columns,
+       round(1 - count(*) FILTER (net_c <> 0) / (count(DISTINCT household_key) * count(DISTINCT commodity_desc)), 4)
+         AS sparsity
+FROM cell
+""",
+    LABELLED,
+    CELLS,
+)
+COSINE = """
+spread AS (
+  SELECT commodity_desc, sqrt(sum(pow(net_c / 100.0, 2)) / all_h - pow(sum(net_c / 100.0) / all_h, 2)) AS sd
+  FROM cell, totals GROUP BY commodity_desc, all_h
+),
+member AS (SELECT DISTINCT household_key FROM cell ORDER BY household_key LIMIT {sample}),
+scaled AS (
+  SELECT household_key, commodity_desc, net_c / 100.0 / CASE WHEN sd > 0 THEN sd ELSE 1 END AS x
+  FROM cell JOIN spread USING (commodity_desc) JOIN member USING (household_key)
+),
+norm AS (SELECT household_key, sqrt(sum(x * x)) AS n FROM scaled GROUP BY household_key),
+likeness AS (
+  SELECT a.household_key AS household_a, b.household_key AS household_b, sum(a.x * b.x) / any_value(na.n * nb.n) AS sim
+  FROM scaled a JOIN scaled b ON a.commodity_desc = b.commodity_desc AND a.household_key < b.household_key
+  JOIN norm na ON na.household_key = a.household_key JOIN norm nb ON nb.household_key = b.household_key
+  {anchor} GROUP BY a.household_key, b.household_key
+),
+"""
+for _name, _sample, _anchor in [
+    ("nearest_households", 250, ""),
+    ("nearest_to_first_household", 200, "WHERE a.household_key = (SELECT min(household_key) FROM member)"),
+]:
+    _add(
+        _name,
+        """
+SELECT household_a, household_b, round(sim, 4) AS cosine_similarity
+FROM likeness ORDER BY sim DESC, household_a, household_b LIMIT 1
+""",
+        TOTALS,
+        LABELLED,
+        CELLS,
+        COSINE.format(sample=_sample, anchor=_anchor),
+    )
+
+# --- single operators ------------------------------------------------------------------------------------------------
+
+_add(
+    "interval_join",
+    """
+SELECT household_key, campaign, hit AS redeemed_flag, round(pre_c / 100.0, 2) AS pre_spend,
+       round(post_c / 100.0, 2) AS post_spend, pre_b AS pre_baskets, post_b AS post_baskets
+FROM behaviour
+""",
+    BEHAVIOUR,
+)
+_add(
+    "existence_flag",
+    """
+SELECT household_key, campaign, CAST((household_key, campaign) IN (SELECT (household_key, campaign) FROM rdm) AS INTEGER)
+  AS redeemed_flag
+FROM expo
+""",
+)
+_add(
+    "missing_product_lines",
+    """
+SELECT product_id, count(*) AS transaction_lines FROM tx
+WHERE NOT EXISTS (FROM goods g WHERE g.product_id = tx.product_id) GROUP BY product_id
+""",
+)
+_add(
+    "covered_households",
+    "SELECT household_key FROM tx INTERSECT SELECT household_key FROM demo",
+)
+_add(
+    "exact_grain_join",
+    """
+SELECT product_id, store_id, week_no, status AS promotion_status, round(net_c / 100.0, 2) AS sales, baskets,
+       n_lines AS transaction_lines
+FROM shelf_status
+""",
+    SHELF,
+)
+_add(
+    "deduplicated_bridge",
+    """
+SELECT product_id, store_id, week_no, CAST(on_display AS INTEGER) AS display_flag,
+       CAST(in_mailer AS INTEGER) AS mailer_flag
+FROM shown
+""",
+    SHELF,
+)
+_add(
+    "distinct_tuples",
+    """
+SELECT count(*) AS product_coupon_tuples, count(coupon_n) AS complete_tuples
+FROM (SELECT DISTINCT product_id, coupon_n FROM tx)
+""",
+)
+_add(
+    "product_attributes",
+    """
+SELECT product_id, count(*) AS copies, max(manufacturer) AS manufacturer, max(brand) AS brand,
+       max(curr_size_of_product) AS curr_size_of_product, max(department) AS department,
+       max(commodity_desc) AS commodity_desc, max(sub_commodity_desc) AS sub_commodity_desc
+FROM goods GROUP BY product_id
+""",
+)
+_QUANTILES = [("basket_spend", "spend"), ("basket_units", "units")]
+_add(
+    "basket_quantiles",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS series, CAST({p} AS DOUBLE) AS probability,
+        round(quantile_cont({column}, {p}), 4) AS quantile FROM measure"""
+        for name, column in _QUANTILES
+        for p in (0.5, 0.75, 0.99)
+    ),
+    BASKET,
+    MEASURE,
+)
+_add(
+    "outliers_above_p99",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS series, round(q, 4) AS quantile, count(*) FILTER ({column} > q) AS rows
+        FROM measure, (SELECT quantile_cont({column}, 0.99) AS q FROM measure) GROUP BY q"""
+        for name, column in _QUANTILES
+    ),
+    BASKET,
+    MEASURE,
+)
+_add(
+    "clipped_basket_spend",
+    """
+SELECT basket_id, household_key, round(least(spend, (SELECT quantile_cont(spend, 0.99) FROM measure)), 4) AS basket_spend
+FROM measure
+""",
+    BASKET,
+    MEASURE,
+)
+_add(
+    "average_ranks",
+    f"SELECT basket_id, household_key, units AS basket_units, CAST({_tied('units')} AS DOUBLE) AS units_rank FROM measure",
+    BASKET,
+    MEASURE,
+)
+_add("ntile_global", "SELECT household_key, tile AS value_quartile FROM quartiled", BASKET, HOUSEHOLD)
+_add(
+    "ntile_per_campaign",
+    """
+SELECT household_key, campaign,
+       CAST(ntile(4) OVER (PARTITION BY campaign ORDER BY pre_c, household_key) AS INTEGER) AS prior_value_quartile
+FROM behaviour
+""",
+    BEHAVIOUR,
+)
+_add(
+    "top_department",
+    """
+SELECT household_key, department AS top_department, round(net_c / 100.0, 2) AS department_spend FROM favourite
+""",
+    LABELLED,
+    FEATURES,
+)
+_add(
+    "demographic_gaps",
+    """
+SELECT DISTINCT tx.household_key, CAST(demo.household_key IS NULL AS INTEGER) AS missing_demographic_flag
+FROM tx LEFT JOIN demo ON demo.household_key = tx.household_key
+""",
+)
+_add(
+    "supported_categories",
+    "SELECT department, commodity_desc, h AS household_count FROM category WHERE h >= 50",
+    LABELLED,
+    CATEGORY,
+)
+_add(
+    "index_gaps",
+    """
+SELECT max(day) - min(day) + 1 - count(DISTINCT day) AS day_gaps,
+       max(week_no) - min(week_no) + 1 - count(DISTINCT week_no) AS week_no_gaps
+FROM tx
+""",
+)
+_add(
+    "label_collisions",
+    """
+SELECT upper(trim(commodity_desc)) AS normalized_label, count(DISTINCT commodity_desc) AS spellings
+FROM goods WHERE commodity_desc IS NOT NULL GROUP BY 1 HAVING count(DISTINCT commodity_desc) > 1
+""",
+)
