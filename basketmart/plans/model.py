@@ -6,6 +6,7 @@ Everything that is learned (medians, modes, frequent levels, scaling, coefficien
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import ceil
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -34,12 +35,25 @@ def predictors(features: DataFrame) -> tuple[list[str], list[str]]:
     return numeric, [f.name for f in usable if f.name not in numeric]
 
 
+def test_quotas(sizes: dict[int, int], share: float = TEST_SHARE) -> dict[int, int]:
+    """Holdout rows per label: the share of all rows rounded up, dealt out by largest remainder."""
+    wanted = ceil(share * sum(sizes.values()))
+    quotas = {label: int(share * size) for label, size in sizes.items()}
+    by_remainder = sorted(sizes, key=lambda label: (quotas[label] - share * sizes[label], label))
+    for label in by_remainder[: wanted - sum(quotas.values())]:
+        quotas[label] += 1
+    return quotas
+
+
 def stratified_split(features: DataFrame, label: str = TARGET) -> DataFrame:
     """Adds ``is_test``: within each label the rows are put in a seeded hash order and the first quarter is held out."""
+    sizes = {row[label]: row["count"] for row in features.groupBy(label).count().collect()}
+    quota = F.lit(0)
+    for value, rows in test_quotas(sizes).items():
+        quota = F.when(F.col(label) == value, rows).otherwise(quota)
     shuffled = features.withColumn("_order", F.md5(F.concat_ws("-", F.lit(str(SEED)), F.col(HOUSEHOLD).cast("string"))))
     numbered = row_numbers(shuffled, ["_order", HOUSEHOLD], [label], "_rn")
-    held_out = F.col("_rn") <= F.round(F.col("_rn_of") * TEST_SHARE)
-    return numbered.withColumn("is_test", held_out).drop("_order", "_rn", "_rn_of")
+    return numbered.withColumn("is_test", F.col("_rn") <= quota).drop("_order", "_rn", "_rn_of")
 
 
 def train_medians(train: DataFrame, numeric: list[str]) -> dict[str, float]:
@@ -92,7 +106,7 @@ class HoldoutModel:
 
 def fit_holdout_model(features: DataFrame) -> HoldoutModel:
     """Split, prepare, fit a class-balanced L2 logistic regression and score the holdout."""
-    split = stored(stratified_split(features))
+    split = stored(stratified_split(stored(features)))
     train = split.filter(~F.col("is_test"))
     numeric, categorical = predictors(features)
     medians = train_medians(train, numeric)
