@@ -6,10 +6,13 @@ Results are rounded here, and only here: money to 2 decimals, most average money
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketmart.functions.money import money
+from basketmart.functions.pvalues import normal_p, student_p
 from basketmart.operators import ordering as O
 from basketmart.plans import baskets as B
 from basketmart.plans import campaigns as K
@@ -27,17 +30,35 @@ from basketmart.plans import validation as V
 from basketmart.plans import warehouse
 from basketmart.plans.staging import stage_all
 from basketmart.session import stored, tune
-from basketmart.functions.money import money
-from basketmart.functions.pvalues import normal_p, student_p
-from basketmart.sources.star import star_sources
+from basketmart.sources.star import fingerprint, star_sources
+from basketmart.sources.tables import LazyTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+_LINES: dict[tuple, DataFrame] = {}
+
+
+def _staged_lines(spark: SparkSession, folder: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Staged receipt lines, written once per session and set of input files.
+
+    Every mart reads the staged lines, most of them more than once, so they are a table rather than a view: deriving
+    them again for each reader would repeat a join of the two largest inputs.
+    """
+    key = (spark.sparkContext.applicationId, folder, fingerprint(spark, folder, "lineitem", "orders"))
+    if key not in _LINES:
+        _LINES[key] = stored(build())
+    return _LINES[key]
+
+
 def staged(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
+    """Staged tables of a folder; each is planned when a query asks for it."""
     tune(spark)
-    return stage_all(star_sources(spark, folder))
+    views = stage_all(star_sources(spark, folder))
+    builders = {name: partial(views.__getitem__, name) for name in views}
+    builders["transactions"] = lambda: _staged_lines(spark, folder, lambda: views["transactions"])
+    return LazyTables(builders)
 
 
 def rounded(frame: DataFrame, **decimals: int | str) -> DataFrame:
@@ -58,9 +79,13 @@ def query(builder: Callable[[Mapping[str, DataFrame]], DataFrame]):
 # --- staging and baskets ---------------------------------------------------------------------------------------------
 
 
-@query
-def stg_transactions(s):
-    return s["transactions"]
+def stage_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The staged lines as a plan, not read back from the stored table."""
+    tune(spark)
+    return stage_all(star_sources(spark, folder))["transactions"]
+
+
+QUERIES["stg_transactions"] = stage_lines
 
 
 @query
@@ -369,17 +394,14 @@ def mart_customer_features(s):
     return rounded(_features(s), **FEATURE_ROUNDING)
 
 
-def _shared_marts(s):
-    """Marts over a stored copy of the receipt lines; every mart others read is stored as well."""
-    tables = dict(s)
-    tables["transactions"] = stored(s["transactions"])
-    return tables, warehouse.marts(tables, keep=lambda name, frame: stored(frame))
+def _marts(s, *kept: str):
+    """All marts; the ones read more than once are stored, the others keep being pruned to what is read of them."""
+    return warehouse.marts(s, keep=lambda name, frame: stored(frame) if name in kept else frame)
 
 
 @query
 def validation_checks(s):
-    tables, marts = _shared_marts(s)
-    return V.validation_checks(tables, marts)
+    return V.validation_checks(s, _marts(s, "mart_baskets"))
 
 
 @query
@@ -394,13 +416,12 @@ def source_checks(s):
 
 @query
 def invariant_checks(s):
-    tables, marts = _shared_marts(s)
-    return V.invariant_checks(tables, marts)
+    return V.invariant_checks(s, _marts(s, "mart_baskets", "mart_household_period", "mart_categories"))
 
 
 @query
 def kpi_support(s):
-    return V.kpi_support(_shared_marts(s)[1])
+    return V.kpi_support(_marts(s, "mart_baskets", "mart_household_period", "mart_categories"))
 
 
 # --- statistics ------------------------------------------------------------------------------------------------------

@@ -8,11 +8,12 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basketmart.functions.money import discount_units, mean_money, money, nonzero_ratio, units
 from basketmart.functions.timegrid import LABEL_WEEKS
-from basketmart.plans.categories import CATEGORY, labelled_lines
+from basketmart.plans.categories import CATEGORY, UNKNOWN, category_labels
 from basketmart.schemas import DEMOGRAPHIC_COLUMNS
 
 HOUSEHOLD = "household_key"
@@ -53,7 +54,14 @@ def observed_products(tx: DataFrame, products: DataFrame, end: Column) -> DataFr
             F.sum(F.when(F.col("week_no") > half, sales).otherwise(_zero())).alias("second_u"),
         )
     )
-    return labelled_lines(reduced, products)
+    # a product listed more than once repeats its lines, as in any join, but is still one product
+    listing = W.partitionBy("product_id").orderBy(*CATEGORY)
+    listed = category_labels(products).withColumn("copy", F.row_number().over(listing))
+    return (
+        reduced.join(listed, "product_id", "left")
+        .withColumns({name: F.coalesce(name, F.lit(UNKNOWN)) for name in CATEGORY})
+        .withColumn("is_new_product", F.col("product_id").isNotNull() & (F.coalesce("copy", F.lit(1)) == 1))
+    )
 
 
 def top_departments(observed: DataFrame) -> DataFrame:
@@ -97,7 +105,7 @@ def mart_customer_features(
         F.sum("sales_u").alias("sales_u"),
         F.sum("priced_lines").alias("priced_lines"),
         F.sum("units").alias("total_units"),
-        F.count_distinct("product_id").alias("product_diversity"),
+        F.count_if("is_new_product").alias("product_diversity"),
         F.count_distinct("commodity_desc").alias("category_diversity"),
         F.sum("discount_u").alias("discount_u"),
         F.sum("coupon_lines").alias("coupon_line_count"),
