@@ -37,28 +37,38 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-_LINES: dict[tuple, DataFrame] = {}
+# Staged tables the adapter derives from a join of large inputs.
+DERIVED_FROM = {
+    "transactions": ("lineitem", "orders"),
+    "merchandising": ("lineitem", "orders"),
+    "redemptions": ("lineitem", "orders", "customer", "nation"),
+}
+_STORED: dict[tuple, DataFrame] = {}
 
 
-def _staged_lines(spark: SparkSession, folder: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Staged receipt lines, written once per session and set of input files.
+def _stored_once(spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A staged table, written once per session and state of its input files.
 
-    Every mart reads the staged lines, most of them more than once, so they are a table rather than a view: deriving
-    them again for each reader would repeat a join of the two largest inputs.
+    Marts read the staged tables, most of them more than once, so they are tables rather than views: deriving them
+    again for each reader would repeat a join of the largest inputs.
     """
-    key = (spark.sparkContext.applicationId, folder, fingerprint(spark, folder, "lineitem", "orders"))
-    if key not in _LINES:
-        _LINES[key] = stored(build())
-    return _LINES[key]
+    key = (spark.sparkContext.applicationId, name, folder, fingerprint(spark, folder, *DERIVED_FROM[name]))
+    if key not in _STORED:
+        _STORED[key] = stored(build())
+    return _STORED[key]
 
 
 def staged(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
     """Staged tables of a folder; each is planned when a query asks for it."""
     tune(spark)
     views = stage_all(star_sources(spark, folder))
-    builders = {name: partial(views.__getitem__, name) for name in views}
-    builders["transactions"] = lambda: _staged_lines(spark, folder, lambda: views["transactions"])
-    return LazyTables(builders)
+
+    def build(name: str) -> DataFrame:
+        if name in DERIVED_FROM:
+            return _stored_once(spark, folder, name, partial(views.__getitem__, name))
+        return views[name]
+
+    return LazyTables({name: partial(build, name) for name in views})
 
 
 def rounded(frame: DataFrame, **decimals: int | str) -> DataFrame:
