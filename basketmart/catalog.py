@@ -314,7 +314,7 @@ def period_series(s):
 
 @query
 def customer_segments(s):
-    return rounded(U.customer_segments(_baskets(s)), avg_spend=2, avg_baskets=2)
+    return U.customer_segments(_baskets(s))
 
 
 @query

@@ -491,8 +491,8 @@ segmented AS (
 _add(
     "customer_segments",
     """
-SELECT segment, count(*) AS households, round(sum(spend_c) / (100.0 * count(*)), 2) AS avg_spend,
-       round(sum(baskets) / count(*), 2) AS avg_baskets
+SELECT segment, count(*) AS households, sum(spend_c) / (100.0 * count(*)) AS avg_spend,
+       sum(baskets) / count(*) AS avg_baskets
 FROM segmented GROUP BY segment
 """,
     BASKET,
