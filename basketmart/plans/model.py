@@ -8,7 +8,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from math import ceil
 
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -18,7 +18,7 @@ from pyspark.sql.types import NumericType
 from basketmart.operators.ordering import exact_quantiles, row_numbers
 from basketmart.plans.features import HOUSEHOLD, LABELS
 from basketmart.plans.statistics import two_sample_ranks
-from basketmart.session import stored
+from basketmart.session import scratch_path, stored
 
 TARGET = "next_period_active_flag"
 TEST_SHARE = 0.25
@@ -151,14 +151,18 @@ def fit_holdout_model(features: DataFrame) -> HoldoutModel:
         standardization=False,
         maxIter=2000,
     )
-    model = regression.fit(encoded(training))
-    scored = model.transform(encoded(prepared.filter(F.col("is_test")))).select(
-        HOUSEHOLD, "label", vector_to_array("probability")[1].alias("score")
+    # a fitted model keeps its training summary and with it the session, which tasks cannot take; a loaded one does not
+    path = scratch_path(features.sparkSession)
+    regression.fit(encoded(training)).save(path)
+    model = LogisticRegressionModel.load(path)
+    scored = stored(
+        model.transform(encoded(prepared.filter(F.col("is_test")))).select(
+            HOUSEHOLD, "label", vector_to_array("probability")[1].alias("score")
+        )
     )
     names = [f"numeric__{name}" for name in numeric]
     for name, labels in zip(categorical, indexer.labelsArray):
         names += [f"categorical__{name}_{label}" for label in (*labels, "__unseen__")]
-    scored = stored(scored)
     return HoldoutModel(names, [float(x) for x in model.coefficients], scored, total, scored.count())
 
 

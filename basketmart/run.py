@@ -1,6 +1,6 @@
 """Run everything: ``python -m basketmart.run SOURCE_FOLDER OUTPUT_FOLDER [--parquet]``.
 
-Reads the eight CSV sources (or, with ``--parquet``, the star-schema tables), writes the staged lines and the shared
+Reads the eight CSV sources (or, with ``--parquet``, the star-schema tables), writes the staged tables and the shared
 marts as parquet and exports every table as sorted CSV.
 """
 
@@ -19,12 +19,18 @@ from basketmart.sources.sinks import export_csv, export_features, export_tables,
 from basketmart.sources.star import star_sources
 
 
+# The two large tables are cut by week, the column time windows filter on.
+PARTITIONED_BY = {"transactions": ["week_no"], "merchandising": ["week_no"]}
+
+
 def run(spark: SparkSession, source: str, output: str, parquet: bool = False) -> DataFrame:
     """Build and export all tables; returns their names and row counts."""
     tune(spark)
     output = output.rstrip("/")
-    staged = dict(stage_all(star_sources(spark, source) if parquet else csv_sources(spark, source)))
-    staged["transactions"] = materialize(staged["transactions"], f"{output}/staged/transactions", ["week_no"])
+    views = stage_all(star_sources(spark, source) if parquet else csv_sources(spark, source))
+    staged = {
+        name: materialize(frame, f"{output}/staged/{name}", PARTITIONED_BY.get(name, ())) for name, frame in views.items()
+    }
 
     def keep(name: str, frame: DataFrame) -> DataFrame:
         return materialize(frame, f"{output}/marts/{name}")

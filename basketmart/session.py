@@ -42,14 +42,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/basketmart-{uuid.uuid4().hex}"
+
+
 def stored(frame: DataFrame) -> DataFrame:
     """Write the frame to the shared checkpoint folder and read it back.
 
     Cuts the lineage for a result used several times. Unlike a cached frame it survives the loss of an executor, and
     unlike a row checkpoint it is columnar: later plans read only the columns they need and know the table's size.
     """
-    spark = frame.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/basketmart-{uuid.uuid4().hex}"
+    path = scratch_path(frame.sparkSession)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from functools import partial
+from io import BufferedReader, BytesIO
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +38,55 @@ def source_inventory(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(rows, "source string, file string")
 
 
+RANGE_BYTES = 128 * 1024 * 1024
+
+
+def _open(uri: str):
+    """A file as a seekable stream, on whatever file system its address names."""
+    from pyarrow import fs
+
+    if uri.startswith("file:"):
+        return BufferedReader(fs.LocalFileSystem().open_input_file("/" + uri.removeprefix("file:").lstrip("/")))
+    system, path = fs.FileSystem.from_uri(uri)
+    return BufferedReader(system.open_input_file(path))
+
+
+def _rows_of_range(parts: Iterable[pd.DataFrame], names: list[str]) -> Iterator[pd.DataFrame]:
+    """Rows whose first byte lies in the given byte ranges."""
+    for part in parts:
+        for uri, start, end in part.itertuples(index=False):
+            with _open(uri) as stream:
+                # the row the range starts in belongs to the range before; the first row of the file is the header
+                stream.seek(max(start - 1, 0))
+                stream.readline()
+                first = stream.tell()
+                if first >= end:
+                    continue
+                body = stream.read(end - first)
+                if not body.endswith(b"\n"):
+                    body += stream.readline()
+            text = pd.read_csv(BytesIO(body), header=None, names=names, dtype=str, keep_default_na=False)
+            yield text.where(text != "", None)
+
+
+def read_hidden_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A headered CSV whose name starts with an underscore, all columns as text.
+
+    Spark's own readers treat such names as hidden and return nothing. The file is cut into byte ranges of the usual
+    split size, each read by its own task.
+    """
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    uri = system.makeQualified(hadoop_path).toString()
+    size = system.getFileStatus(hadoop_path).getLen()
+    with _open(uri) as stream:
+        names = pd.read_csv(BytesIO(stream.readline())).columns.tolist()
+    starts = range(0, max(size, 1), RANGE_BYTES)
+    ranges = spark.createDataFrame([(uri, s, min(s + RANGE_BYTES, size)) for s in starts], "uri string, s long, e long")
+    schema = ", ".join(f"`{name}` string" for name in names)
+    return ranges.repartition(len(starts)).mapInPandas(partial(_rows_of_range, names=names), schema)
+
+
 def read_source(spark: SparkSession, path: str, name: str, infer_schema: bool = False) -> DataFrame:
     """A source with lower-case column names and its declared types.
 
@@ -42,14 +94,16 @@ def read_source(spark: SparkSession, path: str, name: str, infer_schema: bool =
     are parsed. A value that does not fit its declared type fails the read. Columns beyond the schema stay as text.
     ``infer_schema`` keeps the types Spark finds instead, at the price of one more pass over the file.
     """
-    raw = spark.read.option("header", True).option("inferSchema", infer_schema).csv(path)
+    hidden = path.rsplit("/", 1)[-1].startswith("_")
+    reader = spark.read.option("header", True).option("inferSchema", infer_schema)
+    raw = read_hidden_csv(spark, path) if hidden else reader.csv(path)
     frame = raw.toDF(*[column.strip().lower() for column in raw.columns])
     declared = SCHEMAS[name]
     absent = [f.name for f in declared if f.name not in frame.columns]
     missing = [column for column in absent if column not in OPTIONAL_COLUMNS.get(name, set())]
     if missing:
         raise ValueError(f"{name}: columns {missing} are missing in {path}")
-    if infer_schema:
+    if infer_schema and not hidden:
         return frame
     present = [f for f in declared if f.name not in absent]
     extra = [column for column in frame.columns if column not in declared.names]

@@ -21,7 +21,7 @@ def materialize(
         frame = frame.hint("rebalance", *columns)
     writer = frame.write.mode(mode)
     (writer.partitionBy(*columns) if columns else writer).parquet(path)
-    return frame.sparkSession.read.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
 def materialize_bucketed(
@@ -41,12 +41,13 @@ def append_rows(base: DataFrame, extra: DataFrame) -> DataFrame:
 def export_csv(frame: DataFrame, path: str, order_by: Iterable[str] | None = None) -> int:
     """Write a headered CSV folder sorted by all columns (missing values last) and return the number of rows.
 
-    The sort is a range partitioning, so parts follow each other in file-name order; rows are counted on the way.
+    The sort is a range partitioning, so parts follow each other in file-name order. Rows are counted on their way to
+    the files, behind the sort: ahead of it the sampling of the sort would count them as well.
     """
     order = [F.col(name).asc_nulls_last() for name in (order_by or frame.columns)]
     seen = Observation()
-    counted = frame.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.orderBy(*order).write.mode("overwrite").option("header", True).csv(path)
+    counted = frame.orderBy(*order).observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("overwrite").option("header", True).csv(path)
     return seen.get["rows"]
 
 

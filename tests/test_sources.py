@@ -53,6 +53,16 @@ def test_aliases_inventory_and_optional_source(spark, csv_folder):
     assert sources["hh_demographic"].schema == SCHEMAS["hh_demographic"]
 
 
+def test_hidden_file_names_are_read_whole_in_ranges(spark, tmp_path, monkeypatch):
+    rows = [f"{i},{i % 7}" for i in range(500)]
+    put(tmp_path, "_campaigntable.csv", "HOUSEHOLD_KEY,CAMPAIGN", *rows)
+    for size in (50, 64, 4096, 1 << 20):
+        monkeypatch.setattr("basketmart.sources.csv.RANGE_BYTES", size)
+        frame = read_source(spark, resolve_source(spark, str(tmp_path), "campaign_table"), "campaign_table")
+        assert sorted(r["household_key"] for r in frame.collect()) == list(range(500))
+        assert frame.filter("campaign <> household_key % 7").count() == 0
+
+
 def test_missing_required_sources_are_named(spark, tmp_path):
     put(tmp_path, "product.csv", "PRODUCT_ID", "1")
     with pytest.raises(ValueError, match="transaction_data.*campaign_desc"):
