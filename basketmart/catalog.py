@@ -20,6 +20,7 @@ from basketmart.plans import categories as C
 from basketmart.plans import chart_data as D
 from basketmart.plans import customers as U
 from basketmart.plans import household_period as H
+from basketmart.plans import kpi_contract as N
 from basketmart.plans import matrix as M
 from basketmart.plans import model as L
 from basketmart.plans import features as X
@@ -29,7 +30,7 @@ from basketmart.plans import statistics as T
 from basketmart.plans import validation as V
 from basketmart.plans import warehouse
 from basketmart.plans.staging import stage_all
-from basketmart.session import stored, tune
+from basketmart.session import size_shuffles, stored, tune
 from basketmart.sources.star import fingerprint, star_sources
 from basketmart.sources.tables import LazyTables
 
@@ -60,7 +61,7 @@ def _stored_once(spark: SparkSession, folder: str, name: str, build: Callable[[]
 
 def staged(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
     """Staged tables of a folder; each is planned when a query asks for it."""
-    tune(spark)
+    size_shuffles(tune(spark), sum(mark[1] for mark in fingerprint(spark, folder, "lineitem", "orders")))
     views = stage_all(star_sources(spark, folder))
 
     def build(name: str) -> DataFrame:
@@ -431,7 +432,7 @@ def invariant_checks(s):
 
 @query
 def kpi_support(s):
-    return V.kpi_support(_marts(s, "mart_baskets", "mart_household_period", "mart_categories"))
+    return N.kpi_support(_marts(s, "mart_baskets", "mart_household_period", "mart_categories"))
 
 
 # --- statistics ------------------------------------------------------------------------------------------------------
@@ -701,7 +702,7 @@ def average_ranks(s):
     """Basket spend, units and their tied ranks, looked up without gathering a frequent value."""
     baskets = _stored_baskets(s).select("basket_id", "household_key", "basket_units")
     ranks = stored(O.value_ranks(baskets, {"units": F.col("basket_units")}))
-    return O.attach_rank(baskets, ranks, "units", "basket_units", "units_rank")
+    return O.attach_ranks(baskets, ranks, "basket_units", {"units": "units_rank"})
 
 
 @query

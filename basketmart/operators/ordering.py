@@ -179,25 +179,32 @@ def quantile_row(frame: DataFrame, wanted: dict[str, tuple[Column, float]]) -> D
     )
 
 
-def attach_rank(frame: DataFrame, ranked: DataFrame, series: str, column: str, name: str) -> DataFrame:
-    """Add the tied rank of ``column`` from :func:`value_ranks` without sending a frequent value to one task.
+def attach_ranks(frame: DataFrame, ranked: DataFrame, column: str, names: dict[str, str]) -> DataFrame:
+    """Add the tied ranks of ``column`` in one or more series (series -> new column) of :func:`value_ranks`.
 
-    Values held by more than a thousandth of the rows (so fewer than a thousand values) are looked up by broadcast;
-    their rows then leave the shuffle key and are spread by a hash instead.
+    No frequent value is sent to one task: values held by more than a thousandth of a series' rows (so fewer than a
+    thousand per series) are looked up by broadcast; their rows then leave the shuffle key and are spread by a hash.
     """
-    mine = ranked.filter(F.col("series") == series)
-    frequent = F.col("rows") * 1000 > F.col("series_rows")
-    hot = mine.filter(frequent).select(F.col("value").alias("_hot_value"), F.col("rank").alias("_hot_rank"))
-    cold = mine.filter(~frequent).select(
-        F.col("value").alias("_cold_value"), F.lit(0).cast("long").alias("_cold_salt"), F.col("rank").alias("_cold_rank")
+    ranks = [F.max(F.when(F.col("series") == series, F.col("rank"))).alias(name) for series, name in names.items()]
+    lookup = (
+        ranked.filter(F.col("series").isin(list(names)))
+        .groupBy("value")
+        .agg(F.max(F.col("rows") * 1000 > F.col("series_rows")).alias("frequent"), *ranks)
     )
+
+    def side(rows: DataFrame, prefix: str) -> DataFrame:
+        return rows.select(
+            F.col("value").alias(f"{prefix}_value"), *[F.col(name).alias(f"{prefix}_{name}") for name in names.values()]
+        )
+
+    hot = side(lookup.filter("frequent"), "_hot")
+    cold = side(lookup.filter("not frequent"), "_cold").withColumn("_cold_salt", F.lit(0).cast("long"))
     value = F.col(column).cast("double")
-    salted = frame.join(F.broadcast(hot), value == F.col("_hot_value"), "left").withColumn(
-        "_salt",
-        F.when(F.col("_hot_rank").isNull() & F.col(column).isNotNull(), F.lit(0).cast("long")).otherwise(
-            -1 - F.pmod(F.xxhash64(*frame.columns), F.lit(4096))
-        ),
-    )
-    # rows that need no lookup carry a salt no cold value has
+    # rows that need no further lookup carry a salt no cold value has
+    needs_lookup = F.col("_hot_value").isNull() & F.col(column).isNotNull()
+    salt = F.when(needs_lookup, F.lit(0).cast("long")).otherwise(-1 - F.pmod(F.xxhash64(*frame.columns), F.lit(4096)))
+    salted = frame.join(F.broadcast(hot), value == F.col("_hot_value"), "left").withColumn("_salt", salt)
     found = salted.join(cold, (value == F.col("_cold_value")) & (F.col("_salt") == F.col("_cold_salt")), "left")
-    return found.withColumn(name, F.coalesce("_hot_rank", "_cold_rank")).select(*frame.columns, name)
+    return found.select(
+        *frame.columns, *[F.coalesce(f"_hot_{name}", f"_cold_{name}").alias(name) for name in names.values()]
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketmart.functions.money import mean_money, nonzero_ratio, positive_ratio, units
-from basketmart.operators.ordering import attach_rank, quantile_row, value_ranks
+from basketmart.operators.ordering import attach_ranks, quantile_row, value_ranks
 from basketmart.session import stored
 
 BASKET_MEASURES = ["basket_spend", "basket_units", "discount_rate"]
@@ -244,10 +244,9 @@ def basket_spearman(baskets: DataFrame) -> DataFrame:
         "rate_rated": F.col("discount_rate"),
     }
     ranks = stored(value_ranks(measures, series))
-    ranked = measures
-    sources = {"spend": "basket_spend", "units": "basket_units", "rate": "discount_rate"}
-    for name in series:
-        ranked = attach_rank(ranked, ranks, name, sources[name.split("_")[0]], name)
+    ranked = attach_ranks(measures, ranks, "basket_spend", {"spend_all": "spend_all", "spend_rated": "spend_rated"})
+    ranked = attach_ranks(ranked, ranks, "basket_units", {"units_all": "units_all", "units_rated": "units_rated"})
+    ranked = attach_ranks(ranked, ranks, "discount_rate", {"rate_rated": "rate_rated"})
     in_rated = {name: F.when(rated, F.col(name)) for name in series}
     cells = {
         ("basket_spend", "basket_spend"): F.lit(1.0),

@@ -478,33 +478,3 @@ def invariant_checks(s: Mapping[str, DataFrame], marts: Mapping[str, DataFrame])
         & (c("mart_units") == c("raw_units")),
     }
     return as_checks(m.wide(), checks)
-
-
-# The KPIs reported with a minimum denominator, the mart and column that carries it, and the minimum.
-KPI_SUPPORT = [
-    ("trip_frequency", "customer_period_summary", "active_households", 30),
-    ("coupon_redemption_rate", "mart_campaigns", "exposed_households", 30),
-    ("campaign_exposure_rate", "campaign_segment_analysis", "household_campaign_exposures", 30),
-    ("category_penetration", "mart_categories", "household_count", 50),
-    ("category_growth", "mart_categories", "household_count", 50),
-    ("retention_repeat", "customer_period_summary", "prior_active_households", 30),
-]
-
-
-def kpi_support(marts: Mapping[str, DataFrame]) -> DataFrame:
-    """Groups that reach a KPI's minimum denominator and groups that must not be reported."""
-    rows = [
-        marts[mart].agg(
-            F.count_if(F.col(column) >= least).alias("reportable_groups"),
-            F.count_if(F.coalesce(column, F.lit(0)) < least).alias("withheld_groups"),
-        ).select(
-            F.lit(kpi).alias("kpi"),
-            F.lit(mart).alias("source_mart"),
-            F.lit(column).alias("denominator"),
-            F.lit(least).alias("minimum"),
-            "reportable_groups",
-            "withheld_groups",
-        )
-        for kpi, mart, column, least in KPI_SUPPORT
-    ]
-    return reduce(DataFrame.unionByName, rows)

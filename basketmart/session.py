@@ -28,6 +28,25 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 50_000
+COMPRESSION = 3  # columnar input takes about this much more room as shuffled rows
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Start shuffles with enough partitions for the input; adaptive execution merges the ones that stay small.
+
+    Adaptive execution never splits an ordinary shuffle, so the default count would give a large input partitions no
+    executor can hold. The session's own setting is kept where it is larger. Returns the count in force.
+    """
+    wanted = min(MAX_SHUFFLE_PARTITIONS, -(-input_bytes * COMPRESSION // SHUFFLE_PARTITION_BYTES))
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    current = int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > current:
+        spark.conf.set(key, str(wanted))
+    return max(wanted, current)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the cluster's ``spark.checkpoint.dir``; fall back to a temporary folder in local mode only."""
     context = spark.sparkContext

@@ -72,19 +72,18 @@ def _rows_of_range(parts: Iterable[pd.DataFrame], names: list[str]) -> Iterator[
 def read_hidden_csv(spark: SparkSession, path: str) -> DataFrame:
     """A headered CSV whose name starts with an underscore, all columns as text.
 
-    Spark's own readers treat such names as hidden and return nothing. The file is cut into byte ranges of the usual
-    split size, each read by its own task.
+    Spark's own readers treat such names as hidden and return nothing. The file (or each file of a folder of that name)
+    is cut into byte ranges of the usual split size, each read by its own task.
     """
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    uri = system.makeQualified(hadoop_path).toString()
-    size = system.getFileStatus(hadoop_path).getLen()
-    with _open(uri) as stream:
+    files = [(f.getPath().toString(), f.getLen()) for f in system.listStatus(hadoop_path) if f.getLen()]
+    with _open(files[0][0]) as stream:
         names = pd.read_csv(BytesIO(stream.readline())).columns.tolist()
-    starts = range(0, max(size, 1), RANGE_BYTES)
-    ranges = spark.createDataFrame([(uri, s, min(s + RANGE_BYTES, size)) for s in starts], "uri string, s long, e long")
+    rows = [(uri, s, min(s + RANGE_BYTES, size)) for uri, size in files for s in range(0, size, RANGE_BYTES)]
+    ranges = spark.createDataFrame(rows, "uri string, s long, e long").repartition(len(rows))
     schema = ", ".join(f"`{name}` string" for name in names)
-    return ranges.repartition(len(starts)).mapInPandas(partial(_rows_of_range, names=names), schema)
+    return ranges.mapInPandas(partial(_rows_of_range, names=names), schema)
 
 
 def read_source(spark: SparkSession, path: str, name: str, infer_schema: bool = False) -> DataFrame:
@@ -115,6 +114,12 @@ def empty_source(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], SCHEMAS[name])
 
 
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Size of everything below a folder."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(hadoop_path).getLength()
+
+
 def csv_sources(spark: SparkSession, folder: str, infer_schema: bool = False) -> LazyTables:
     """All eight sources of a folder; a missing optional one is empty, missing required ones are an error."""
     paths = {name: resolve_source(spark, folder, name) for name in SCHEMAS}

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basketmart.operators.ordering import (
-    attach_rank,
+    attach_ranks,
     exact_quantiles,
     ntile,
     row_numbers,
@@ -75,7 +75,7 @@ def test_value_ranks_average_ties_and_skip_nulls(spark):
 def test_attached_ranks_match_pandas(spark):
     frame = hot_frame(spark).withColumn("v", F.when(F.col("id") % 10 != 0, F.col("v")))
     ranks = value_ranks(frame, {"v": F.col("v")})
-    got = attach_rank(frame, ranks, "v", "v", "r").toPandas().sort_values("id")
+    got = attach_ranks(frame, ranks, "v", {"v": "r"}).toPandas().sort_values("id")
     assert len(got) == 3000
     want = got["v"].rank(method="average")
     assert np.array_equal(got["r"].to_numpy(), want.to_numpy(), equal_nan=True)
@@ -85,7 +85,7 @@ def test_frequent_value_leaves_the_shuffle_key(spark):
     """The rows of a hot value are spread by salt, so no shuffle key holds more than a thousandth of the rows."""
     frame = hot_frame(spark)
     ranks = value_ranks(frame, {"v": F.col("v")})
-    plan = attach_rank(frame, ranks, "v", "v", "r")._jdf.queryExecution().optimizedPlan().toString()
+    plan = attach_ranks(frame, ranks, "v", {"v": "r"})._jdf.queryExecution().optimizedPlan().toString()
     assert "_salt" in plan and "_hot_value" in plan
 
 

@@ -9,7 +9,8 @@ from basketmart.plans.staging import stage_all
 from basketmart.plans.warehouse import EXPORTED
 from basketmart.run import run
 from basketmart.schemas import SCHEMAS
-from basketmart.sources.csv import csv_sources, read_source, resolve_source, source_inventory
+from basketmart.session import MAX_SHUFFLE_PARTITIONS, size_shuffles
+from basketmart.sources.csv import csv_sources, read_hidden_csv, read_source, resolve_source, source_inventory
 from basketmart.sources.sinks import append_rows, collect_small, export_csv, materialize, materialize_bucketed
 from basketmart.sources.star import star_sources
 
@@ -63,6 +64,25 @@ def test_hidden_file_names_are_read_whole_in_ranges(spark, tmp_path, monkeypatch
         assert frame.filter("campaign <> household_key % 7").count() == 0
 
 
+def test_hidden_folder_is_read_file_by_file(spark, tmp_path):
+    folder = tmp_path / "_product.csv"
+    folder.mkdir()
+    for part in ("a.csv", "b.csv"):
+        put(folder, part, "x,y", f"{part},1", f'"{part}, again",')
+    rows = {tuple(r) for r in read_hidden_csv(spark, str(folder)).collect()}
+    assert rows == {("a.csv", "1"), ("a.csv, again", None), ("b.csv", "1"), ("b.csv, again", None)}
+
+
+def test_shuffles_start_with_partitions_for_the_input(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        assert size_shuffles(spark, 1000) == 4 and spark.conf.get(key, None) is None
+        assert size_shuffles(spark, 10 * 2**30) == 240 and spark.conf.get(key) == "240"
+        assert size_shuffles(spark, 100 * 2**40) == MAX_SHUFFLE_PARTITIONS
+    finally:
+        spark.conf.unset(key)
+
+
 def test_missing_required_sources_are_named(spark, tmp_path):
     put(tmp_path, "product.csv", "PRODUCT_ID", "1")
     with pytest.raises(ValueError, match="transaction_data.*campaign_desc"):
@@ -122,4 +142,4 @@ def test_full_run_exports_every_table(spark, csv_folder, tmp_path):
     assert counts["mart_household_period"] == 150 * 26
     assert counts["mart_promotion_performance"] == 1  # no merchandising: nothing is promoted
     names = {p.name for p in (tmp_path / "tables").iterdir()}
-    assert {*EXPORTED, "feature_ready_households", "experiment_mde"} == names
+    assert {*EXPORTED, "feature_ready_households", "experiment_mde", "kpi_contract"} == names
