@@ -30,7 +30,7 @@ from basketmart.plans import statistics as T
 from basketmart.plans import validation as V
 from basketmart.plans import warehouse
 from basketmart.plans.staging import stage_all
-from basketmart.session import size_shuffles, stored, tune
+from basketmart.session import stored, tune
 from basketmart.sources.star import fingerprint, star_sources
 from basketmart.sources.tables import LazyTables
 
@@ -61,7 +61,7 @@ def _stored_once(spark: SparkSession, folder: str, name: str, build: Callable[[]
 
 def staged(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
     """Staged tables of a folder; each is planned when a query asks for it."""
-    size_shuffles(tune(spark), sum(mark[1] for mark in fingerprint(spark, folder, "lineitem", "orders")))
+    tune(spark)
     views = stage_all(star_sources(spark, folder))
 
     def build(name: str) -> DataFrame:

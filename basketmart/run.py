@@ -14,8 +14,8 @@ from basketmart.plans.kpi_contract import kpi_contract
 from basketmart.plans.staging import stage_all
 from basketmart.plans.statistics import experiment_mde
 from basketmart.plans.warehouse import EXPORTED, marts
-from basketmart.session import size_shuffles, tune
-from basketmart.sources.csv import csv_sources, folder_bytes
+from basketmart.session import tune
+from basketmart.sources.csv import csv_sources
 from basketmart.sources.sinks import export_csv, export_features, export_tables, materialize
 from basketmart.sources.star import star_sources
 
@@ -26,7 +26,7 @@ PARTITIONED_BY = {"transactions": ["week_no"], "merchandising": ["week_no"]}
 
 def run(spark: SparkSession, source: str, output: str, parquet: bool = False) -> DataFrame:
     """Build and export all tables; returns their names and row counts."""
-    size_shuffles(tune(spark), folder_bytes(spark, source))
+    tune(spark)
     output = output.rstrip("/")
     views = stage_all(star_sources(spark, source) if parquet else csv_sources(spark, source))
     staged = {

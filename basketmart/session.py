@@ -1,11 +1,10 @@
-"""Session settings the plans rely on.
+"""Session settings the plans rely on, and the shared folder for intermediate tables.
 
 Only run-time SQL settings are touched, so a session started by a scheduler or a notebook can be passed in as it is.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,37 +27,13 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 50_000
-COMPRESSION = 3  # columnar input takes about this much more room as shuffled rows
-
-
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Start shuffles with enough partitions for the input; adaptive execution merges the ones that stay small.
-
-    Adaptive execution never splits an ordinary shuffle, so the default count would give a large input partitions no
-    executor can hold. The session's own setting is kept where it is larger. Returns the count in force.
-    """
-    wanted = min(MAX_SHUFFLE_PARTITIONS, -(-input_bytes * COMPRESSION // SHUFFLE_PARTITION_BYTES))
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    current = int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    if wanted > current:
-        spark.conf.set(key, str(wanted))
-    return max(wanted, current)
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's ``spark.checkpoint.dir``; fall back to a temporary folder in local mode only."""
+    """Use ``spark.checkpoint.dir``; where it is unset, a folder below the warehouse, which executors share as well."""
     context = spark.sparkContext
     if context.getCheckpointDir():
         return
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        context.setCheckpointDir(configured)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="basketmart-checkpoint-"))
-    else:
-        raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
+    context.setCheckpointDir(configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate")
 
 
 def scratch_path(spark: SparkSession) -> str:

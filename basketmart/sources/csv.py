@@ -114,12 +114,6 @@ def empty_source(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], SCHEMAS[name])
 
 
-def folder_bytes(spark: SparkSession, folder: str) -> int:
-    """Size of everything below a folder."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(hadoop_path).getLength()
-
-
 def csv_sources(spark: SparkSession, folder: str, infer_schema: bool = False) -> LazyTables:
     """All eight sources of a folder; a missing optional one is empty, missing required ones are an error."""
     paths = {name: resolve_source(spark, folder, name) for name in SCHEMAS}

@@ -3,7 +3,9 @@
 import pytest
 from compare import connect, differences
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from basketmart.catalog import QUERIES
+from oracle_queries import ORACLES
 
 FOLDER = "/root/testdata/sf0.001"
 ROWS_ONLY = {"hypothesis_p_values", "pca_variance", "model_holdout", "model_coefficients"}
@@ -15,18 +17,18 @@ def con():
 
 
 def test_only_models_and_p_values_lack_sql():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+    assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, con, name):
-    assert differences(queries()[name](spark, FOLDER), con, oracle_sql()[name]) == []
+    assert differences(QUERIES[name](spark, FOLDER), con, ORACLES[name]) == []
 
 
 @pytest.mark.parametrize("name", sorted(ROWS_ONLY))
 def test_query_without_sql_returns_rows(spark, name):
-    assert queries()[name](spark, FOLDER).count() > 0
+    assert QUERIES[name](spark, FOLDER).count() > 0
 
 
 def test_flagship_query(spark):
@@ -34,5 +36,5 @@ def test_flagship_query(spark):
 
 
 def test_all_invariants_hold(spark):
-    values = {r["check_name"]: r["check_value"] for r in queries()["invariant_checks"](spark, FOLDER).collect()}
+    values = {r["check_name"]: r["check_value"] for r in QUERIES["invariant_checks"](spark, FOLDER).collect()}
     assert values and set(values.values()) == {"true"}

@@ -9,7 +9,6 @@ from basketmart.plans.staging import stage_all
 from basketmart.plans.warehouse import EXPORTED
 from basketmart.run import run
 from basketmart.schemas import SCHEMAS
-from basketmart.session import MAX_SHUFFLE_PARTITIONS, size_shuffles
 from basketmart.sources.csv import csv_sources, read_hidden_csv, read_source, resolve_source, source_inventory
 from basketmart.sources.sinks import append_rows, collect_small, export_csv, materialize, materialize_bucketed
 from basketmart.sources.star import star_sources
@@ -73,16 +72,6 @@ def test_hidden_folder_is_read_file_by_file(spark, tmp_path):
     assert rows == {("a.csv", "1"), ("a.csv, again", None), ("b.csv", "1"), ("b.csv, again", None)}
 
 
-def test_shuffles_start_with_partitions_for_the_input(spark):
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    try:
-        assert size_shuffles(spark, 1000) == 4 and spark.conf.get(key, None) is None
-        assert size_shuffles(spark, 10 * 2**30) == 240 and spark.conf.get(key) == "240"
-        assert size_shuffles(spark, 100 * 2**40) == MAX_SHUFFLE_PARTITIONS
-    finally:
-        spark.conf.unset(key)
-
-
 def test_missing_required_sources_are_named(spark, tmp_path):
     put(tmp_path, "product.csv", "PRODUCT_ID", "1")
     with pytest.raises(ValueError, match="transaction_data.*campaign_desc"):
