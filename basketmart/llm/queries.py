@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from basketmart.llm.decontamination import op10_string_tiling
+from basketmart.llm.minhash import op6_circulant_minhash
+from basketmart.llm.packing import op9_bounded_packing
 from basketmart.llm.toxicity import op2_toxicity
 
 QUERIES = {
     "op2_toxicity": op2_toxicity,
+    "op6_circulant_minhash": op6_circulant_minhash,
+    "op9_bounded_packing": op9_bounded_packing,
+    "op10_string_tiling": op10_string_tiling,
 }
 
 ORACLES: dict[str, str] = {}
