@@ -31,6 +31,7 @@ EDGES = b".,;:!?\"'()[]"
 DICTIONARY_BYTES = 110_000
 MARK = 0.35  # gain of a window that counts as a hit
 CACHE = 400_000
+MAX_TOXIC, MAX_ORDINARY = 4_000, 16_000  # labelled documents to learn from
 
 
 @dataclass(frozen=True)
@@ -142,16 +143,24 @@ def _calibrate(counted: list[tuple[tuple[float, ...], int, int]], rate: float) -
     return tuple(map(float, w))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
-    """Learn from all documents with a label 0 or 1; rows without one teach nothing.
+def fit_toxicity(
+    docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_ordinary: int = MAX_ORDINARY
+) -> ToxicityModel:
+    """Learn from labelled documents, at most ``max_toxic`` and ``max_ordinary`` of each class, chosen by a hash of the id.
 
-    Three of four documents (by hash) give the dictionaries, the rest the calibration. Repeated labels count once for
+    Rows without a label 0 or 1 teach nothing. The bound lets the labels be broadcast, so no text but the sample's is
+    moved. Three of four documents (by hash) give the dictionaries, the rest the calibration. Repeated labels count once for
     each repetition. Only word counts come to the driver, as many as fit in a dictionary, and the counted values of the
     rounded features. Without toxic or without ordinary documents the score is a constant.
     """
     known = labels.select(F.col("doc_id").alias("doc"), F.col("toxic").cast("int").alias("toxic"))
     known = known.filter(F.col("doc").isNotNull() & F.col("toxic").isin(0, 1))
-    rows = as_bytes(docs).join(known, F.col("doc_id") == F.col("doc")).select("doc_id", "body", "toxic")
+    order = F.xxhash64(F.col("doc").cast("string"))
+    known = known.filter("toxic = 1").orderBy(order, "doc").limit(max_toxic).unionByName(
+        known.filter("toxic = 0").orderBy(order, "doc").limit(max_ordinary)
+    )
+    rows = as_bytes(docs).join(F.broadcast(known), F.col("doc_id") == F.col("doc")).select("doc_id", "body", "toxic")
+    rows = stored(rows)
     part = F.pmod(F.xxhash64("doc_id"), F.lit(4))
 
     def words(columns):
