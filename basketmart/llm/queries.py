@@ -6,11 +6,13 @@ from basketmart.llm.decontamination import op10_string_tiling
 from basketmart.llm.minhash import op6_circulant_minhash
 from basketmart.llm.packing import op9_bounded_packing
 from basketmart.llm.pii import op8_deobfuscated_pii
+from basketmart.llm.quality import op3_divergence_rules
 from basketmart.llm.suffix_tree import op5_suffix_tree
 from basketmart.llm.toxicity import op2_toxicity
 
 QUERIES = {
     "op2_toxicity": op2_toxicity,
+    "op3_divergence_rules": op3_divergence_rules,
     "op5_suffix_tree": op5_suffix_tree,
     "op6_circulant_minhash": op6_circulant_minhash,
     "op8_deobfuscated_pii": op8_deobfuscated_pii,
