@@ -9,10 +9,12 @@ from basketmart.llm.pii import op8_deobfuscated_pii
 from basketmart.llm.quality import op3_divergence_rules
 from basketmart.llm.suffix_tree import op5_suffix_tree
 from basketmart.llm.toxicity import op2_toxicity
+from basketmart.llm.url_rules import op4_association_rules
 
 QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_divergence_rules": op3_divergence_rules,
+    "op4_association_rules": op4_association_rules,
     "op5_suffix_tree": op5_suffix_tree,
     "op6_circulant_minhash": op6_circulant_minhash,
     "op8_deobfuscated_pii": op8_deobfuscated_pii,
