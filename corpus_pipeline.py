@@ -3,7 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from basketmart.llm.decontamination import decontaminate
+from basketmart.llm.minhash import near_duplicates
+from basketmart.llm.packing import pack
+from basketmart.llm.pii import redact_documents
 from basketmart.llm.text import held_out, read_table
 from basketmart.llm.toxicity import fit_toxicity, reject_toxic
 from basketmart.session import stored
@@ -15,7 +20,38 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return reject_toxic(docs, model)
 
 
-STAGES = [("toxicity", toxicity)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates (five words, 0.8), the one with the smallest id.
+
+    Documents without words are linked with nothing and stay. Rows that repeat an id are told apart by nothing else, so all
+    rows of a kept id stay.
+    """
+    dropped = near_duplicates(docs.select("doc_id", "text"), size=5, percent=80).filter(~F.col("kept")).select("doc_id")
+    return docs.join(dropped.distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data in their texts replaced by its kind."""
+    return redact_documents(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences."""
+    return pack(docs)
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("pii", pii),
+    ("packing", packing),
+]
 
 #: The stages learn models, compare sets and run a tokenizer; SQL cannot express them.
 ORACLE_SQL = None
