@@ -596,7 +596,7 @@ def nearest_households(s):
 
 @query
 def nearest_to_first_household(s):
-    return rounded(M.nearest_households(stored(_cells(s)), sample=200, anchor_only=True), cosine_similarity=4)
+    return rounded(M.nearest_to_first_household(stored(_cells(s))), cosine_similarity=4)
 
 
 @query

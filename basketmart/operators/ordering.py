@@ -97,12 +97,14 @@ def running_total(
     groups: list[str] | None = None,
     name: str = "running_total",
 ) -> DataFrame:
-    """Inclusive running sum of a bigint column in a total order, plus ``<name>_of``, the group's sum."""
+    """Inclusive running sum of a bigint column in a total order, plus ``<name>_of``, the group's sum; both decimal(30, 0),
+    as a sum of bigints may exceed one."""
     groups = groups or []
     rows = sliced(frame, [*groups, *order_by])
     inside = W.partitionBy(SLICE, *groups).orderBy(PLACE).rowsBetween(W.unboundedPreceding, W.currentRow)
-    local = rows.withColumn("_local", F.sum(amount).over(inside))
-    placed = _with_offsets(local, groups, F.col(amount))
+    wide = F.col(amount).cast("decimal(20,0)")
+    local = rows.withColumn("_local", F.sum(wide).over(inside))
+    placed = _with_offsets(local, groups, wide)
     total = F.col("_before") + F.col("_local")
     return placed.withColumns({name: total, f"{name}_of": F.col("_total")}).drop(
         SLICE, PLACE, "_local", "_first", "_before", "_total"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketmart.functions.money import mean_money, money, positive_ratio, units
+from basketmart.functions.money import mean_money, money, positive_ratio, units, wide_sum
 
 
 def basket_units_table(tx: DataFrame) -> DataFrame:
@@ -75,7 +75,7 @@ def basket_discount_units():
 def kpi_summary(baskets: DataFrame) -> DataFrame:
     """The headline figures, one row."""
     rows = F.count(F.lit(1))
-    spend = F.sum(units("basket_spend"))
+    spend = wide_sum(units("basket_spend"))
     coupon_baskets = F.sum("coupon_used_flag")
     return baskets.agg(
         F.count_distinct("household_key").alias("active_households"),
@@ -84,7 +84,7 @@ def kpi_summary(baskets: DataFrame) -> DataFrame:
         mean_money(spend, rows).alias("avg_basket_value"),
         F.sum("basket_units").alias("units"),
         F.avg("basket_units").alias("avg_basket_size"),
-        money(F.sum(basket_discount_units())).alias("discount_amount"),
+        money(wide_sum(basket_discount_units())).alias("discount_amount"),
         coupon_baskets.alias("coupon_baskets"),
         positive_ratio(coupon_baskets, rows).alias("coupon_basket_rate"),
     )

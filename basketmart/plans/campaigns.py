@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from basketmart.functions.money import mean_money, positive_ratio, units
+from basketmart.functions.money import mean_money, positive_ratio, units, wide_sum
 from basketmart.operators.ordering import ntile
 
 WINDOW_DAYS = 28
@@ -137,7 +137,7 @@ def campaign_bias_comparison(
     rows = F.count(F.lit(1))
 
     def mean(column):
-        return mean_money(F.sum(column), rows)
+        return mean_money(wide_sum(column), rows)
 
     return stratified.groupBy("campaign_type", "prior_value_quartile", "redeemed_flag").agg(
         rows.alias("household_campaign_exposures"),
@@ -190,7 +190,7 @@ def campaign_prepost(tx: DataFrame, exposures: DataFrame, campaigns: DataFrame)
     rows = F.count(F.lit(1))
     return per_household.groupBy("campaign_type").agg(
         rows.alias("households"),
-        mean_money(F.sum("pre_u"), rows).alias("avg_pre_spend"),
-        mean_money(F.sum("post_u"), rows).alias("avg_post_spend"),
-        mean_money(F.sum(F.col("post_u") - F.col("pre_u")), rows).alias("avg_change"),
+        mean_money(wide_sum("pre_u"), rows).alias("avg_pre_spend"),
+        mean_money(wide_sum("post_u"), rows).alias("avg_post_spend"),
+        mean_money(wide_sum(F.col("post_u") - F.col("pre_u")), rows).alias("avg_change"),
     )

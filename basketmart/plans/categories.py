@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketmart.functions.money import discount_units, money, nonzero_ratio, positive_ratio, units
+from basketmart.functions.money import discount_units, money, nonzero_ratio, positive_ratio, units, wide_sum, wide_units
 from basketmart.functions.timegrid import WEEKS_PER_YEAR, quarter_of_week
 from basketmart.operators.ordering import quantile_row
 from basketmart.plans.baskets import distinct_total
@@ -59,10 +59,12 @@ def _category_measures(
         .distinct()
         .select(*CATEGORY, *period, F.col("basket_id").isNotNull().cast("long").alias("baskets"))
     )
+    # a category may take a third of all sales, more than a bigint of units holds
+    wide = [wide_sum(name).alias(name) if name.endswith("_u") else F.sum(name).alias(name) for name in sums]
     return (
         households.unionByName(baskets, allowMissingColumns=True)
         .groupBy(*CATEGORY, *period)
-        .agg(*totals, F.sum("households").alias("households"), F.sum("baskets").alias("baskets"))
+        .agg(*wide, F.sum("households").alias("households"), F.sum("baskets").alias("baskets"))
     )
 
 
@@ -123,7 +125,7 @@ def mart_category_diagnostics(categories: DataFrame, periods: DataFrame) -> Data
     categories, periods = stored(categories), stored(periods)
     last = periods.agg(F.max("quarter_like_period")).scalar()
     per_category = periods.groupBy(*CATEGORY).agg(
-        (F.sum(units("sales")) / (F.count(F.lit(1)) * 10000.0)).alias("mean_period_sales"),
+        (F.sum(wide_units("sales")) / (F.count(F.lit(1)) * 10000.0)).alias("mean_period_sales"),
         F.stddev_samp("sales").alias("sd_period_sales"),
         F.max(F.when(F.col("quarter_like_period") == 1, F.col("households"))).alias("_first_households"),
         F.max(F.when(F.col("quarter_like_period") == last, F.col("households"))).alias("_last_households"),

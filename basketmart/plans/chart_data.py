@@ -16,14 +16,17 @@ def clip_at_quantile(frame: DataFrame, column: str, probability: float) -> DataF
 
 
 def histogram(frame: DataFrame, column: str, bins: int, low: Column, high: Column, count_name: str) -> DataFrame:
-    """Counts in equal-width bins between two scalars; the last bin includes its upper edge. Empty bins are left out."""
+    """Counts in equal-width bins between two scalars, all ``bins`` of them; the last includes its upper edge."""
     width = (high - low) / bins
     place = F.when(width > 0, F.floor((F.col(column) - low) / width)).otherwise(0)
-    return (
+    counts = (
         frame.filter(F.col(column).isNotNull())
         .groupBy(F.least(place, F.lit(bins - 1)).cast("int").alias("bin"))
         .agg(F.count(F.lit(1)).alias(count_name))
-        .select("bin", (low + F.col("bin") * width).alias("bin_start"), count_name)
+    )
+    every = frame.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    return every.join(counts, "bin", "left").select(
+        "bin", (low + F.col("bin") * width).alias("bin_start"), F.coalesce(count_name, F.lit(0)).cast("long").alias(count_name)
     )
 
 

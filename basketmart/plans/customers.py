@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketmart.functions.money import mean_money, money, nonzero_ratio, units
+from basketmart.functions.money import mean_money, money, nonzero_ratio, units, wide_sum
 from basketmart.functions.timegrid import LABEL_WEEKS
 from basketmart.operators.ordering import ntile, running_total
 
@@ -44,7 +44,7 @@ def customer_segments(baskets: DataFrame) -> DataFrame:
     households = F.count(F.lit(1))
     return household_segments(baskets).groupBy("segment").agg(
         households.alias("households"),
-        mean_money(F.sum("spend_u"), households).alias("avg_spend"),
+        mean_money(wide_sum("spend_u"), households).alias("avg_spend"),
         F.avg("baskets").alias("avg_baskets"),
     )
 

@@ -32,20 +32,60 @@ CONTRACT = [
     ("category_growth", "later less earlier sales", "earlier sales", "category", "weeks to 52 and after", 50, "mart_categories", "sales_growth"),
 ]
 
+# What each KPI says, and which rows it leaves out or leaves without a value.
+DESCRIBED = {
+    "active_household": ("a household counts once it has a basket", "households without baskets"),
+    "basket": ("one receipt of one household", "lines without a basket"),
+    "trip_frequency": ("how often an active household shops in a period", "none; periods without baskets count as 0"),
+    "basket_size": ("how many units a basket holds on average", "household periods without baskets have no value"),
+    "spend_net_sales": ("what was paid after every discount", "none"),
+    "gross_sales": ("what would have been paid without discounts", "none"),
+    "discount_rate": ("the part of gross sales that discounts took off", "no value where gross sales are not positive"),
+    "coupon_redemption_rate": ("how many of the households a campaign reached used a coupon", "no value without exposures"),
+    "campaign_exposure_rate": ("how many of the active households a campaign reached", "campaigns without a description"),
+    "category_penetration": ("how many of the active households buy the category", "products without a label are UNKNOWN"),
+    "repeat_purchase": ("how many buyers have the product in two baskets", "products with few buyers are withheld"),
+    "retention_repeat": ("how many households active before are active again", "the first period has none before"),
+    "customer_value": ("what a household spent while it was observed", "none"),
+    "customer_value_change": ("how a household's spend moved from one period to the next", "no value in the first period"),
+    "high_value_customer": ("households in the top quarter by spend", "households without baskets"),
+    "at_risk_customer": ("households whose spend falls in the label weeks", "label weeks take no part in features"),
+    "category_growth": ("how much more of the category was sold later", "categories with few households are withheld"),
+}
+
 # Where the denominator of a KPI with a minimum can be counted per group.
 SUPPORT = {
     "trip_frequency": ("customer_period_summary", "active_households"),
+    "basket_size": ("mart_household_period", "basket_count"),
     "coupon_redemption_rate": ("mart_campaigns", "exposed_households"),
-    "campaign_exposure_rate": ("campaign_segment_analysis", "household_campaign_exposures"),
+    "campaign_exposure_rate": ("kpi_summary", "active_households"),
     "category_penetration": ("mart_categories", "household_count"),
+    "repeat_purchase": ("product_buyers", "households"),
     "category_growth": ("mart_categories", "household_count"),
     "retention_repeat": ("customer_period_summary", "prior_active_households"),
 }
 
 
 def kpi_contract(spark: SparkSession) -> DataFrame:
-    """The contract as a table."""
-    return spark.createDataFrame(CONTRACT, CONTRACT_SCHEMA)
+    """The contract as a table; ``minimum_denominator`` is the rule in words, ``minimum`` its number."""
+    texts = spark.createDataFrame([(k, *v) for k, v in DESCRIBED.items()], "kpi string, business_definition string, exclusions_or_nulls string")
+    rows = spark.createDataFrame(CONTRACT, CONTRACT_SCHEMA).withColumnRenamed("minimum_denominator", "minimum").join(texts, "kpi")
+    rule = F.when(F.col("minimum").isNull(), "no minimum").otherwise(
+        F.concat(F.lit("at least "), F.col("minimum").cast("string"), F.lit(" of "), F.coalesce("denominator", F.lit("rows")))
+    )
+    return rows.select(
+        "kpi",
+        "business_definition",
+        "numerator",
+        "denominator",
+        "grain",
+        "time_window",
+        "exclusions_or_nulls",
+        rule.alias("minimum_denominator"),
+        "minimum",
+        "source_table",
+        "output_column",
+    )
 
 
 def kpi_support(marts: Mapping[str, DataFrame]) -> DataFrame:

@@ -52,12 +52,31 @@ def scaled_cells(cells: DataFrame) -> DataFrame:
     )
 
 
-def nearest_households(cells: DataFrame, sample: int = 250, anchor_only: bool = False) -> DataFrame:
-    """Most similar pair (cosine of scaled spend) among the first ``sample`` households, one row.
+def nearest_to_first_household(cells: DataFrame) -> DataFrame:
+    """The household most similar (cosine of scaled spend) to the one with the smallest key, among all of them; one row.
 
-    ``anchor_only`` looks for the nearest neighbour of the very first household. The sample is part of the operator,
-    so a commodity joins at most ``sample`` rows with each other whatever the size of the matrix.
+    The first household's cells, one for each commodity, are looked up by the cells of every other household.
     """
+    rows = stored(scaled_cells(cells))
+    first = rows.agg(F.min("household_key")).scalar()
+    anchor = rows.filter(F.col("household_key") == first).select("commodity_desc", F.col("x").alias("x_a"))
+    length = F.sqrt(F.sum(F.col("x") * F.col("x")))
+    own = rows.filter(F.col("household_key") == first).agg(length).scalar()
+    near = (
+        rows.join(anchor, "commodity_desc", "left")
+        .groupBy("household_key")
+        .agg(F.sum(F.col("x") * F.col("x_a")).alias("dot"), length.alias("norm"))
+        .filter((F.col("household_key") != first) & F.col("dot").isNotNull())
+    )
+    return near.select(
+        first.alias("household_a"),
+        F.col("household_key").alias("household_b"),
+        (F.col("dot") / (F.col("norm") * own)).alias("cosine_similarity"),
+    ).orderBy(F.col("cosine_similarity").desc(), "household_b").limit(1)
+
+
+def nearest_households(cells: DataFrame, sample: int = 250) -> DataFrame:
+    """Most similar pair (cosine of scaled spend) among the first ``sample`` households, one row."""
     first = cells.select("household_key").distinct().orderBy("household_key").limit(sample)
     rows = stored(scaled_cells(cells).join(first, "household_key", "left_semi"))
     norms = rows.groupBy("household_key").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
@@ -70,8 +89,6 @@ def nearest_households(cells: DataFrame, sample: int = 250, anchor_only: bool =
         )
 
     left = side("a")
-    if anchor_only:
-        left = left.filter(F.col("household_a") == rows.agg(F.min("household_key")).scalar())
     pairs = left.join(side("b"), "commodity_desc").filter(F.col("household_a") < F.col("household_b"))
     similarity = pairs.groupBy("household_a", "household_b").agg(
         F.sum(F.col("x_a") * F.col("x_b")).alias("cosine_similarity")

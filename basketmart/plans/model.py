@@ -131,7 +131,8 @@ def fit_holdout_model(features: DataFrame) -> HoldoutModel:
     indexer = StringIndexer(
         inputCols=categorical, outputCols=index, handleInvalid="keep", stringOrderType="alphabetAsc"
     ).fit(training)
-    encoder = OneHotEncoder(inputCols=index, outputCols=onehot, dropLast=False).fit(indexer.transform(training))
+    # the indexer's extra place for unseen levels comes last: dropping it makes them all zeros, without a column
+    encoder = OneHotEncoder(inputCols=index, outputCols=onehot, dropLast=True).fit(indexer.transform(training))
     collect_numeric = VectorAssembler(inputCols=numeric, outputCol="numeric")
     scaler = StandardScaler(inputCol="numeric", outputCol="scaled", withMean=True).fit(
         collect_numeric.transform(training)
@@ -162,7 +163,7 @@ def fit_holdout_model(features: DataFrame) -> HoldoutModel:
     )
     names = [f"numeric__{name}" for name in numeric]
     for name, labels in zip(categorical, indexer.labelsArray):
-        names += [f"categorical__{name}_{label}" for label in (*labels, "__unseen__")]
+        names += [f"categorical__{name}_{label}" for label in labels]
     return HoldoutModel(names, [float(x) for x in model.coefficients], scored, total, scored.count())
 
 

@@ -76,6 +76,12 @@ def product_units_table(tx: DataFrame, first_quarter=None) -> DataFrame:
     return parts.groupBy("product_id").agg(*[F.sum(name).alias(name) for name in measures])
 
 
+def product_buyers(tx: DataFrame) -> DataFrame:
+    """Households that bought each product: the denominator of repeat purchase."""
+    pairs = tx.select("product_id", "household_key").distinct()
+    return pairs.groupBy("product_id").agg(F.count("household_key").alias("households"))
+
+
 def mart_products(tx: DataFrame, products: DataFrame, legacy: bool = False) -> DataFrame:
     """One row per product sold.
 

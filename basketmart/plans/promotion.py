@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketmart.functions.money import mean_money, money, units
+from basketmart.functions.money import mean_money, money, units, wide_sum
 
 GRAIN = ["product_id", "store_id", "week_no"]
 
@@ -38,7 +38,7 @@ def promoted_product_store_weeks(tx: DataFrame, merchandising: DataFrame) -> Dat
 
 def mart_promotion_performance(tx: DataFrame, merchandising: DataFrame) -> DataFrame:
     rows = F.count(F.lit(1))
-    sales = F.sum("sales_u")
+    sales = wide_sum("sales_u")
     return promoted_product_store_weeks(tx, merchandising).groupBy("promotion_status").agg(
         rows.alias("product_store_weeks"),
         F.sum("transaction_lines").alias("transaction_lines"),

@@ -9,7 +9,7 @@ from math import exp, factorial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketmart.functions.money import mean_money, nonzero_ratio, positive_ratio, units
+from basketmart.functions.money import mean_money, nonzero_ratio, positive_ratio, units, wide_sum
 from basketmart.operators.ordering import attach_ranks, quantile_row, value_ranks
 from basketmart.session import stored
 
@@ -18,7 +18,7 @@ Z_ALPHA, Z_POWER = 1.96, 0.84  # two-sided 5 % test at 80 % power
 ARM_SIZES = [250, 500, 1000, 1500]
 LIFTS = [0.03, 0.04, 0.05, 0.075, 0.10]
 REPLICATES = 500
-BUCKETS = 1000
+PRIME = 2**31 - 1
 
 
 def basket_descriptives(baskets: DataFrame) -> DataFrame:
@@ -26,7 +26,7 @@ def basket_descriptives(baskets: DataFrame) -> DataFrame:
     medians = quantile_row(baskets, {name: (F.col(name), 0.5) for name in BASKET_MEASURES})
     rows = F.count(F.lit(1))
     means = baskets.agg(
-        mean_money(F.sum(units("basket_spend")), rows).alias("mean_basket_spend"),
+        mean_money(wide_sum(units("basket_spend")), rows).alias("mean_basket_spend"),
         F.stddev_samp("basket_spend").alias("sd_basket_spend"),
         F.avg("basket_units").alias("mean_basket_units"),
         F.avg("discount_rate").alias("mean_discount_rate"),
@@ -76,17 +76,22 @@ def _poisson_weight(uniform: Column) -> Column:
 def bootstrap_interval(frame: DataFrame, key: str, amount_units: str, measure: str) -> DataFrame:
     """95 % bootstrap interval of a mean, one row.
 
-    Rows are spread over a thousand hash buckets in one pass and whole buckets are resampled with Poisson(1) weights.
-    Buckets are random samples of the rows, so the spread of the replicates estimates the same standard error as
-    resampling rows, while the resampling itself works on a thousand rows however large the table is.
+    Every row is resampled in every replicate with a Poisson(1) weight. Two numbers below a prime, from the md5 of the
+    row's key, give its draw for replicate r as ``(first * (r + 1) + second) mod prime``: uniform, independent between rows
+    and pairwise independent between replicates. Replicates are summed where the rows are, so a task sends on at most
+    five hundred of them.
     """
-    bucket = (_hash32(F.col(key).cast("string")) % BUCKETS).alias("bucket")
-    sums = frame.groupBy(bucket).agg(F.sum(amount_units).alias("total"), F.count(amount_units).alias("n"))
-    drawn = sums.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(REPLICATES - 1))))
-    text = F.concat(F.col("bucket").cast("string"), F.lit("-"), F.col("replicate").cast("string"))
-    weighted = drawn.withColumn("w", _poisson_weight(_hash32(text) / F.lit(float(2**32))))
+    text = F.col(key).cast("string")
+    seeded = frame.select(
+        F.col(amount_units).alias("u"),
+        (_hash32(text) % PRIME).alias("first"),
+        (_hash32(F.concat(text, F.lit("-"))) % PRIME).alias("second"),
+    ).filter(F.col("u").isNotNull())
+    drawn = seeded.select("u", "first", "second", F.explode(F.sequence(F.lit(1), F.lit(REPLICATES))).alias("replicate"))
+    draw = (F.col("first") * F.col("replicate").cast("long") + F.col("second")) % PRIME
+    weighted = drawn.select("replicate", "u", _poisson_weight(draw / F.lit(float(PRIME))).alias("w")).filter("w > 0")
     means = weighted.groupBy("replicate").agg(
-        mean_money(F.sum(F.col("w") * F.col("total")), F.sum(F.col("w") * F.col("n"))).alias("mean")
+        mean_money(wide_sum(F.col("w") * F.col("u")), F.sum("w")).alias("mean")
     )
     # always 500 rows
     return means.agg(
@@ -115,7 +120,7 @@ def early_late_spend(periods: DataFrame) -> DataFrame:
 
     def side(condition: Column, name: str) -> list[Column]:
         rows = F.count(F.when(condition, spend))
-        total = F.sum(F.when(condition, units("total_spend")))
+        total = wide_sum(F.when(condition, units("total_spend")))
         return [
             rows.alias(f"{name}_rows"),
             mean_money(total, rows).alias(f"{name}_mean"),
@@ -267,7 +272,7 @@ def experiment_mde(periods: DataFrame) -> DataFrame:
     last = periods.agg(F.max("period_id")).scalar()
     rows = F.count("total_spend")
     base = periods.filter(F.col("period_id") < last).agg(
-        mean_money(F.sum(units("total_spend")), rows).alias("mean"), F.stddev_samp("total_spend").alias("sd")
+        mean_money(wide_sum(units("total_spend")), rows).alias("mean"), F.stddev_samp("total_spend").alias("sd")
     )
     arm = F.explode(F.array(*[F.lit(n) for n in ARM_SIZES]))
     detectable = (Z_ALPHA + Z_POWER) * 2**0.5 * F.col("sd") / F.sqrt("households_per_arm")
@@ -282,7 +287,7 @@ def sample_size_by_lift(baskets: DataFrame) -> DataFrame:
     """Households per group needed to detect a relative lift in household spend."""
     households = baskets.groupBy("household_key").agg(F.sum(units("basket_spend")).alias("u"))
     base = households.agg(
-        mean_money(F.sum("u"), F.count(F.lit(1))).alias("mean"), F.stddev_samp(F.col("u") / 10000.0).alias("sd")
+        mean_money(wide_sum("u"), F.count(F.lit(1))).alias("mean"), F.stddev_samp(F.col("u") / 10000.0).alias("sd")
     )
     lift = F.explode(F.array(*[F.lit(x) for x in LIFTS]))
     needed = 2 * ((Z_ALPHA + Z_POWER) * F.col("sd") / (F.col("mean") * F.col("lift"))) ** 2

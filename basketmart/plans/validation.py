@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketmart.functions.money import discount_units, positive_ratio, units
+from basketmart.functions.money import discount_units, positive_ratio, units, wide_sum, wide_units
 from basketmart.functions.timegrid import period_of_day, period_of_week
 from basketmart.operators.ordering import rows_above_quantile
 from basketmart.plans.categories import CATEGORY, SMALL_GROUP_HOUSEHOLDS
@@ -103,7 +103,7 @@ def _measure_transactions(m: _Measures, tx: DataFrame) -> None:
     summed = [name for name in receipts.columns if name not in {"household_key", "basket_id", "store_id", "day", "week_no"}]
     m.add(
         receipts,
-        **{f"tx_{name}": F.sum(name) for name in summed},
+        **{f"tx_{name}": wide_sum(name) if name == "sales_u" else F.sum(name) for name in summed},
         tx_baskets=F.count_distinct("basket_id"),
         tx_households=F.count_distinct("household_key"),
         tx_stores=F.count_distinct("store_id"),
@@ -127,7 +127,7 @@ def _measure_products(m: _Measures, tx: DataFrame, products: DataFrame) -> None:
         sold.join(copies, "product_id", "left"),
         sold_products=F.count("product_id"),
         joined_lines=F.sum(F.col("lines") * times),
-        joined_sales_u=F.sum(F.col("sales_u") * times),
+        joined_sales_u=wide_sum(F.col("sales_u") * times),
         unlisted_lines=F.sum(F.when(F.col("copies").isNull(), F.col("lines"))),
     )
     label = F.col("commodity_desc")
@@ -186,7 +186,7 @@ def _measure_marts(m: _Measures, marts: Mapping[str, DataFrame]) -> None:
         ),
         basket_rows=F.sum("n"),
         basket_keys=F.count("basket_id"),
-        basket_spend_u=F.sum("spend_u"),
+        basket_spend_u=wide_sum("spend_u"),
         basket_units=F.sum("basket_units"),
         basket_rates_out_of_range=F.sum("out_of_range"),
     )
@@ -195,7 +195,7 @@ def _measure_marts(m: _Measures, marts: Mapping[str, DataFrame]) -> None:
     m.add(
         marts["mart_promotion_performance"],
         promotion_rows=F.sum("product_store_weeks"),
-        promotion_sales_u=F.sum(units("sales")),
+        promotion_sales_u=F.sum(wide_units("sales")),
         promotion_units=F.sum("units"),
     )
     m.add(marts["mart_categories"], sparse_categories=F.count_if(F.col("household_count") < SMALL_GROUP_HOUSEHOLDS))
@@ -385,12 +385,12 @@ def invariant_checks(s: Mapping[str, DataFrame], marts: Mapping[str, DataFrame])
     m.add(
         baskets.groupBy("basket_id").agg(F.sum(units("basket_spend")).alias("u"), F.sum("basket_units").alias("q")),
         mart_baskets=_count(),
-        mart_spend=F.round(F.sum("u") / 10000.0, 2),
+        mart_spend=F.round(wide_sum("u") / 10000.0, 2),
         mart_units=F.round(F.sum("q"), 2),
     )
     raw = s["transactions"].groupBy("basket_id").agg(F.sum(units("sales_value")).alias("u"), F.sum("quantity").alias("q"))
     m.add(
-        raw, raw_baskets=_count(), raw_spend=F.round(F.sum("u") / 10000.0, 2), raw_units=F.round(F.sum("q"), 2)
+        raw, raw_baskets=_count(), raw_spend=F.round(wide_sum("u") / 10000.0, 2), raw_units=F.round(F.sum("q"), 2)
     )
     campaigns = marts["mart_campaigns"]
     m.add(

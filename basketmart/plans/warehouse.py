@@ -62,6 +62,7 @@ def marts(s: Mapping[str, DataFrame], keep: Keep = _as_is) -> LazyTables:
             ),
         ),
         "mart_products": shared("mart_products", lambda: products.mart_products(s["transactions"], s["products"])),
+        "product_buyers": lambda: products.product_buyers(s["transactions"]),
         "mart_categories": shared(
             "mart_categories", lambda: categories.mart_categories(s["transactions"], s["products"])
         ),

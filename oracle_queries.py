@@ -6,6 +6,9 @@ whole cents (``*_c``). The bodies are written independently of the Spark plans.
 
 from __future__ import annotations
 
+from itertools import accumulate
+from math import exp, factorial
+
 PRELUDE = """
 order_day AS (
   SELECT o_orderkey, o_custkey,
@@ -869,14 +872,9 @@ _add(
         for kpi, mart, column, least, value, cte in [
             ("trip_frequency", "customer_period_summary", "active_households", 30, "active", "period_summary"),
             ("coupon_redemption_rate", "mart_campaigns", "exposed_households", 30, "reached", "funnel"),
-            (
-                "campaign_exposure_rate",
-                "campaign_segment_analysis",
-                "household_campaign_exposures",
-                30,
-                "n",
-                "segment_evidence",
-            ),
+            ("basket_size", "mart_household_period", "basket_count", 1, "n", "hp"),
+            ("campaign_exposure_rate", "kpi_summary", "active_households", 30, "all_h", "totals"),
+            ("repeat_purchase", "product_buyers", "households", 50, "h", "product_reach"),
             ("category_penetration", "mart_categories", "household_count", 50, "h", "category"),
             ("category_growth", "mart_categories", "household_count", 50, "h", "category"),
             ("retention_repeat", "customer_period_summary", "prior_active_households", 30, "prior", "period_summary"),
@@ -888,6 +886,8 @@ _add(
     FUNNEL,
     BEHAVIOUR,
     SEGMENT_EVIDENCE,
+    TOTALS,
+    "product_reach AS (SELECT product_id, count(DISTINCT household_key) AS h FROM tx GROUP BY product_id),",
 )
 
 
@@ -930,22 +930,19 @@ WITH amounts AS (
   SELECT 'basket_spend' AS measure, CAST(basket_id AS VARCHAR) AS k, spend_c AS c FROM basket
   UNION ALL SELECT 'household_spend', CAST(household_key AS VARCHAR), spend_c FROM household
 ),
-bucketed AS (
-  SELECT measure, CAST('0x' || md5(k)[1:8] AS BIGINT) % 1000 AS bucket, sum(c) AS total, count(*) AS n
-  FROM amounts GROUP BY ALL
-),
-poisson AS (
-  SELECT k, sum(p) OVER (ORDER BY k ROWS UNBOUNDED PRECEDING) AS reach
-  FROM (SELECT k, exp(-1) / factorial(CAST(k AS INTEGER)) AS p FROM range(13) t(k))
+seeded AS (
+  SELECT measure, c, CAST('0x' || md5(k)[1:8] AS BIGINT) % 2147483647 AS first,
+         CAST('0x' || md5(k || '-')[1:8] AS BIGINT) % 2147483647 AS second FROM amounts
 ),
 draws AS (
-  SELECT measure, replicate, total, n,
-         CAST('0x' || md5(bucket || '-' || replicate)[1:8] AS BIGINT) / 4294967296.0 AS u
-  FROM bucketed, range(500) r(replicate)
+  SELECT measure, replicate, c, (first * replicate + second) % 2147483647 / 2147483647.0::DOUBLE AS u
+  FROM seeded, range(1, 501) r(replicate)
 ),
 means AS (
-  SELECT measure, replicate, sum(w * total) / (100.0 * sum(w * n)) AS m
-  FROM (SELECT *, (SELECT count(*) FROM poisson WHERE reach <= u) AS w FROM draws) GROUP BY measure, replicate
+  SELECT measure, replicate, sum(w * c) / (100.0 * sum(w)) AS m
+  FROM (SELECT *, """
+    + " + ".join(f"CAST(u >= {reach!r}::DOUBLE AS BIGINT)" for reach in accumulate(exp(-1.0) / factorial(k) for k in range(13)))
+    + """ AS w FROM draws) GROUP BY measure, replicate
 )
 SELECT measure, round(quantile_cont(m, 0.025), 3) AS lower, round(quantile_cont(m, 0.975), 3) AS upper
 FROM means GROUP BY measure
@@ -1085,8 +1082,9 @@ _add(
     """
 WITH cut AS (SELECT min(spend) AS lo, quantile_cont(spend, 0.99) AS hi FROM measure),
 placed AS (SELECT least(floor((least(spend, hi) - lo) / ((hi - lo) / 50)), 49) AS bin FROM measure, cut)
-SELECT CAST(bin AS INTEGER) AS bin, round(lo + bin * ((hi - lo) / 50), 2) AS bin_start, count(*) AS baskets
-FROM placed, cut GROUP BY bin, lo, hi
+SELECT CAST(k AS INTEGER) AS bin, round(lo + k * ((hi - lo) / 50), 2) AS bin_start,
+       (SELECT count(*) FROM placed WHERE bin = k) AS baskets
+FROM range(50) r(k), cut
 """,
     BASKET,
     MEASURE,
@@ -1096,8 +1094,9 @@ _add(
     """
 WITH cut AS (SELECT CAST(min(n) AS DOUBLE) AS lo, CAST(max(n) AS DOUBLE) AS hi FROM bought),
 placed AS (SELECT CASE WHEN hi > lo THEN least(floor((n - lo) / ((hi - lo) / 40)), 39) ELSE 0 END AS bin FROM bought, cut)
-SELECT CAST(bin AS INTEGER) AS bin, round(lo + bin * ((hi - lo) / 40), 6) AS bin_start, count(*) AS household_periods
-FROM placed, cut GROUP BY bin, lo, hi
+SELECT CAST(k AS INTEGER) AS bin, round(lo + k * ((hi - lo) / 40), 6) AS bin_start,
+       (SELECT count(*) FROM placed WHERE bin = k) AS household_periods
+FROM range(40) r(k), cut
 """,
     BASKET,
     LABELLED,
@@ -1195,7 +1194,7 @@ likeness AS (
 """
 for _name, _sample, _anchor in [
     ("nearest_households", 250, ""),
-    ("nearest_to_first_household", 200, "WHERE a.household_key = (SELECT min(household_key) FROM member)"),
+    ("nearest_to_first_household", "ALL", "WHERE a.household_key = (SELECT min(household_key) FROM member)"),
 ]:
     _add(
         _name,
