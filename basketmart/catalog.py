@@ -43,15 +43,18 @@ DERIVED_FROM = {
     "transactions": ("lineitem", "orders"),
     "merchandising": ("lineitem", "orders"),
     "redemptions": ("lineitem", "orders", "customer", "nation"),
+    "stored_baskets": ("lineitem", "orders"),
+    "stored_periods": ("lineitem", "orders", "part", "customer", "nation"),
+    "stored_cells": ("lineitem", "orders", "part"),
 }
 _STORED: dict[tuple, DataFrame] = {}
 
 
 def _stored_once(spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A staged table, written once per session and state of its input files.
+    """A staged table or shared mart, written once per session and state of its input files.
 
     Marts read the staged tables, most of them more than once, so they are tables rather than views: deriving them
-    again for each reader would repeat a join of the largest inputs.
+    again for each reader would repeat a join of the largest inputs. Marts that many queries read are shared likewise.
     """
     key = (spark.sparkContext.applicationId, name, folder, fingerprint(spark, folder, *DERIVED_FROM[name]))
     if key not in _STORED:
@@ -69,7 +72,19 @@ def staged(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
             return _stored_once(spark, folder, name, partial(views.__getitem__, name))
         return views[name]
 
-    return LazyTables({name: partial(build, name) for name in views})
+    tables = LazyTables(
+        {name: partial(build, name) for name in views}
+        | {name: partial(_stored_once, spark, folder, name, lambda make=make: make(tables)) for name, make in SHARED.items()}
+    )
+    return tables
+
+
+# Marts that several queries read, as plans over the staged tables.
+SHARED = {
+    "stored_baskets": lambda s: _baskets(s),
+    "stored_periods": lambda s: _household_period(s),
+    "stored_cells": lambda s: _cells(s),
+}
 
 
 def rounded(frame: DataFrame, **decimals: int | str) -> DataFrame:
@@ -256,7 +271,7 @@ def category_growth_leaders(s):
 
 def _stored_baskets(s):
     """Basket mart for plans that read it more than once."""
-    return stored(_baskets(s))
+    return s["stored_baskets"]
 
 
 def _period_inputs(s):
@@ -290,12 +305,12 @@ def mart_household_period_active(s):
 
 @query
 def customer_period_summary(s):
-    return rounded(H.customer_period_summary(_household_period(s)), retention_rate=6)
+    return rounded(H.customer_period_summary(_stored_periods(s)), retention_rate=6)
 
 
 @query
 def customer_retention_matrix(s):
-    return rounded(H.customer_retention_matrix(_household_period(s)), retention_rate=6)
+    return rounded(H.customer_retention_matrix(_stored_periods(s)), retention_rate=6)
 
 
 @query
@@ -310,17 +325,17 @@ def household_spine(s):
 
 @query
 def period_series(s):
-    return H.period_series(_baskets(s))
+    return H.period_series(_stored_baskets(s))
 
 
 @query
 def customer_segments(s):
-    return U.customer_segments(_baskets(s))
+    return U.customer_segments(_stored_baskets(s))
 
 
 @query
 def value_concentration(s):
-    return rounded(U.value_concentration(_baskets(s)), spend=2, cumulative_share=6)
+    return rounded(U.value_concentration(_stored_baskets(s)), spend=2, cumulative_share=6)
 
 
 # --- campaigns, coupons and promotions -------------------------------------------------------------------------------
@@ -361,7 +376,7 @@ def campaign_bias_comparison(s):
 
 @query
 def campaign_segment_analysis(s):
-    segments = U.household_segments(_baskets(s))
+    segments = U.household_segments(_stored_baskets(s))
     frame = K.campaign_segment_analysis(segments, s["exposures"], s["campaigns"], s["redemptions"])
     return rounded(frame, redemption_rate=6)
 
@@ -407,7 +422,14 @@ def mart_customer_features(s):
 
 def _marts(s, *kept: str):
     """All marts; the ones read more than once are stored, the others keep being pruned to what is read of them."""
-    return warehouse.marts(s, keep=lambda name, frame: stored(frame) if name in kept else frame)
+    shared = {"mart_baskets": "stored_baskets", "mart_household_period": "stored_periods"}
+
+    def keep(name, frame):
+        if name in shared:
+            return s[shared[name]]
+        return stored(frame) if name in kept else frame
+
+    return warehouse.marts(s, keep=keep)
 
 
 @query
@@ -422,7 +444,7 @@ def legacy_discount_check(s):
 
 @query
 def source_checks(s):
-    return V.source_checks(s)
+    return V.source_checks(LazyTables({name: partial(s.__getitem__, name) for name in s if name not in SHARED}))
 
 
 @query
@@ -439,7 +461,7 @@ def kpi_support(s):
 
 
 def _stored_periods(s):
-    return stored(_household_period(s))
+    return s["stored_periods"]
 
 
 def nine_digits(column: str):
@@ -509,12 +531,12 @@ def hypothesis_p_values(s):
 
 @query
 def basket_spearman(s):
-    return rounded(T.basket_spearman(_baskets(s)), rho=6)
+    return rounded(T.basket_spearman(_stored_baskets(s)), rho=6)
 
 
 @query
 def basket_covariance(s):
-    return T.basket_covariance(_baskets(s)).withColumn("covariance", nine_digits("covariance"))
+    return T.basket_covariance(_stored_baskets(s)).withColumn("covariance", nine_digits("covariance"))
 
 
 @query
@@ -524,7 +546,7 @@ def experiment_mde(s):
 
 @query
 def sample_size_by_lift(s):
-    return T.sample_size_by_lift(_baskets(s))
+    return T.sample_size_by_lift(_stored_baskets(s))
 
 
 # --- figures ---------------------------------------------------------------------------------------------------------
@@ -547,7 +569,7 @@ def basket_freq_hist(s):
 
 @query
 def retention_pivot(s):
-    matrix = stored(H.customer_retention_matrix(_household_period(s)))
+    matrix = stored(H.customer_retention_matrix(_stored_periods(s)))
     last = matrix.agg(F.max("period_id")).first()[0]
     frame = D.retention_pivot(matrix, last)
     return rounded(frame, **{name: 6 for name in frame.columns if name != "cohort_period"})
@@ -586,22 +608,22 @@ def spend_matrix_cells(s):
 
 @query
 def matrix_profile(s):
-    return rounded(M.matrix_profile(_cells(s)), sparsity=4)
+    return rounded(M.matrix_profile(s["stored_cells"]), sparsity=4)
 
 
 @query
 def nearest_households(s):
-    return rounded(M.nearest_households(stored(_cells(s))), cosine_similarity=4)
+    return rounded(M.nearest_households(s["stored_cells"]), cosine_similarity=4)
 
 
 @query
 def nearest_to_first_household(s):
-    return rounded(M.nearest_to_first_household(stored(_cells(s))), cosine_similarity=4)
+    return rounded(M.nearest_to_first_household(s["stored_cells"]), cosine_similarity=4)
 
 
 @query
 def pca_variance(s):
-    return rounded(M.pca_variance(_cells(s)), variance_share=4, cumulative_share=4)
+    return rounded(M.pca_variance(s["stored_cells"]), variance_share=4, cumulative_share=4)
 
 
 @query
@@ -682,13 +704,13 @@ def product_attributes(s):
 @query
 def basket_quantiles(s):
     series = {"basket_spend": F.col("basket_spend"), "basket_units": F.col("basket_units")}
-    return rounded(O.exact_quantiles(_baskets(s), series, [0.5, 0.75, 0.99]), quantile=4)
+    return rounded(O.exact_quantiles(_stored_baskets(s), series, [0.5, 0.75, 0.99]), quantile=4)
 
 
 @query
 def outliers_above_p99(s):
     series = {"basket_spend": F.col("basket_spend"), "basket_units": F.col("basket_units")}
-    return rounded(O.rows_above_quantile(_baskets(s), series, 0.99), quantile=4)
+    return rounded(O.rows_above_quantile(_stored_baskets(s), series, 0.99), quantile=4)
 
 
 @query
@@ -707,7 +729,7 @@ def average_ranks(s):
 
 @query
 def ntile_global(s):
-    return U.household_quartiles(_baskets(s)).select("household_key", "value_quartile")
+    return U.household_quartiles(_stored_baskets(s)).select("household_key", "value_quartile")
 
 
 @query

@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from basketmart.catalog import QUERIES  # noqa: E402
+from basketmart.catalog import DERIVED_FROM, QUERIES, staged  # noqa: E402
 
 HEADLINE = [
     "stg_transactions",
@@ -59,9 +59,13 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    # a first query pays for starting the session, not for its own work
-    QUERIES["baskets_by_week"](spark, folder).write.format("noop").mode("overwrite").save()
+    # writing the staged tables and the marts that queries share is timed by itself, the session's start with it
     seconds = {}
+    start = time.perf_counter()
+    tables = staged(spark, folder)
+    for name in DERIVED_FROM:
+        tables[name]
+    seconds["staging_and_shared_marts"] = round(time.perf_counter() - start, 3)
     for name in names:
         start = time.perf_counter()
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
