@@ -62,9 +62,6 @@ def export_features(features: DataFrame, folder: str) -> int:
     return export_csv(features, f"{folder.rstrip('/')}/feature_ready_households", ["household_key"])
 
 
-def collect_small(frame: DataFrame, limit: int = 10_000) -> list[dict]:
-    """A small result as dictionaries with lower-case names; refuses anything larger than ``limit`` rows."""
-    rows = frame.toDF(*[name.lower() for name in frame.columns]).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"result has more than {limit} rows; write it instead of collecting it")
-    return [row.asDict() for row in rows]
+def first_rows(frame: DataFrame, k: int) -> list[dict]:
+    """``k`` rows, as dictionaries with lower-case names."""
+    return [row.asDict() for row in frame.toDF(*[name.lower() for name in frame.columns]).limit(k).collect()]

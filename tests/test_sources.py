@@ -10,7 +10,7 @@ from basketmart.plans.warehouse import EXPORTED
 from basketmart.run import run
 from basketmart.schemas import SCHEMAS
 from basketmart.sources.csv import csv_sources, read_hidden_csv, read_source, resolve_source, source_inventory
-from basketmart.sources.sinks import append_rows, collect_small, export_csv, materialize, materialize_bucketed
+from basketmart.sources.sinks import append_rows, export_csv, first_rows, materialize, materialize_bucketed
 from basketmart.sources.star import star_sources
 
 SF = "/root/testdata/sf0.001"
@@ -118,10 +118,9 @@ def test_materialize_append_and_bucket(spark, tmp_path):
     assert "Exchange" not in plan
 
 
-def test_small_results_only(spark):
-    assert collect_small(spark.range(2).toDF("ID")) == [{"id": 0}, {"id": 1}]
-    with pytest.raises(ValueError):
-        collect_small(spark.range(20), limit=10)
+def test_first_rows(spark):
+    assert first_rows(spark.range(2).toDF("ID"), 5) == [{"id": 0}, {"id": 1}]
+    assert len(first_rows(spark.range(20), 10)) == 10
 
 
 def test_full_run_exports_every_table(spark, csv_folder, tmp_path):

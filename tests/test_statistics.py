@@ -15,6 +15,8 @@ def test_student_p_values_match_closed_forms():
     for t in (0.0, 0.3, 1.7, 4.0):
         assert student_two_sided(t, 1) == pytest.approx(1 - 2 * math.atan(t) / math.pi, abs=1e-12)
         assert student_two_sided(t, 2) == pytest.approx(1 - t / math.sqrt(2 + t * t), abs=1e-12)
+        assert student_two_sided(t, 1e6) == pytest.approx(student_two_sided(t, 1e6 + 1), abs=1e-9)
+        assert student_two_sided(t, 1e15) == pytest.approx(2 * NormalDist().cdf(-t), abs=1e-12)
         assert student_two_sided(t, 5e7) == pytest.approx(2 * NormalDist().cdf(-t), abs=1e-6)
     assert normal_two_sided(1.959963984540054) == pytest.approx(0.05)
 
