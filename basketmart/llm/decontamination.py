@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketmart.llm.text import as_bytes, by_batch, read_table
+from basketmart.llm.text import as_bytes, by_batch, read_table, sliced
 
 SEED = 5  # words of a seed
 TILE = 3  # words of the smallest tile
@@ -216,7 +216,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text") ->
     at = docs.columns.index(text)
 
     def keep(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             bodies = batch.column(at).to_pylist()
             yield batch.filter(pa.array([not known.hits((b or "").encode()) for b in bodies], pa.bool_()))
 

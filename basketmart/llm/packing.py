@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketmart.llm.text import as_bytes, read_table
+from basketmart.llm.text import as_bytes, read_table, sliced
 from basketmart.llm.wordbpe import word_ids
 from basketmart.session import stored
 
@@ -85,7 +85,7 @@ def _pack(docs: DataFrame, path: str | None, length: int, keep: int) -> DataFram
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
         encoder = word_ids(path)
-        for batch in batches:
+        for batch in sliced(batches):
             for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
                 ids += end
                 total, start = len(ids) // 4, 0

@@ -16,7 +16,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from basketmart.llm.text import as_bytes, by_batch, read_table
+from basketmart.llm.text import as_bytes, by_batch, read_table, sliced
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -248,7 +248,7 @@ def redact_documents(docs: DataFrame, text: str = "text", size: str = "n_chars")
     at, n = docs.columns.index(text), docs.columns.index(size) if size in docs.columns else -1
 
     def work(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             old = batch.column(at).to_pylist()
             new = [None if t is None else redact(t) for t in old]
             columns = list(batch.columns)

@@ -27,6 +27,16 @@ def as_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     )
 
 
+SLICE = 500  # rows a task turns into Python objects at once
+
+
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most SLICE rows; Spark's own may hold ten thousand whole texts."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def by_batch(rows: DataFrame, work: Callable[[list, pa.RecordBatch], list], schema: str, columns: list[str]) -> DataFrame:
     """Map Arrow batches: ``work`` gets the batch and returns one Python list or array for each output column."""
     from pyspark.sql.types import _parse_datatype_string
@@ -36,7 +46,7 @@ def by_batch(rows: DataFrame, work: Callable[[list, pa.RecordBatch], list], sche
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             made = work([batch.column(i).to_pylist() for i in range(len(columns))])
             arrays = [pa.array(values, type=field.type) for values, field in zip(made, arrow)]
             yield pa.RecordBatch.from_arrays(arrays, schema=arrow)

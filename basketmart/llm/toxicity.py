@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketmart.llm.text import as_bytes, by_batch, held_out, read_table
+from basketmart.llm.text import as_bytes, by_batch, held_out, read_table, sliced
 from basketmart.session import stored
 
 BEFORE = b" 0123456789~@#$%^&*+{}|<>=`ABCDEFGHIJKLMNOPQRSTUVWXYZ "
@@ -30,7 +30,8 @@ AFTER = b" ZYXWVUTSRQPONMLKJIHGFEDCBA9876543210 "
 EDGES = b".,;:!?\"'()[]"
 DICTIONARY_BYTES = 110_000
 MARK = 0.35  # gain of a window that counts as a hit
-CACHE = 400_000
+LEAST_DOCS, LEAST_GAIN = 3, 8.0  # of a word that marks out toxic documents: how many hold it, and the evidence in nats
+CACHE = 200_000
 MAX_TOXIC, MAX_ORDINARY = 4_000, 16_000  # labelled documents to learn from
 
 
@@ -176,7 +177,7 @@ def fit_toxicity(
     n_toxic, n_ordinary = sizes.get(1, 0), sizes.get(0, 0)
     expected = (F.col("o") + 0.5) * (n_toxic / max(1, n_ordinary)) + 0.5
     gain = F.col("t") * F.log((F.col("t") + 0.5) / expected)
-    toxic = _dictionary(counts.filter((F.col("t") >= 3) & (gain > 8) & (F.col("t") > 4 * expected)), F.col("t"))
+    toxic = _dictionary(counts.filter((F.col("t") >= LEAST_DOCS) & (gain > LEAST_GAIN) & (F.col("t") > 4 * expected)), F.col("t"))
     ordinary = _dictionary(counts.filter("o > 0"), F.col("o"))
 
     def measured(columns):
@@ -216,7 +217,7 @@ def reject_toxic(docs: DataFrame, model: ToxicityModel, text: str = "text") -> D
     at = docs.columns.index(text)
 
     def keep(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             bodies = [(value or "").encode() for value in batch.column(at).to_pylist()]
             logit = _features(bodies, toxic, ordinary) @ weights[1:] + weights[0]
             yield batch.filter(pa.array(1 / (1 + np.exp(-np.clip(logit, -30, 30))) < 0.3))

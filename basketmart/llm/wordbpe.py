@@ -10,39 +10,71 @@ from __future__ import annotations
 import numpy as np
 
 FILE = "word_bpe_49k.json"
-REMEMBERED = 400_000
+REMEMBERED = 250_000  # words of a generation; two are kept
+_TAIL = b".,;:!?"
 _KNOWN: dict[str, "WordIds"] = {}
 
 
+def _ends_with_letter(word: bytes) -> bool:
+    return word[-1:].isalnum() or (word[-1] > 127 and word.decode("utf-8", "replace")[-1].isalpha())
+
+
 class WordIds:
+    """``ids``: words of this generation, ``old``: of the one before; memory is bounded by the two."""
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.ids: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.ids]
-        if len(self.ids) + len(new) > REMEMBERED:
-            self.ids.clear()
-            new = list(words)
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            encoded = self.tokenizer.encode(
-                [w.decode("utf-8", "replace") for w in part], is_pretokenized=True, add_special_tokens=False
-            )
-            ids = np.array(encoded.ids, "<u4").tobytes()
-            owner = np.array([-1 if w is None else w for w in encoded.word_ids], np.int64)
-            if (owner < 0).any():  # a special token's spelling belongs to no word: one by one
-                for w in part:
-                    own = self.tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids
-                    self.ids[w] = np.array(own, "<u4").tobytes()
+        """Make ``ids`` hold these words. The tokenizer never joins a letter with the punctuation after it, so a word's
+        ids are those of what precedes its last punctuation, then those of that."""
+        if len(self.ids) > REMEMBERED:
+            self.old, self.ids = self.ids, {}
+        ids, old = self.ids, self.old
+        parted, new = [], set()
+        for w in words:
+            if w in ids:
                 continue
-            ends = np.searchsorted(owner, np.arange(len(part)), "right") * 4
-            start = 0
-            for w, end in zip(part, ends.tolist()):
-                self.ids[w] = ids[start:end]
-                start = end
+            if w in old:
+                ids[w] = old[w]
+                continue
+            core = w.rstrip(_TAIL)
+            if core and core != w and b"<|" not in w and _ends_with_letter(core):
+                tail = w[len(core) :]
+                parted.append((w, core, tail))
+                for part in (core, tail):
+                    if part in old:
+                        ids[part] = old[part]
+                    elif part not in ids:
+                        new.add(part)
+            else:
+                new.add(w)
+        new = list(new)
+        for at in range(0, len(new), 20_000):
+            self._encode_words(new[at : at + 20_000])
+        for w, core, tail in parted:
+            ids[w] = ids[core] + ids[tail]
+
+    def _encode_words(self, part: list[bytes]) -> None:
+        encoded = self.tokenizer.encode(
+            [w.decode("utf-8", "replace") for w in part], is_pretokenized=True, add_special_tokens=False
+        )
+        owner = encoded.word_ids
+        if None in owner:  # a special token's spelling belongs to no word: one by one
+            for w in part:
+                own = self.tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids
+                self.ids[w] = np.array(own, "<u4").tobytes()
+            return
+        ids = np.array(encoded.ids, "<u4").tobytes()
+        ends = np.searchsorted(np.array(owner, np.int64), np.arange(len(part)), "right") * 4
+        start = 0
+        for w, end in zip(part, ends.tolist()):
+            self.ids[w] = ids[start:end]
+            start = end
 
     def encode(self, bodies: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
