@@ -226,7 +226,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     members = stored(members.join(centres.select("bucket", "other"), "bucket"))
     pairs = stored(members.filter("doc_id <> other").select(F.col("doc_id").alias("rep"), "other").distinct())
     wanted = pairs.select(F.col("rep").alias("doc_id")).union(pairs.select("other")).distinct()
-    texts = stored(as_bytes(docs).join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    # the same plan at every size: Spark's guess at the ids' size would choose between two very different ones
+    texts = as_bytes(docs).join(wanted.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    texts = stored(texts)
     links = stored(_verified(pairs, texts, size, percent))
     first = components(links)
     active = members.select("bucket", "doc_id").join(
@@ -244,11 +246,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
             lambda rows: _within_block(rows, size, percent), "a long, b long"
         )
     )
-    whole = components(links.union(more))
+    # links of the blocks join components, so only components take part in the second round
+    for side in ("a", "b"):
+        named = first.select(F.col("node").alias(side), F.col("component").alias(f"{side}_component"))
+        more = more.join(named, side, "left").withColumn(f"{side}_component", F.coalesce(f"{side}_component", side))
+    joined = components(more, "a_component", "b_component")
     groups = reps.select("digest", "doc_id").join(
-        whole.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left"
+        first.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left"
+    )
+    groups = groups.select("digest", F.coalesce("component", "doc_id").alias("first_id")).join(
+        joined.select(F.col("node").alias("first_id"), "component"), "first_id", "left"
     )
-    groups = groups.select("digest", F.coalesce("component", "doc_id").alias("component_id"))
+    groups = groups.select("digest", F.coalesce("component", "first_id").alias("component_id"))
     out = described.join(groups, "digest", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
