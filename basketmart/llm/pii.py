@@ -2,7 +2,7 @@
 
 A transducer rewrites a text piece by piece and keeps, for every character it writes, the source span it came from:
 homoglyphs and full-width forms become ASCII, zero-width characters vanish, spelled digits become digits, "at" and "dot"
-disguises become @ and full stops. What is then found is mapped back to source characters. Only finds that touch a rewritten
+disguises become @ and full stops, spelled and written ones mixed. What is then found is mapped back to source characters. Only finds that touch a rewritten
 character and reach beyond the plain finds of their kind are added; the plain ones stay as they are.
 
 All detectors are linear in the text: e-mail addresses are grown from their @, IP addresses from runs of digits and dots.
@@ -37,21 +37,29 @@ HOMOGLYPHS = {
 }
 HOMOGLYPHS |= {chr(0xFEE0 + c): chr(c) for c in range(0x21, 0x7F)}  # full-width forms
 ZERO_WIDTH = "­​‌‍⁠﻿"
-# Spelled digits and final labels of addresses written in plain words.
+# Spelled digits.
 DIGITS = {w: str(n) for n, w in enumerate("zero one two three four five six seven eight nine".split())}
-LABELS = ("com", "org", "net", "edu", "gov", "info", "biz", "io", "co", "de", "es", "fr", "uk", "eu")
 
 _HOMO = re.compile("[" + "".join(map(re.escape, HOMOGLYPHS)) + ZERO_WIDTH + "]")
 _WORD = "|".join(DIGITS)
-_SPELLED = re.compile(rf"(?<![A-Za-z])(?:plus[ -]+)?(?:{_WORD})(?:[ -]+(?:{_WORD}))+(?![A-Za-z])", re.I)
-_ONE = re.compile(rf"plus|{_WORD}", re.I)
+_TOKEN = rf"(?:{_WORD}|[0-9]+)"
+_DISGUISED = r"[ -]+dot[ -]+|[ \t]*[\[({<][ \t]*dot[ \t]*[\])}>][ \t]*"
+_SPELLED = re.compile(
+    rf"(?<![A-Za-z0-9])(?:plus[ -]+{_TOKEN}(?:(?:{_DISGUISED}|\.|[ -]+){_TOKEN})*|{_TOKEN}(?:(?:{_DISGUISED}|\.|[ -]+){_TOKEN})+)"
+    r"(?![A-Za-z0-9])",
+    re.I,
+)
+_ONE = re.compile(rf"plus|{_WORD}|[0-9]+", re.I)
 _BRACKET = re.compile(r"[ \t]*[\[({<][ \t]*(at|dot)[ \t]*[\])}>][ \t]*", re.I)
+_BRACKET_HINT = re.compile(r"[\[({<][ \t]*(?:at|dot)[ \t]*[\])}>]", re.I)
 _PLAIN = re.compile(
-    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}( at )[A-Za-z0-9-]{{1,63}}(?: dot [A-Za-z0-9-]{{1,63}}){{0,4}} dot (?:{'|'.join(LABELS)})"
-    r"(?![A-Za-z0-9-])",
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}(@|[ \t]+at[ \t]+)[A-Za-z0-9-]{1,63}"
+    r"(?:(?:[ \t]+dot[ \t]+|\.)[A-Za-z0-9-]{1,63})*(?:[ \t]+dot[ \t]+|\.)[A-Za-z]{2,63}(?![A-Za-z0-9-])",
     re.I,
 )
-_DOT = re.compile(" dot ", re.I)
+_PLAIN_HINT = re.compile(r"[ \t](?:at|dot)[ \t]", re.I)
+_DOT = re.compile(r"[ \t]+dot[ \t]+", re.I)
+_LOCAL_DOT = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}([ \t]{1,9}dot[ \t]{1,9})\Z", re.I)
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -150,33 +158,50 @@ def _homoglyphs(tape: _Tape) -> None:
     tape.rewrite([(m.start(), m.end(), HOMOGLYPHS.get(m[0], "")) for m in _HOMO.finditer(tape.text)])
 
 
-def _spelled(tape: _Tape) -> None:
+def _spelled_edits(text: str) -> list[tuple[int, int, str]]:
+    """Runs of digits with a spelled one or a disguised full stop in them: words become digits, blanks beside them go."""
     edits = []
-    for run in _SPELLED.finditer(tape.text):
-        last = run.start()
-        for word in _ONE.finditer(tape.text, run.start(), run.end()):
-            edits.append((last, word.end(), DIGITS.get(word[0].lower(), "+")))
-            last = word.end()
-    tape.rewrite(edits)
+    for run in _SPELLED.finditer(text):
+        last, word = run.start(), False  # of the token before
+        for token in _ONE.finditer(text, run.start(), run.end()):
+            between, spelled = text[last : token.start()], not token[0].isdigit()
+            if "dot" in between.lower():
+                edits.append((last, token.start(), "."))
+                last = token.start()
+            elif between == ".":
+                last = token.start()
+            if spelled:
+                edits.append((last, token.end(), DIGITS.get(token[0].lower(), "+")))
+            elif word and last < token.start():
+                edits.append((last, token.start(), ""))
+            last, word = token.end(), spelled
+    return edits
 
 
 def _at_dot(tape: _Tape) -> None:
     edits = [(m.start(), m.end(), "@" if m[1].lower() == "at" else ".") for m in _BRACKET.finditer(tape.text)]
     tape.rewrite(edits)
-    edits = []
-    for m in _PLAIN.finditer(tape.text):
-        edits.append((m.start(1), m.end(1), "@"))
-        edits += [(d.start(), d.end(), ".") for d in _DOT.finditer(tape.text, m.end(1), m.end())]
+    edits, text, last = [], tape.text, 0
+    for m in _PLAIN.finditer(text) if _PLAIN_HINT.search(text) else ():
+        before, start = [], m.start()
+        while d := _LOCAL_DOT.search(text, max(last, start - 85), start):
+            before.append((d.start(1), d.end(1), "."))
+            start = d.start()
+        edits += before[::-1]
+        if m[1] != "@":
+            edits.append((m.start(1), m.end(1), "@"))
+        edits += [(d.start(), d.end(), ".") for d in _DOT.finditer(text, m.end(1), m.end())]
+        last = m.end()
     tape.rewrite(edits)
 
 
 def _suspicious(text: str) -> bool:
-    lower = text.lower()
-    if "dot" in lower or any(f"at{c}" in lower or f"at {c}" in lower for c in "])}>"):
+    """Whether any transducer rewrites the text; their own patterns decide."""
+    if not text.isascii() and _HOMO.search(text):
         return True
-    if sum(word in lower for word in DIGITS) >= 3:
+    if _BRACKET_HINT.search(text) or (_PLAIN_HINT.search(text) and _PLAIN.search(text)):
         return True
-    return not text.isascii() and _HOMO.search(text) is not None
+    return bool(_spelled_edits(text))
 
 
 def hidden_spans(text: str, plain: list[Span]) -> list[Span]:
@@ -185,7 +210,7 @@ def hidden_spans(text: str, plain: list[Span]) -> list[Span]:
         return []
     tape = _Tape(text)
     _homoglyphs(tape)
-    _spelled(tape)
+    tape.rewrite(_spelled_edits(tape.text))
     _at_dot(tape)
     if not any(tape.new):
         return []

@@ -73,6 +73,36 @@ def test_disguises_map_back_to_the_source(text, source):
     assert source in [text[a:b] for a, _, b in spans]
 
 
+@pytest.mark.parametrize(
+    "text, source",
+    [
+        ("card four" + " one" * 15 + " now", "four" + " one" * 15),
+        ("card 4111 1111 1111 111 one now", "4111 1111 1111 111 one"),
+        ("call plus one one one one two two two two one now", "plus one one one one two two two two one"),
+        ("jo [at  ] example [\tdot ] com now", "jo [at  ] example [\tdot ] com"),
+        ("mail jo at example.com now", "jo at example.com"),
+        ("mail jo at mail dot example.app now", "jo at mail dot example.app"),
+        ("mail jo dot doe at example dot nl now", "jo dot doe at example dot nl"),
+        ("mail jo@example dot us now", "jo@example dot us"),
+        ("mail jo (at) example dot ru now", "jo (at) example dot ru"),
+        ("mail jo  at  a dot b dot c dot d dot e dot f dot g dot ai.", "jo  at  a dot b dot c dot d dot e dot f dot g dot ai"),
+        ("host one nine two dot one six eight dot one dot one now", "one nine two dot one six eight dot one dot one"),
+        ("host 10 dot 0 dot zero.one now", "10 dot 0 dot zero.one"),
+        ("host one zero [dot] 0 [dot] 0 [dot] one now", "one zero [dot] 0 [dot] 0 [dot] one"),
+    ],
+)
+def test_mixed_disguises(text, source):
+    plain = plain_spans(text)
+    spans = sorted(plain + hidden_spans(text, plain))
+    assert source in [text[a:b] for a, _, b in spans]
+    assert source not in redact(text)
+
+
+def test_more_long_texts_take_linear_time():
+    for text in ("a dot " * 20_000, "a at " * 20_000, "x at a" + ".b1" * 60_000, "one dot " * 20_000, "1 " * 60_000 + "one", "one" + " " * 90_000, "plus " * 20_000):
+        hidden_spans(text, [])
+
+
 @pytest.mark.parametrize("text", ["look at the polka dot dress", "one or two (at most) three dots", "Éa què at en dot", "at one two"])
 def test_clean_texts_have_no_finds(text):
     assert plain_spans(text) == [] and hidden_spans(text, []) == []
