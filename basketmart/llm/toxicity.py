@@ -52,8 +52,8 @@ class _Gain(dict):
         shape = zstandard.ZstdCompressionParameters.from_level(
             9,
             window_log=17,
-            hash_log=14,
-            chain_log=14,
+            hash_log=18,
+            chain_log=18,
             search_log=7,
             min_match=4,
             strategy=zstandard.STRATEGY_LAZY2,

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from basketmart.llm.toxicity import ToxicityModel, _calibrate, _features, fit_toxicity, op2_toxicity, reject_toxic, score_toxicity
+from basketmart.llm.toxicity import AFTER, BEFORE, DICTIONARY_BYTES, _Gain, ToxicityModel, _calibrate, _features, fit_toxicity, op2_toxicity, reject_toxic, score_toxicity
 
 
 def corpus(spark, n=240, repeat=1):
@@ -60,6 +60,16 @@ def test_features_of_texts_without_long_words():
     assert ToxicityModel(b"", b"", (0.0, 0.0, 0.0, 0.0)).weights[0] == 0
 
 
+def test_the_whole_of_a_full_dictionary_is_searched():
+    import zlib
+
+    words = [b"%08x" % zlib.crc32(b"%d" % i) for i in range(12_000)]
+    gain = _Gain(b"nothing", b" ".join(words)[:DICTIONARY_BYTES])
+    cost = lambda word: len(gain.ordinary(BEFORE + word + AFTER))
+    unknown = [b"%08x" % zlib.crc32(b"x%d" % i) for i in range(500)]
+    assert max(map(cost, words[:500])) < min(map(cost, unknown))
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
