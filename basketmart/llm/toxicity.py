@@ -1,7 +1,7 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are learnt from labelled text, one from toxic and one from ordinary documents. A window is a
-word between two fixed carrier phrases which both dictionaries hold; the carriers keep short windows from being stored
+word, or a part of a very long one, or a short one with its neighbour, between two fixed carrier phrases which both dictionaries hold; the carriers keep short windows from being stored
 raw, so the difference of the two compressed lengths is what the word itself costs. The gain of a window is that
 difference by its length. Largest gain, mean of the three largest and number of windows above a mark are turned into a
 score by a logistic calibration on labelled documents that no dictionary has seen.
@@ -14,6 +14,7 @@ short windows (area under the curve 0.54-0.92, against 0.97).
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,6 +29,11 @@ from basketmart.session import stored
 BEFORE = b" 0123456789~@#$%^&*+{}|<>=`ABCDEFGHIJKLMNOPQRSTUVWXYZ "
 AFTER = b" ZYXWVUTSRQPONMLKJIHGFEDCBA9876543210 "
 EDGES = b".,;:!?\"'()[]"
+LONGEST = 64  # bytes of a window
+_MARKS = re.compile(rb"[\x00-/:-@\[-`{-\x7f]+")
+# characters of scripts written without blanks: kana, Han (Hangul with it), Thai, Lao, Myanmar, Khmer
+_BLANKLESS = re.compile(rb"[\xe3-\xed][\x80-\xbf]|\xf0[\xa0-\xbf]|\xe0[\xb8-\xbb]|\xe1[\x80-\x82\x9e\x9f]")
+_WIDE = re.compile(rb"[\xe0-\xf4][\x80-\xbf]+")
 DICTIONARY_BYTES = 110_000
 MARK = 0.35  # gain of a window that counts as a hit
 LEAST_DOCS, LEAST_GAIN = 3, 8.0  # of a word that marks out toxic documents: how many hold it, and the evidence in nats
@@ -74,13 +80,46 @@ class _Gain(dict):
         if len(self) >= CACHE:
             self.clear()
         window = BEFORE + word + AFTER
-        gain = 0.0
-        if 3 < len(word) <= 64:
-            gain = (len(self.ordinary(window)) - len(self.toxic(window))) / (len(word) + 2)
+        gain = (len(self.ordinary(window)) - len(self.toxic(window))) / (len(word) + 2)
         self[word] = gain
         return gain
 
 
+def _cut(word: bytes, blankless: bool) -> list[bytes]:
+    """Overlapping windows of a word that holds several: at most two and four characters of scripts written without blanks,
+    pieces between marks of others, of longer ones every eighth of the windows of sixteen bytes."""
+    if blankless:
+        text = word.decode("utf-8", "replace")
+        out = [text[i : i + n].encode() for n in (2, 4) for i in range(max(1, len(text) - n + 1))]
+        return out + [w for piece in _WIDE.split(word) for w in _cut(piece, False)]
+    out = []
+    for piece in _MARKS.split(word):
+        if len(piece) <= LONGEST:
+            out.append(piece)
+        else:
+            out += [piece[i : i + 16] for i in range(0, len(piece) - 8, 8)]
+    return [w for w in out if len(w) > 3]
+
+
+def windows(body: bytes) -> list[bytes]:
+    """Words without the marks at their edges; short ones with the next word (the last with the one before), long ones cut."""
+    words = [w for w in (w.strip(EDGES) for w in body.lower().split()) if w]
+    blankless = not body.isascii() and _BLANKLESS.search(body) is not None
+    out = []
+    for i, word in enumerate(words):
+        if blankless and _BLANKLESS.search(word):
+            out += _cut(word, True)
+        elif len(word) > LONGEST:
+            out += _cut(word, False)
+        elif len(word) > 3:
+            out.append(word)
+        elif i + 1 < len(words):
+            out.append(word + b" " + words[i + 1][:60])
+        else:
+            out.append(words[i - 1][-60:] + b" " + word if i else word)
+    return out
+
+
 _GAINS: dict[tuple[bytes, bytes], _Gain] = {}
 
 
@@ -93,9 +132,9 @@ def _features(bodies: list[bytes], toxic: bytes, ordinary: bytes) -> np.ndarray:
     gain = _GAINS[key]
     out = np.zeros((len(bodies), 3))
     for i, body in enumerate(bodies):
-        words = body.lower().split()
+        words = windows(body)
         if words:
-            gains = np.fromiter((gain[w.strip(EDGES)] for w in words), float, len(words))
+            gains = np.fromiter((gain[w] for w in words), float, len(words))
             top = np.sort(gains)[-3:] if len(gains) < 4 else np.partition(gains, -3)[-3:]
             out[i] = max(0.0, top.max()), max(0.0, top.mean()), math.log1p((gains >= MARK).sum())
     return np.round(out * 20) / 20
@@ -116,8 +155,7 @@ def _dictionary(counts: DataFrame, order) -> bytes:
 def _distinct_words(bodies: list[bytes]) -> tuple[list[int], list[bytes]]:
     at, words = [], []
     for i, body in enumerate(bodies):
-        own = {w.strip(EDGES) for w in body.lower().split()}
-        own = [w for w in own if 3 < len(w) <= 64]
+        own = set(windows(body))
         at += [i] * len(own)
         words += own
     return at, words

@@ -60,6 +60,29 @@ def test_features_of_texts_without_long_words():
     assert ToxicityModel(b"", b"", (0.0, 0.0, 0.0, 0.0)).weights[0] == 0
 
 
+@pytest.mark.parametrize("kind", ["han", "glued", "short"])
+def test_texts_without_words_of_usual_length(spark, kind):
+    rng = random.Random(6)
+    plain, nasty, glue = {
+        "han": (["花园", "早晨", "河流", "大桥", "冬天", "黄色", "窗户", "信件"], ["混蛋", "白痴"], ""),
+        "glued": (["harbour", "window", "garden", "letter", "morning"], ["blockhead", "imbecile"], "_"),
+        "short": (["a", "of", "in", "to", "we", "go", "it"], ["fk u", "kys"], " "),
+    }[kind]
+    docs, labels = [], []
+    for i in range(300):
+        words = [rng.choice(plain) for _ in range(60)]
+        if i % 4 == 0:
+            for _ in range(6):
+                words[rng.randrange(60)] = rng.choice(nasty)
+        docs.append((i, glue.join(words)))
+        labels.append((i, int(i % 4 == 0)))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = fit_toxicity(docs, labels)
+    scored = score_toxicity(docs, model).join(labels, "doc_id").collect()
+    assert sum(r.predicted == r.toxic for r in scored) > 0.9 * len(scored)
+
+
 def test_the_whole_of_a_full_dictionary_is_searched():
     import zlib
 
