@@ -155,8 +155,11 @@ def _small(benchmark: DataFrame) -> _Benchmark | None:
 _SCHEMA = "doc_id long, item_id long, coverage double, covered_words long, item_words long, tiles long"
 
 
-def _by_join(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The same for a benchmark of any size: seeds are joined, then candidates get both texts."""
+def _by_join(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The same for a benchmark of any size: seeds are joined, then candidates get both texts.
+
+    Texts go by their digests, so ids may be null or repeated.
+    """
 
     def seeds(columns):
         owners, keys = [], []
@@ -166,12 +169,13 @@ def _by_join(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             keys += own.view(np.int64).tolist()
         return [owners, keys]
 
-    rows, items = as_bytes(docs), as_bytes(benchmark, "item_id")
-    left = by_batch(rows, seeds, "doc_id long, seed long", ["doc_id", "body"])
-    right = by_batch(items, seeds, "item_id long, seed long", ["doc_id", "body"])
-    pairs = left.join(right, "seed").select("doc_id", "item_id").distinct()
-    items = items.select(F.col("doc_id").alias("item_id"), F.col("body").alias("item"))
-    both = pairs.join(rows, "doc_id").join(items, "item_id")
+    rows = as_bytes(docs).withColumn("of_doc", F.sha2("body", 256))
+    items = as_bytes(benchmark, "item_id").distinct().withColumn("of_item", F.sha2("body", 256))
+    left = by_batch(rows, seeds, "of_doc string, seed long", ["of_doc", "body"])
+    right = by_batch(items, seeds, "of_item string, seed long", ["of_item", "body"])
+    pairs = left.join(right, "seed").select("of_doc", "of_item").distinct()
+    items = items.select("of_item", F.col("doc_id").alias("item_id"), F.col("body").alias("item"))
+    both = pairs.join(rows, "of_doc").join(items, "of_item")
 
     def check(columns):
         out = [[], [], [], [], [], []]
@@ -183,7 +187,8 @@ def _by_join(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     column.append(value)
         return out
 
-    return by_batch(both, check, _SCHEMA, ["doc_id", "item_id", "body", "item"])
+    schema = _SCHEMA if key == "doc_id" else _SCHEMA.replace("doc_id long", f"{key} string")
+    return by_batch(both, check, schema, [key, "item_id", "body", "item"])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -212,7 +217,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text") ->
     """The rows of ``docs`` that contain no benchmark item, with all their columns."""
     known = _small(benchmark)
     if known is None:
-        return docs.join(_by_join(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti")
+        digest = F.sha2(F.coalesce(F.encode(F.col(text), "UTF-8"), F.lit(b"")), 256)
+        bare = docs.select(F.lit(0).alias("doc_id"), F.col(text).alias("text"))
+        found = _by_join(bare, benchmark, "of_doc").select("of_doc").distinct()
+        return docs.join(found, digest == found["of_doc"], "left_anti")
     at = docs.columns.index(text)
 
     def keep(batches):

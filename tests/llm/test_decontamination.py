@@ -99,3 +99,19 @@ def test_empty_tables(spark):
     assert D.contaminated(docs.limit(0), bench).count() == 0
     assert D.contaminated(docs, bench.limit(0)).count() == 0
     assert D.decontaminate(docs, bench.limit(0)).count() == 1
+
+
+def test_both_paths_return_the_same_rows(spark, monkeypatch):
+    import basketmart.llm.decontamination as D
+
+    item = "the quick brown fox jumps over the lazy dog today"
+    rows = [(None, f"see {item} again"), (1, f"see {item} again"), (1, "a clean text of some other words"), (2, None), (None, "clean")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item), (7, item), (8, item)], "item_id long, text string")
+    got = []
+    for limit in (D.TABLE_BYTES, -1):
+        monkeypatch.setattr(D, "TABLE_BYTES", limit)
+        kept = D.decontaminate(docs, bench)
+        assert kept.columns == docs.columns
+        got.append([sorted(map(tuple, f.collect()), key=str) for f in (D.contaminated(docs, bench), kept)])
+    assert got[0] == got[1] and len(got[0][0]) == 4 and len(got[0][1]) == 3
