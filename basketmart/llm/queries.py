@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from basketmart.llm.alignment import op11_galloping_alignment
 from basketmart.llm.decontamination import op10_string_tiling
 from basketmart.llm.edit_counts import op7_edit_aware_counts
 from basketmart.llm.licenses import op1_license_sentences, oracle
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_deobfuscated_pii": op8_deobfuscated_pii,
     "op9_bounded_packing": op9_bounded_packing,
     "op10_string_tiling": op10_string_tiling,
+    "op11_galloping_alignment": op11_galloping_alignment,
 }
 
 ORACLES: dict[str, str] = {"op1_license_sentences": oracle()}
