@@ -10,6 +10,8 @@ from basketmart.llm.minhash import op6_circulant_minhash
 from basketmart.llm.packing import op9_bounded_packing
 from basketmart.llm.pii import op8_deobfuscated_pii
 from basketmart.llm.quality import op3_divergence_rules
+from basketmart.llm.simhash import op12_simhash_blocks
+from basketmart.llm.spelling import op13_prefix_suffix_tiles, spelling_oracle
 from basketmart.llm.suffix_tree import op5_suffix_tree
 from basketmart.llm.toxicity import op2_toxicity
 from basketmart.llm.url_rules import op4_association_rules
@@ -26,6 +28,8 @@ QUERIES = {
     "op9_bounded_packing": op9_bounded_packing,
     "op10_string_tiling": op10_string_tiling,
     "op11_galloping_alignment": op11_galloping_alignment,
+    "op12_simhash_blocks": op12_simhash_blocks,
+    "op13_prefix_suffix_tiles": op13_prefix_suffix_tiles,
 }
 
-ORACLES: dict[str, str] = {"op1_license_sentences": oracle()}
+ORACLES: dict[str, str] = {"op1_license_sentences": oracle(), "op13_prefix_suffix_tiles": spelling_oracle()}
