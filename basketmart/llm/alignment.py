@@ -6,9 +6,10 @@ and whether it is a common end. Common ends cut both lists into groups; the rank
 range of the other side's tokens it overlaps. All texts of a slice are one pair of lists: their totals agree, so the end of
 a text is a common end, too.
 
-Token ids are remembered by segment. A segment ends before a blank that stands between two characters other than white
-space: neither tokenizer joins across it (A's pre-tokens keep a blank with the word behind it; B has no piece with U+2581
-behind another character, which is checked when the file is loaded).
+Token ids are remembered by segment. Segments begin before a blank or line break that stands between two characters other
+than white space, and between a letter and a full stop or comma. Neither tokenizer joins across such places: A's pre-tokens
+end there, and no entry of either vocabulary has one within, which is checked when the files are loaded. So new segments
+are encoded in one row and cut apart again.
 
 How often two ids are linked is counted over all documents. The pairs that hold more than a ``HOT``-th of all links, fewer
 than ``HOT``, are looked up in a broadcast, all others by a join.
@@ -30,12 +31,14 @@ from basketmart.llm.text import read_table, sliced
 from basketmart.session import stored
 
 FILE_A, FILE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-REMEMBERED = 100_000  # segments of a generation; two are kept
+REMEMBERED = 200_000  # segments of a generation; two are kept
 LONGEST = 64  # characters of a segment that is remembered; longer ones are encoded each time
 BYTES = 4_000_000  # bytes of text aligned at once, or one text
 HOT = 65_536
 
-_BREAK = re.compile(r"(?<=\S) (?=\S)")
+_BREAK = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[.,])")
+_BEFORE = " a"  # what stands before a segment that does not start with a blank, while it is encoded
+ROW = 2_000  # segments encoded in one row
 _KNOWN: dict[tuple[str, str], "Pair"] = {}
 
 
@@ -61,12 +64,12 @@ class Pair:
         entries = [self.a.id_to_token(i) or "" for i in range(self.a.get_vocab_size())]
         self.bytes_a = [bytes(plain[c] for c in e) if set(e) <= plain.keys() else e.encode() for e in entries]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        if any("▁" in p.lstrip("▁") for p in pieces):
-            raise ValueError(f"{b} has pieces that reach over the start of a word")
         self.bytes_b = [
             bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
             for i, p in enumerate(pieces)
         ]
+        if any(_BREAK.search(t.decode("utf-8", "replace")) for t in self.bytes_a + self.bytes_b):
+            raise ValueError("a vocabulary joins across the start of a word, a line break or the end of a word")
         if len(entries) * len(pieces) >= 1 << 31:
             raise ValueError("pairs of ids do not fit 31 bits")
         self.length_a = np.array([len(t) for t in self.bytes_a], np.int64)
@@ -76,38 +79,58 @@ class Pair:
         self.old: dict[str, tuple[bytes, bytes]] = {}
 
     def _encoded(self, segments: list[str]) -> list[tuple[bytes, bytes]]:
-        a = self.a.encode_batch([" " + s for s in segments], add_special_tokens=False)
-        b = self.b.encode(segments, num_threads=1)
-        out = []
-        for s, x, y in zip(segments, a, b):
-            whole = (" " + s).encode()
-            x = x.ids
-            if b"".join([self.bytes_a[i] for i in x]) == whole and b"".join([self.bytes_b[i] for i in y]) == whole:
-                out.append((np.array(x, "<i4").tobytes(), np.array(y, "<i4").tobytes()))
-            else:
-                out.append((b"", b""))  # a segment has tokens otherwise
-        return out
+        """Ids of each segment, in one row. Only a row of one segment may end with white space."""
+        starts, stops, row, size = [], [], [], 0
+        for s in segments:
+            if s[0] != " ":
+                row.append(_BEFORE)
+                size += len(_BEFORE)
+            row.append(s)
+            starts.append(size)
+            size += len(s.encode())
+            stops.append(size)
+        row = "".join(row)
+        sides = []
+        for ids, tokens, length in (
+            (self.a.encode(row, add_special_tokens=False).ids, self.bytes_a, self.length_a),
+            (self.b.encode(row[1:], num_threads=1), self.bytes_b, self.length_b),  # B adds the first blank
+        ):
+            if b"".join([tokens[i] for i in ids]) != row.encode():  # such a segment has no tokens
+                return [(b"", b"")] if len(segments) == 1 else [self._encoded([s])[0] for s in segments]
+            ids = np.array(ids, "<i4")
+            places = 4 * np.searchsorted(np.cumsum(length[ids]), [starts, stops], "right")
+            own = ids.tobytes()
+            sides.append([own[i:j] for i, j in zip(*places.tolist())])
+        return list(zip(*sides))
 
     def _learn(self, segments: set[str]) -> dict[str, tuple[bytes, bytes]]:
         """Make ``ids`` hold the short ones of these segments; the long ones are returned."""
         if len(self.ids) > REMEMBERED:
             self.old, self.ids = self.ids, {}
-        new, long = [], []
+        ids, old = self.ids, self.old
+        new, alone, long = [], [], {}
         for s in segments:
-            if s in self.old:
-                self.ids[s] = self.old[s]
-            elif s not in self.ids:
-                (new if len(s) <= LONGEST else long).append(s)
-        for at in range(0, len(new), 1000):
-            part = new[at : at + 1000]
-            self.ids.update(zip(part, self._encoded(part)))
-        return {s: self._encoded([s])[0] for s in long}
+            if s in ids:
+                continue
+            if s in old:
+                ids[s] = old[s]
+            elif len(s) > LONGEST:
+                long[s] = self._encoded([s])[0]
+            else:
+                # a blank at either end, beside the one that starts the segment, could join with its neighbour's
+                (alone if s[-1].isspace() or s[1:2].isspace() else new).append(s)
+        for at in range(0, len(new), ROW):
+            part = new[at : at + ROW]
+            ids.update(zip(part, self._encoded(part)))
+        for s in alone:
+            ids[s] = self._encoded([s])[0]
+        return long
 
     def encode(self, text: str) -> tuple[bytes, bytes]:
         """Ids of both sides as little-endian 32-bit numbers; both empty where the text has no tokens by the contract."""
         if not text:
             return b"", b""
-        segments = _BREAK.split(text)
+        segments = _BREAK.split(" " + text)
         known = self.ids
         try:
             found = [known[s] for s in segments]
