@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketmart.llm.text import read_table, sliced
+from basketmart.llm.text import byte_chars, read_table, sliced
 from basketmart.session import stored
 
 FILE_A, FILE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -42,13 +42,6 @@ ROW = 2_000  # segments encoded in one row
 _KNOWN: dict[tuple[str, str], "Pair"] = {}
 
 
-def _plain_bytes() -> dict[str, int]:
-    """Byte-level vocabularies write printable bytes as themselves, the others as the characters from U+0100 on."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in set(shown)]
-    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
-
-
 class Pair:
     """Both tokenizers, the bytes of their tokens, and the ids of remembered segments."""
 
@@ -60,7 +53,7 @@ class Pair:
         self.a = Tokenizer.from_file(a)
         self.a.encode_special_tokens = True
         self.b = SentencePieceProcessor(model_file=b)
-        plain = _plain_bytes()
+        plain = {c: b for b, c in byte_chars().items()}
         entries = [self.a.id_to_token(i) or "" for i in range(self.a.get_vocab_size())]
         self.bytes_a = [bytes(plain[c] for c in e) if set(e) <= plain.keys() else e.encode() for e in entries]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]

@@ -59,6 +59,13 @@ def held_out(modulus: int, remainder: int = 2, key: str = "doc_id"):
     return F.crc32(F.col(key).cast("string").cast("binary")) % modulus == remainder
 
 
+def byte_chars() -> dict[int, str]:
+    """How byte-level vocabularies write bytes: printable ones as themselves, the others as the characters from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)
 _HASH = xxhash.xxh3_64_intdigest
 

@@ -1,17 +1,25 @@
 """Token ids of whole texts by a word-level BPE file, with the ids of each word remembered.
 
 The tokenizer drops white space and never joins across it, so a text's ids are those of its words in order. Unknown words
-of a batch are encoded together. Words are looked up in ASCII lower case, as the tokenizer lowers them itself; texts that
-may hold a special token's spelling are left as they are.
+of a group of texts are found at once; those of letters only, which the tokenizer takes as they are, go to its merges
+directly, the others are encoded together. Words are looked up in ASCII lower case, as the tokenizer lowers them itself;
+texts that may hold a special token's spelling are left as they are.
 """
 
 from __future__ import annotations
 
+from struct import pack
+from unicodedata import is_normalized
+
 import numpy as np
 
+from basketmart.llm.text import byte_chars
+
 FILE = "word_bpe_49k.json"
 REMEMBERED = 250_000  # words of a generation; two are kept
+GROUP_BYTES = 2_000_000  # of texts whose words are looked up together; a longer text is a group of its own
 _TAIL = b".,;:!?"
+_BYTE = str.maketrans({chr(b): c for b, c in byte_chars().items()})
 _KNOWN: dict[str, "WordIds"] = {}
 
 
@@ -26,14 +34,13 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.ids: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
     def learn(self, words: set[bytes]) -> None:
         """Make ``ids`` hold these words. The tokenizer never joins a letter with the punctuation after it, so a word's
         ids are those of what precedes its last punctuation, then those of that."""
-        if len(self.ids) > REMEMBERED:
-            self.old, self.ids = self.ids, {}
         ids, old = self.ids, self.old
         parted, new = [], set()
         for w in words:
@@ -53,12 +60,27 @@ class WordIds:
                         new.add(part)
             else:
                 new.add(w)
-        new = list(new)
+        new = [w for w in new if not self._merged(w)]
         for at in range(0, len(new), 20_000):
             self._encode_words(new[at : at + 20_000])
         for w, core, tail in parted:
             ids[w] = ids[core] + ids[tail]
 
+    def _merged(self, word: bytes) -> bool:
+        """Encode a word of nothing but lower-case letters in their usual form; otherwise say no."""
+        if word.isalpha():
+            plain = word.lower().decode()
+        elif word.isascii():
+            return False
+        else:
+            text = word.decode("utf-8", "replace")
+            if not text.isalpha() or text != text.lower() or not is_normalized("NFC", text):
+                return False
+            plain = word.decode("latin-1").translate(_BYTE)
+        made = self.model.tokenize(plain)
+        self.ids[word] = pack(f"<{len(made)}I", *[t.id for t in made])
+        return True
+
     def _encode_words(self, part: list[bytes]) -> None:
         encoded = self.tokenizer.encode(
             [w.decode("utf-8", "replace") for w in part], is_pretokenized=True, add_special_tokens=False
@@ -78,16 +100,22 @@ class WordIds:
 
     def encode(self, bodies: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        out = []
+        out, group, size = [], [], 0
         for body in bodies:
-            words = body.split() if b"<|" in body else body.lower().split()
-            known = self.ids
-            try:
-                out.append(b"".join([known[w] for w in words]))
-            except KeyError:
-                self.learn(set(words))
-                out.append(b"".join([self.ids[w] for w in words]))
-        return out
+            if group and size + len(body) > GROUP_BYTES:
+                out += self._look_up(group)
+                group, size = [], 0
+            group.append(body)
+            size += len(body)
+        return out + self._look_up(group)
+
+    def _look_up(self, bodies: list[bytes]) -> list[bytes]:
+        texts = [body.split() if b"<|" in body else body.lower().split() for body in bodies]
+        if len(self.ids) > REMEMBERED:
+            self.old, self.ids = self.ids, {}
+        self.learn(set().union(*texts).difference(self.ids))
+        ids = self.ids
+        return [b"".join([ids[w] for w in words]) for words in texts]
 
 
 def word_ids(path: str | None = None) -> WordIds:

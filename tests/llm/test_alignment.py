@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 
 from basketmart.llm import alignment
 from basketmart.llm.alignment import align, aligned_with_counts, gallop, op11_galloping_alignment
+from basketmart.llm.text import byte_chars
 SMALL = "/root/testdata/sf0.001"
 
 SCHEMA = "doc_id long, text string"
@@ -21,7 +22,7 @@ def _tokens(texts):
     a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     a.encode_special_tokens = True
     b = SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
-    plain = alignment._plain_bytes()
+    plain = {c: b for b, c in byte_chars().items()}
     for text in texts:
         whole = (" " + (text or "")).encode()
         ids_a = a.encode(" " + (text or ""), add_special_tokens=False).ids

@@ -77,3 +77,10 @@ def test_merge_moves_whole_windows():
     )
     got = _merge(rows, 100)
     assert got[["sequence_id", "offset"]].values.tolist() == [[10, 0], [10, 30], [10, 50], [12, 0]]
+
+
+def test_words_of_letters_go_to_the_merges_as_the_tokenizer_would():
+    encoder = word_ids()
+    texts = ["Plain WORDS, ünïcode ÀÉÎ é é İstanbul ǅ ﬁne ªº 日本 ² x² don't ß ŉ ſ end.", "<|endoftext|> Kept As It Is", "", "a" * 5000]
+    for text, ids in zip(texts * 2, encoder.encode([t.encode() for t in texts]) * 2):
+        assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
