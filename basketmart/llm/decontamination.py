@@ -1,7 +1,8 @@
 """Benchmark decontamination by greedy string tiling.
 
-A document and a benchmark item become a candidate where they share a seed, a run of five words. For a candidate the
-longest common run of unmarked words is found (binary search on the length, runs compared by Karp-Rabin hashes and then
+Seeds are runs as long as the smallest tile, three words (or a whole item of one or two words). A document and a benchmark
+item become a candidate where the item's words in shared seeds reach the coverage: tiles consist of shared seeds, so no item
+that tiles would cover is left out. For a candidate the longest common run of unmarked words is found (binary search on the length, runs compared by Karp-Rabin hashes and then
 word by word), all its non-overlapping places are marked as tiles, and so on down to the smallest tile. Coverage is the
 share of the item's words that lie in tiles, so the order of the tiles in the document doesn't matter.
 """
@@ -9,7 +10,9 @@ share of the item's words that lie in tiles, so the order of the tiles in the do
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,11 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketmart.llm.text import as_bytes, by_batch, read_table, sliced
+from basketmart.session import stored
 
-SEED = 5  # words of a seed
-TILE = 3  # words of the smallest tile
+TILE = 3  # words of the smallest tile, and of a seed
 COVERAGE = 0.8
-TABLE_BYTES = 16 << 20  # benchmarks up to this size are looked up within the tasks, larger ones by a join
+BLOCK_BYTES = 16 << 20  # of a benchmark that tasks hold at once; a larger one is looked up in so many blocks
 
 _WORD = re.compile(r"\w+")
 _BASE = 0x9E3779B97F4A7C15
@@ -59,16 +62,31 @@ def _free(marked: np.ndarray, length: int) -> np.ndarray:
     return seen[length:] == seen[:-length]
 
 
-def _matches(item, doc, item_marked, doc_marked, length) -> list[tuple[int, int]]:
-    """Places (in item, in document) of equal unmarked runs, by the item's place, then the document's."""
+def _placed(item, doc, item_marked, doc_marked, length) -> Iterator[int]:
+    """Mark equal unmarked runs, by the item's place, then the document's; one number for each.
+
+    A place of the document that has been marked stays so, so each hash needs to look at each place once; memory is that of
+    the two texts.
+    """
     a, b = runs(item, length), runs(doc, length)
     a_at, b_at = np.flatnonzero(_free(item_marked, length)), np.flatnonzero(_free(doc_marked, length))
-    order = np.argsort(b[b_at], kind="stable")
-    b_at = b_at[order]
+    b_at = b_at[np.isin(b[b_at], a[a_at])]
+    b_at = b_at[np.argsort(b[b_at], kind="stable")]
     keys = b[b_at]
     low, high = np.searchsorted(keys, a[a_at], "left"), np.searchsorted(keys, a[a_at], "right")
-    most = 2 * len(item) + 1  # so many equal places can't all be covered by the tiles of this round
-    return [(int(i), int(b_at[k])) for i, lo, hi in zip(a_at, low, high) for k in range(lo, min(hi, lo + most))]
+    passed: dict[int, int] = {}
+    for i, start, stop in zip(a_at.tolist(), low.tolist(), high.tolist()):
+        if start == stop or item_marked[i : i + length].any():
+            continue
+        k = passed.get(start, start)
+        while k < stop and doc_marked[b_at[k] : b_at[k] + length].any():
+            k += 1
+        passed[start] = k
+        for j in b_at[k:stop]:
+            if not doc_marked[j : j + length].any() and (item[i : i + length] == doc[j : j + length]).all():
+                item_marked[i : i + length] = doc_marked[j : j + length] = True
+                yield length
+                break
 
 
 def tile(item: np.ndarray, doc: np.ndarray, smallest: int = TILE) -> tuple[int, int]:
@@ -99,136 +117,115 @@ def tile(item: np.ndarray, doc: np.ndarray, smallest: int = TILE) -> tuple[int,
             low, high = (middle, high) if np.isin(a, b).any() else (low, middle - 1)
         if low < smallest:
             return covered, tiles
-        placed = 0
-        for i, j in _matches(item, doc, item_marked, doc_marked, low):
-            if item_marked[i : i + low].any() or doc_marked[j : j + low].any():
-                continue
-            if (item[i : i + low] == doc[j : j + low]).all():
-                item_marked[i : i + low] = doc_marked[j : j + low] = True
-                covered, tiles, placed = covered + low, tiles + 1, placed + 1
+        placed = sum(1 for _ in _placed(item, doc, item_marked, doc_marked, low))
+        covered, tiles = covered + placed * low, tiles + placed
         longest = low if placed else low - 1
 
 
 @dataclass
 class _Benchmark:
-    """Items and an index of their seeds, held by a task."""
+    """Items and an index of their seeds, held by a task. The words of all items are numbered in a row."""
 
     ids: list[int]
     codes: list[np.ndarray]
 
     def __post_init__(self):
-        seeds = [np.unique(runs(c, SEED)) for c in self.codes]
-        keys = np.concatenate([*seeds, np.empty(0, np.uint64)])
-        owner = np.repeat(np.arange(len(seeds)), [len(s) for s in seeds])
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.owner = keys[order], owner[order]
+        sizes = np.array([len(c) for c in self.codes], np.int64)
+        self.first = np.cumsum(sizes) - sizes
+        self.needed = COVERAGE * sizes
+        self.seeds = {}
+        for length in range(1, TILE + 1):
+            own = [i for i, n in enumerate(sizes) if n and min(n, TILE) == length]
+            if own:
+                keys = [runs(self.codes[i], length) for i in own]
+                place = np.concatenate([np.arange(len(k)) + self.first[i] for i, k in zip(own, keys)])
+                keys = np.concatenate(keys)
+                order = np.argsort(keys, kind="stable")
+                self.seeds[length] = keys[order], place[order]
+
+    def _candidates(self, doc: np.ndarray) -> np.ndarray:
+        """Items whose words in seeds that the text holds, too, reach the coverage."""
+        words = []
+        for length, (keys, place) in self.seeds.items():
+            found = np.unique(runs(doc, length))
+            at = np.searchsorted(keys, found)
+            at[at == len(keys)] = 0
+            found = found[keys[at] == found]
+            low, high = np.searchsorted(keys, found, "left"), np.searchsorted(keys, found, "right")
+            held = place[np.arange((high - low).sum()) + np.repeat(low - np.cumsum(high - low) + (high - low), high - low)]
+            words += [held + k for k in range(length)]
+        if not words:
+            return np.empty(0, np.int64)
+        item = np.searchsorted(self.first, np.unique(np.concatenate(words)), "right") - 1
+        item, covered = np.unique(item, return_counts=True)
+        return item[covered >= self.needed[item]]
 
     def hits(self, body: bytes) -> list[tuple[int, int, int, int]]:
         """(item, covered, words, tiles) of each item that the text contains."""
         doc = word_codes(body)
-        found = runs(doc, SEED)
-        if not len(found) or not len(self.keys):
-            return []
-        at = np.searchsorted(self.keys, found)
-        at[at == len(self.keys)] = 0
-        seeds = np.unique(found[self.keys[at] == found])
-        low, high = np.searchsorted(self.keys, seeds, "left"), np.searchsorted(self.keys, seeds, "right")
-        items = {int(i) for lo, hi in zip(low, high) for i in self.owner[lo:hi]}
         out = []
-        for i in sorted(items):
-            covered, tiles = tile(self.codes[i], doc)
-            if covered >= COVERAGE * len(self.codes[i]):
-                out.append((self.ids[i], covered, len(self.codes[i]), tiles))
+        for i in self._candidates(doc):
+            item = self.codes[i]
+            covered, tiles = tile(item, doc, min(TILE, len(item)))
+            if covered >= COVERAGE * len(item):
+                out.append((self.ids[i], covered, len(item), tiles))
         return out
 
 
-def _small(benchmark: DataFrame) -> _Benchmark | None:
-    """The items, if they are within ``TABLE_BYTES``; otherwise none."""
+def _blocks(benchmark: DataFrame) -> Iterator[_Benchmark]:
+    """The distinct items in blocks of about BLOCK_BYTES, dealt by a hash; only one is with the driver at a time."""
     items = as_bytes(benchmark, "item_id").distinct()
     size = items.agg(F.sum(F.length("body") + 64)).first()[0] or 0
-    if size > TABLE_BYTES:
-        return None
-    rows = items.orderBy("doc_id", "body").collect()
-    return _Benchmark([r.doc_id for r in rows], [word_codes(bytes(r.body)) for r in rows])
+    blocks = max(1, -(-size // BLOCK_BYTES))
+    items = stored(items.withColumn("block", F.pmod(F.xxhash64("body"), F.lit(blocks)))) if blocks > 1 else items
+    for block in range(blocks):
+        rows = items if blocks == 1 else items.filter(F.col("block") == block)
+        rows = rows.select("doc_id", "body").orderBy("doc_id", "body").collect()
+        yield _Benchmark([r.doc_id for r in rows], [word_codes(bytes(r.body)) for r in rows])
 
 
 _SCHEMA = "doc_id long, item_id long, coverage double, covered_words long, item_words long, tiles long"
 
 
-def _by_join(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The same for a benchmark of any size: seeds are joined, then candidates get both texts.
-
-    Texts go by their digests, so ids may be null or repeated.
-    """
-
-    def seeds(columns):
-        owners, keys = [], []
-        for owner, body in zip(*columns):
-            own = np.unique(runs(word_codes(body), SEED))
-            owners += [owner] * len(own)
-            keys += own.view(np.int64).tolist()
-        return [owners, keys]
-
-    rows = as_bytes(docs).withColumn("of_doc", F.sha2("body", 256))
-    items = as_bytes(benchmark, "item_id").distinct().withColumn("of_item", F.sha2("body", 256))
-    left = by_batch(rows, seeds, "of_doc string, seed long", ["of_doc", "body"])
-    right = by_batch(items, seeds, "of_item string, seed long", ["of_item", "body"])
-    pairs = left.join(right, "seed").select("of_doc", "of_item").distinct()
-    items = items.select("of_item", F.col("doc_id").alias("item_id"), F.col("body").alias("item"))
-    both = pairs.join(rows, "of_doc").join(items, "of_item")
-
-    def check(columns):
+def _contaminated_by(docs: DataFrame, known: _Benchmark) -> DataFrame:
+    def work(columns):
         out = [[], [], [], [], [], []]
-        for doc_id, item_id, body, item in zip(*columns):
-            codes = word_codes(item)
-            covered, tiles = tile(codes, word_codes(body))
-            if covered >= COVERAGE * len(codes):
-                for column, value in zip(out, (doc_id, item_id, covered / len(codes), covered, len(codes), tiles)):
+        for doc_id, body in zip(*columns):
+            for item, covered, words, tiles in known.hits(body):
+                for column, value in zip(out, (doc_id, item, covered / words, covered, words, tiles)):
                     column.append(value)
         return out
 
-    schema = _SCHEMA if key == "doc_id" else _SCHEMA.replace("doc_id long", f"{key} string")
-    return by_batch(both, check, schema, [key, "item_id", "body", "item"])
+    return by_batch(as_bytes(docs), work, _SCHEMA, ["doc_id", "body"])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each document and benchmark item whose words are covered by tiles to ``COVERAGE`` or more.
 
-    Words are runs of letters, digits and underscores in lower case. Items of fewer than five words have no seed and are
-    never found; null and empty texts contain nothing. Repeated document rows give repeated results; of ties between
-    equally long matches the first in the item, then in the document, is marked. Either table may be empty.
+    Words are runs of letters, digits and underscores in lower case; an item of one or two words is found where they stand
+    together. Items without words are never found; null and empty texts contain nothing. Repeated document rows give
+    repeated results, repeated item rows count once; of ties between equally long matches the first in the item, then in
+    the document, is marked. Either table may be empty. A large benchmark reads the documents once for each block.
     """
-    known = _small(benchmark)
-    if known is None:
-        return _by_join(docs, benchmark)
-
-    def work(columns):
-        out = [[], [], [], [], [], []]
-        for doc_id, body in zip(*columns):
-            for item, covered, words, tiles in known.hits(body):
-                for column, value in zip(out, (doc_id, item, covered / words, covered, words, tiles)):
-                    column.append(value)
-        return out
-
-    return by_batch(as_bytes(docs), work, _SCHEMA, ["doc_id", "body"])
+    return reduce(DataFrame.unionByName, [_contaminated_by(docs, known) for known in _blocks(benchmark)])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that contain no benchmark item, with all their columns."""
-    known = _small(benchmark)
-    if known is None:
-        digest = F.sha2(F.coalesce(F.encode(F.col(text), "UTF-8"), F.lit(b"")), 256)
-        bare = docs.select(F.lit(0).alias("doc_id"), F.col(text).alias("text"))
-        found = _by_join(bare, benchmark, "of_doc").select("of_doc").distinct()
-        return docs.join(found, digest == found["of_doc"], "left_anti")
     at = docs.columns.index(text)
 
-    def keep(batches):
-        for batch in sliced(batches):
-            bodies = batch.column(at).to_pylist()
-            yield batch.filter(pa.array([not known.hits((b or "").encode()) for b in bodies], pa.bool_()))
+    def without(known: _Benchmark):
+        def keep(batches):
+            for batch in sliced(batches):
+                bodies = batch.column(at).to_pylist()
+                yield batch.filter(pa.array([not known.hits((b or "").encode()) for b in bodies], pa.bool_()))
+
+        return keep
 
-    return docs.mapInArrow(keep, docs.schema)
+    schema = docs.schema
+    for known in _blocks(benchmark):
+        docs = docs.mapInArrow(without(known), schema)
+    return docs
 
 
 def op10_string_tiling(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import basketmart.llm.decontamination as D
 
@@ -62,18 +63,18 @@ def test_passages_are_found_however_they_are_ordered(spark):
     want = {(0, 0, 1.0), (1, 0, 1.0), (6, 0, 1.0), (7, 0, 1.0)}
     got = D.contaminated(docs, bench)
     assert {(r.doc_id, r.item_id, r.coverage) for r in got.collect()} == want
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, D._by_join(docs, bench).collect()))
     kept = D.decontaminate(docs, bench)
     assert kept.columns == docs.columns
     assert [r.doc_id for r in kept.orderBy("doc_id").collect()] == [2, 3, 4, 5]
 
 
-def test_large_benchmarks_take_the_join(spark, monkeypatch):
+def test_large_benchmarks_go_in_blocks(spark, monkeypatch):
     folder = "/root/testdata/sf0.001"
     docs, bench = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/benchmark.parquet")
     small = sorted(map(tuple, D.contaminated(docs, bench).collect()))
     kept = sorted(r.doc_id for r in D.decontaminate(docs, bench).collect())
-    monkeypatch.setattr(D, "TABLE_BYTES", 0)
+    monkeypatch.setattr(D, "BLOCK_BYTES", 4_000)
+    assert len(list(D._blocks(bench))) > 2
     assert small and sorted(map(tuple, D.contaminated(docs, bench).collect())) == small
     assert sorted(r.doc_id for r in D.decontaminate(docs, bench).collect()) == kept
 
@@ -84,12 +85,10 @@ def test_query_agrees_with_brute_force(spark):
     want = set()
     for r in spark.read.parquet(f"{folder}/documents.parquet").collect():
         doc = D.word_codes((r.text or "").encode())
-        runs = {tuple(doc[k : k + 5]) for k in range(len(doc) - 4)}
         for item, words in bench.items():
-            if any(tuple(words[k : k + 5]) in runs for k in range(len(words) - 4)):
-                covered, _ = D.tile(words, doc)
-                if covered >= D.COVERAGE * len(words):
-                    want.add((r.doc_id, item, covered))
+            covered, _ = D.tile(words, doc, min(D.TILE, len(words)))
+            if len(words) and covered >= D.COVERAGE * len(words):
+                want.add((r.doc_id, item, covered))
     got = {(r.doc_id, r.item_id, r.covered_words) for r in D.op10_string_tiling(spark, folder).collect()}
     assert got == want and got
 
@@ -101,17 +100,43 @@ def test_empty_tables(spark):
     assert D.decontaminate(docs, bench.limit(0)).count() == 1
 
 
-def test_both_paths_return_the_same_rows(spark, monkeypatch):
-    import basketmart.llm.decontamination as D
-
+def test_rows_without_ids_in_one_block_and_in_several(spark, monkeypatch):
     item = "the quick brown fox jumps over the lazy dog today"
     rows = [(None, f"see {item} again"), (1, f"see {item} again"), (1, "a clean text of some other words"), (2, None), (None, "clean")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     bench = spark.createDataFrame([(7, item), (7, item), (8, item)], "item_id long, text string")
     got = []
-    for limit in (D.TABLE_BYTES, -1):
-        monkeypatch.setattr(D, "TABLE_BYTES", limit)
+    for limit in (D.BLOCK_BYTES, 50):
+        monkeypatch.setattr(D, "BLOCK_BYTES", limit)
         kept = D.decontaminate(docs, bench)
         assert kept.columns == docs.columns
         got.append([sorted(map(tuple, f.collect()), key=str) for f in (D.contaminated(docs, bench), kept)])
     assert got[0] == got[1] and len(got[0][0]) == 4 and len(got[0][1]) == 3
+
+
+def test_reordered_small_pieces_and_short_items_are_found(spark):
+    words = [f"word{k}" for k in range(40)]
+    fours = [words[i : i + 4] for i in range(0, 40, 4)][::-1]
+    threes = [words[i : i + 3] for i in range(0, 39, 3)][::-1]
+    docs = docs_of(
+        spark, " ".join(w for four in fours for w in four), " - ".join(" ".join(t) for t in threes), "Forty two", "forty and two",
+        "a single answer", "one two three four", " ".join(words[::-1]),
+    )
+    bench = items(spark, " ".join(words), "forty two", "answer", "one two three four", " ")
+    got = {(r.doc_id, r.item_id, r.covered_words) for r in D.contaminated(docs, bench).collect()}
+    assert got == {(0, 0, 40), (1, 0, 39), (2, 1, 2), (4, 2, 1), (5, 3, 4)}
+
+
+def test_recurring_phrases_take_little_memory_and_agree(spark):
+    rng = random.Random(5)
+    for _ in range(30):
+        phrase = ["a", "b", "c"]
+        item = [w for _ in range(6) for w in [*phrase, rng.choice("xyz")]]
+        doc = [w for _ in range(15) for w in [*phrase, rng.choice("uvxyz")]]
+        assert D.tile(codes(item), codes(doc), 3) == brute_tile(item, doc, 3)
+    item = codes([w for k in range(1_600 // 4) for w in ["the", "same", "phrase", f"x{k}"]])
+    doc = codes([w for k in range(20_000) for w in ["the", "same", "phrase", f"y{k}"]])
+    tracemalloc.start()
+    assert D.tile(item, doc) == (1_200, 400)
+    assert tracemalloc.get_traced_memory()[1] < 30e6
+    tracemalloc.stop()
