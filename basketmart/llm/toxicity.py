@@ -51,10 +51,11 @@ class ToxicityModel:
 
 
 class _Gain(dict):
-    """Gain of each window, remembered; emptied when full, so memory is bounded."""
+    """Gain of each window, remembered in two generations of at most CACHE, so memory is bounded and frequent windows stay."""
 
     def __init__(self, toxic: bytes, ordinary: bytes):
         super().__init__()
+        self.old: dict[bytes, float] = {}
         shape = zstandard.ZstdCompressionParameters.from_level(
             9,
             window_log=17,
@@ -62,7 +63,7 @@ class _Gain(dict):
             chain_log=18,
             search_log=7,
             min_match=4,
-            strategy=zstandard.STRATEGY_LAZY2,
+            strategy=zstandard.STRATEGY_GREEDY,
             write_content_size=0,
             write_checksum=0,
             write_dict_id=0,
@@ -77,10 +78,13 @@ class _Gain(dict):
         self.toxic, self.ordinary = lengths(toxic), lengths(ordinary)
 
     def __missing__(self, word: bytes) -> float:
+        gain = self.old.get(word)
+        if gain is None:
+            window = BEFORE + word + AFTER
+            gain = (len(self.ordinary(window)) - len(self.toxic(window))) / (len(word) + 2)
         if len(self) >= CACHE:
+            self.old = dict(self)
             self.clear()
-        window = BEFORE + word + AFTER
-        gain = (len(self.ordinary(window)) - len(self.toxic(window))) / (len(word) + 2)
         self[word] = gain
         return gain
 
@@ -258,7 +262,8 @@ def reject_toxic(docs: DataFrame, model: ToxicityModel, text: str = "text") -> D
         for batch in sliced(batches):
             bodies = [(value or "").encode() for value in batch.column(at).to_pylist()]
             logit = _features(bodies, toxic, ordinary) @ weights[1:] + weights[0]
-            yield batch.filter(pa.array(1 / (1 + np.exp(-np.clip(logit, -30, 30))) < 0.3))
+            null = batch.column(at).is_null().to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array((1 / (1 + np.exp(-np.clip(logit, -30, 30))) < 0.3) | null))
 
     return docs.mapInArrow(keep, docs.schema)
 

@@ -103,3 +103,23 @@ def test_held_out_accuracy(spark):
     area = sum((a > b) + (a == b) / 2 for a in toxic for b in clean) / (len(toxic) * len(clean))
     assert area > 0.9
     assert sum(s >= 0.3 for s in toxic) > 0.65 * len(toxic) and sum(s >= 0.3 for s in clean) < 0.05 * len(clean)
+
+
+def test_gains_are_the_same_after_generations_of_windows(monkeypatch):
+    import basketmart.llm.toxicity as T
+
+    words = [b"word%d" % (k % 40) for k in range(400)]
+    plain = _Gain(b"word1 word2 word3", b"other words of no harm")
+    want = [plain[w] for w in words]
+    monkeypatch.setattr(T, "CACHE", 7)
+    small = _Gain(b"word1 word2 word3", b"other words of no harm")
+    assert [small[w] for w in words] == want
+    assert len(small) <= 7 and len(small.old) <= 7
+
+
+def test_null_texts_are_never_rejected(spark):
+    from basketmart.llm.toxicity import ToxicityModel, reject_toxic
+
+    docs = spark.createDataFrame([(1, None), (2, ""), (3, "words")], "doc_id long, text string")
+    kept = reject_toxic(docs, ToxicityModel(b"", b"", (9.0, 0.0, 0.0, 0.0))).collect()
+    assert [r.doc_id for r in kept] == [1]
