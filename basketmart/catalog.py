@@ -26,6 +26,7 @@ from basketmart.plans import model as L
 from basketmart.plans import features as X
 from basketmart.plans import products as P
 from basketmart.plans import promotion as R
+from basketmart.plans import similarity as S
 from basketmart.plans import statistics as T
 from basketmart.plans import validation as V
 from basketmart.plans import warehouse
@@ -616,6 +617,11 @@ def nearest_households(s):
     return rounded(M.nearest_households(s["stored_cells"]), cosine_similarity=4)
 
 
+@query
+def nearest_households_all(s):
+    return rounded(S.nearest_households_all(s["stored_cells"]), cosine_similarity=4)
+
+
 @query
 def nearest_to_first_household(s):
     return rounded(M.nearest_to_first_household(s["stored_cells"]), cosine_similarity=4)

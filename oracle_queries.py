@@ -1194,6 +1194,7 @@ likeness AS (
 """
 for _name, _sample, _anchor in [
     ("nearest_households", 250, ""),
+    ("nearest_households_all", "ALL", ""),
     ("nearest_to_first_household", "ALL", "WHERE a.household_key = (SELECT min(household_key) FROM member)"),
 ]:
     _add(
