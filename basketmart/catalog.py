@@ -18,6 +18,7 @@ from basketmart.plans import baskets as B
 from basketmart.plans import campaigns as K
 from basketmart.plans import categories as C
 from basketmart.plans import chart_data as D
+from basketmart.plans import components as A
 from basketmart.plans import customers as U
 from basketmart.plans import household_period as H
 from basketmart.plans import kpi_contract as N
@@ -629,7 +630,7 @@ def nearest_to_first_household(s):
 
 @query
 def pca_variance(s):
-    return rounded(M.pca_variance(s["stored_cells"]), variance_share=4, cumulative_share=4)
+    return rounded(A.pca_variance(s["stored_cells"]), variance_share=4, cumulative_share=4)
 
 
 @query

@@ -1,11 +1,10 @@
-"""Household × commodity spend matrix: profile, similarity and principal components.
+"""Household × commodity spend matrix: profile and similarity of a sample.
 
 The matrix stays in long form (household, commodity, spend); absent cells are zeros.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +12,6 @@ from basketmart.functions.money import units
 from basketmart.plans.categories import UNKNOWN
 from basketmart.session import stored
 
-MAX_COMMODITIES = 65_535  # widest matrix a covariance-based PCA takes
-
 
 def spend_cells(tx: DataFrame, products: DataFrame) -> DataFrame:
     """Spend in units per household and commodity; products are summed before their commodity is looked up."""
@@ -95,25 +92,3 @@ def nearest_households(cells: DataFrame, sample: int = 250) -> DataFrame:
     )
     return similarity.orderBy(F.col("cosine_similarity").desc(), "household_a", "household_b").limit(1)
 
-
-def pca_variance(cells: DataFrame, components: int = 5) -> DataFrame:
-    """Share of variance of the leading components of the scaled matrix.
-
-    One sparse pivot turns the cells into a vector per household; the covariance is a tree aggregation whose size
-    depends on the number of commodities only.
-    """
-    spark = cells.sparkSession
-    cells = stored(cells)
-    names = cells.select("commodity_desc").distinct().orderBy("commodity_desc").limit(MAX_COMMODITIES + 1).collect()
-    if len(names) > MAX_COMMODITIES:
-        raise ValueError(f"more than {MAX_COMMODITIES} commodities: group them before a principal component analysis")
-    labels = [row[0] for row in names]
-    wide = cells.groupBy("household_key").pivot("commodity_desc", labels).agg(F.first("spend_u") / 10000.0)
-    columns = [f"c{i}" for i in range(len(labels))]
-    numbered = wide.toDF("household_key", *columns).fillna(0.0)
-    vectors = VectorAssembler(inputCols=columns, outputCol="spend").transform(numbered).select("spend")
-    scaled = StandardScaler(inputCol="spend", outputCol="scaled", withMean=False).fit(vectors).transform(vectors)
-    fitted = PCA(k=min(components, len(labels)), inputCol="scaled", outputCol="components").fit(scaled)
-    shares = [float(x) for x in fitted.explainedVariance.toArray()]
-    rows = [(i + 1, share, sum(shares[: i + 1])) for i, share in enumerate(shares)]
-    return spark.createDataFrame(rows, "component int, variance_share double, cumulative_share double")

@@ -1209,6 +1209,59 @@ FROM likeness ORDER BY sim DESC, household_a, household_b LIMIT 1
         COSINE.format(sample=_sample, anchor=_anchor),
     )
 
+# The correlation matrix as a list of rows; its power by repeated squaring gives the leading direction, which is then taken
+# out of the matrix, five times.
+CORRELATION = """
+filled AS (SELECT household_key, commodity_desc, net_c / 100.0 AS v FROM cell),
+spread AS (
+  SELECT commodity_desc, sum(v) / all_h AS mu, sum(v * v) / all_h - pow(sum(v) / all_h, 2) AS variance
+  FROM filled, totals GROUP BY commodity_desc, all_h
+),
+place AS (
+  SELECT commodity_desc, mu, sqrt(variance) AS sd, row_number() OVER (ORDER BY commodity_desc) AS i
+  FROM spread WHERE variance > 1e-9
+),
+shared AS (
+  SELECT a.commodity_desc AS ca, b.commodity_desc AS cb, sum(a.v * b.v) AS s
+  FROM filled a JOIN filled b USING (household_key) GROUP BY 1, 2
+),
+entry AS (
+  SELECT p.i, q.i AS j, (coalesce(s, 0) / all_h - p.mu * q.mu) / (p.sd * q.sd) AS c
+  FROM place p CROSS JOIN place q CROSS JOIN totals
+  LEFT JOIN shared ON ca = p.commodity_desc AND cb = q.commodity_desc
+),
+m0 AS (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(c ORDER BY j) AS r FROM entry GROUP BY i))"""
+DIRECTION = """,
+p{k}(m, n) AS (
+  SELECT m, 0 FROM m{before}
+  UNION ALL
+  SELECT [[list_dot_product(r, s) / list_sum([list_dot_product(t, t) FOR t IN m]) FOR s IN m] FOR r IN m], n + 1
+  FROM p{k} WHERE n < 15
+),
+d{k} AS (SELECT m, [m[i][i] FOR i IN range(1, len(m) + 1)] AS diagonal FROM p{k} WHERE n = 15),
+v{k} AS (
+  SELECT [x / sqrt(list_dot_product(r, r)) FOR x IN r] AS v
+  FROM (SELECT m[list_position(diagonal, list_max(diagonal))] AS r FROM d{k})
+),
+l{k} AS (SELECT v, m, list_dot_product(v, [list_dot_product(r, v) FOR r IN m]) AS size FROM v{k}, m{before}),
+m{k} AS (
+  SELECT [[m[i][j] - size * v[i] * v[j] FOR j IN range(1, len(m) + 1)] FOR i IN range(1, len(m) + 1)] AS m FROM l{k}
+)"""
+_add(
+    "pca_variance",
+    """
+SELECT component, round(share, 4) AS variance_share, round(sum(share) OVER (ORDER BY component), 4) AS cumulative_share
+FROM (
+"""
+    + " UNION ALL ".join(f"SELECT CAST({k} AS INTEGER) AS component, size / (SELECT len(m) FROM m0) AS share FROM l{k}" for k in range(1, 6))
+    + ")",
+    TOTALS,
+    LABELLED,
+    CELLS,
+    CORRELATION + "".join(DIRECTION.format(k=k, before=k - 1) for k in range(1, 6)),
+)
+ORACLES["pca_variance"] = ORACLES["pca_variance"].replace("WITH", "WITH RECURSIVE", 1)
+
 # --- single operators ------------------------------------------------------------------------------------------------
 
 _add(

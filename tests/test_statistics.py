@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketmart.functions.pvalues import normal_two_sided, student_two_sided
-from basketmart.plans import matrix, model
+from basketmart.plans import components, matrix, model
 from basketmart.plans.statistics import bootstrap_interval, discount_groups, two_sample_ranks, welch_spend
 
 
@@ -101,7 +101,7 @@ def test_pca_shares_match_eigenvalues(spark):
     dense = dense[:, :7]
     frame = frame.filter("commodity_desc <> 'c7'")
     values = np.sort(np.linalg.eigvalsh(np.cov((dense / dense.std(axis=0, ddof=1)).T)))[::-1]
-    got = [r["variance_share"] for r in matrix.pca_variance(frame).orderBy("component").collect()]
+    got = [r["variance_share"] for r in components.pca_variance(frame).orderBy("component").collect()]
     assert got == pytest.approx((values / values.sum())[:5])
 
 
@@ -164,3 +164,24 @@ def test_imputation_uses_interpolated_median_and_first_mode(spark):
     frame = spark.createDataFrame([(1.0, "b"), (2.0, "a"), (10.0, "b"), (20.0, "a"), (None, None)], "x double, c string")
     assert model.train_medians(frame, ["x"]) == {"x": 6.0}
     assert model.train_levels(frame, ["c"]) == {"c": ("a", ["a"])}
+
+
+@pytest.mark.parametrize("rows, columns, rank", [(80, 6, 6), (120, 60, 60), (90, 40, 3)])
+def test_pca_of_wide_and_of_flat_matrices(spark, rows, columns, rank):
+    rng = np.random.default_rng(rows)
+    dense = np.round(np.abs(rng.normal(size=(rows, rank)) @ rng.normal(size=(rank, columns))) if rank < 6 else rng.gamma(1, 9, (rows, columns)), 4)
+    dense[:, 1] = 4.0  # no variance
+    cells = [(r, f"c{c}", round(dense[r, c] * 10000)) for r in range(rows) for c in range(columns) if dense[r, c]]
+    frame = spark.createDataFrame(cells, "household_key int, commodity_desc string, spend_u long")
+    kept = np.delete(dense, 1, axis=1)
+    values = np.sort(np.linalg.eigvalsh(np.cov((kept / kept.std(axis=0)).T)))[::-1]
+    got = components.pca_variance(frame).orderBy("component").collect()
+    assert [r.variance_share for r in got] == pytest.approx(list((values / values.sum())[:5]), abs=1e-6)
+    assert got[-1].cumulative_share == pytest.approx(sum(r.variance_share for r in got))
+
+
+def test_pca_without_variance(spark):
+    same = spark.createDataFrame([(r, "c", 5) for r in range(4)], "household_key int, commodity_desc string, spend_u long")
+    assert components.pca_variance(same).count() == 0
+    assert components.pca_variance(same.filter("household_key = 0")).count() == 0
+    assert components.pca_variance(same.filter("spend_u < 0")).count() == 0
