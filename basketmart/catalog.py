@@ -640,7 +640,22 @@ def model_holdout(s):
 
 @query
 def model_coefficients(s):
-    return rounded(L.model_coefficients(_features(s)), coefficient=3)
+    return rounded(L.model_coefficients(_features(s)), coefficient=6)
+
+
+@query
+def model_split(s):
+    return L.model_split(_features(s))
+
+
+@query
+def model_medians(s):
+    return rounded(L.model_medians(_features(s)), median=4)
+
+
+@query
+def model_levels(s):
+    return L.model_levels(_features(s))
 
 
 # --- single operators ------------------------------------------------------------------------------------------------

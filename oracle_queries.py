@@ -1262,6 +1262,165 @@ FROM (
 )
 ORACLES["pca_variance"] = ORACLES["pca_variance"].replace("WITH", "WITH RECURSIVE", 1)
 
+# --- model -----------------------------------------------------------------------------------------------------------
+
+NUMERIC = """recency_weeks frequency_baskets monetary_spend avg_line_sales total_units product_diversity category_diversity
+discount_amount coupon_line_count first_half_spend second_half_spend top_department_share spend_trend_change discount_rate
+coupon_engagement campaign_exposure_count missing_demographic_flag""".split()
+CATEGORICAL = """age_desc marital_status_code income_desc homeowner_desc hh_comp_desc household_size_desc
+kid_category_desc""".split()
+NEWTON_STEPS = 9
+
+SPLIT = """
+drawn AS (
+  SELECT *, next_period_active_flag AS y,
+         row_number() OVER (PARTITION BY next_period_active_flag ORDER BY md5(concat('42-', household_key)), household_key) AS nr
+  FROM feature
+),
+sized AS (
+  SELECT y, count(*) AS n, CAST(floor(0.25 * count(*)) AS BIGINT) AS base, CAST(sum(count(*)) OVER () AS BIGINT) AS total
+  FROM drawn GROUP BY y
+),
+quota AS (
+  SELECT y, base + CASE WHEN row_number() OVER (ORDER BY base - 0.25 * n, y) <= ceil(0.25 * total) - sum(base) OVER ()
+                        THEN 1 ELSE 0 END AS q
+  FROM sized
+),
+split AS (SELECT drawn.*, nr <= q AS held FROM drawn JOIN quota USING (y)),
+train AS (SELECT * FROM split WHERE NOT held),
+"""
+LEVELS = (
+    "".join(
+        f"""mode{k} AS (
+  SELECT coalesce((SELECT {c} FROM train WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1), '__rare__') AS v
+),
+"""
+        for k, c in enumerate(CATEGORICAL)
+    )
+    + "lev AS ("
+    + " UNION ALL ".join(
+        f"""
+  SELECT {k} AS place_of, '{c}' AS predictor, {c} AS level,
+         CASE WHEN count(*) >= 20 OR {c} = (SELECT v FROM mode{k}) THEN {c} ELSE '__rare__' END AS label
+  FROM train WHERE {c} IS NOT NULL GROUP BY {c}"""
+        for k, c in enumerate(CATEGORICAL)
+    )
+    + """
+),
+place AS (
+  SELECT place_of, label, any_value(predictor) AS predictor, row_number() OVER (ORDER BY place_of, label) AS p
+  FROM lev GROUP BY place_of, label
+),
+slot AS (SELECT place_of, level, predictor, label, p FROM lev JOIN place USING (place_of, predictor, label)),
+"""
+)
+_medians = ", ".join(f"coalesce(CAST({c} AS DOUBLE), (SELECT quantile_cont(CAST({c} AS DOUBLE), 0.5) FROM train))" for c in NUMERIC)
+_slots = ", ".join(
+    f"coalesce(s{k}.p, (SELECT p FROM place WHERE place_of = {k} AND label = '__rare__'), 0)" for k in range(len(CATEGORICAL))
+)
+_joins = "\n".join(
+    f"  LEFT JOIN slot s{k} ON s{k}.place_of = {k} AND s{k}.level = coalesce({c}, (SELECT v FROM mode{k}))"
+    for k, c in enumerate(CATEGORICAL)
+)
+_each = lambda f: ", ".join(f.format(i=i) for i in range(1, len(NUMERIC) + 1))
+DESIGN = f"""
+ready AS MATERIALIZED (
+  SELECT household_key, held, y, [{_medians}] AS x, [{_slots}] AS s
+  FROM split
+{_joins}
+),
+moments AS (SELECT [{_each("avg(x[{i}])")}] AS mu, [{_each("stddev_samp(x[{i}])")}] AS sd FROM ready WHERE NOT held),
+class AS (SELECT y, (SELECT count(*) FROM train) / (count(*) * (SELECT count(DISTINCT y) FROM train)) AS w FROM train GROUP BY y),
+design AS MATERIALIZED (
+  SELECT household_key, held, y, w,
+         list_concat(
+           [CASE WHEN sd[i] > 0 THEN (x[i] - mu[i]) / sd[i] ELSE 0.0 END FOR i IN range(1, {len(NUMERIC)} + 1)],
+           [CASE WHEN list_contains(s, i) THEN 1.0 ELSE 0.0 END FOR i IN range(1, (SELECT count(*) FROM place) + 1)],
+           [1.0]) AS v
+  FROM ready JOIN class USING (y) CROSS JOIN moments
+),
+every AS (SELECT unnest(range(1, max(len(v)) + 1)) AS i, max(len(v)) AS last FROM design),
+b0 AS (SELECT [0.0 FOR i IN range(1, any_value(last) + 1)] AS b FROM every),
+"""
+# gradient and Hessian of all training rows, then elimination one column after the other
+NEWTON = """
+g{k} AS MATERIALIZED (
+  SELECT v, y, w, 1 / (1 + exp(-list_dot_product(v, b))) AS p FROM design CROSS JOIN b{k} WHERE NOT held
+),
+h{k} AS (
+  SELECT i.i, j.i AS j, sum(w * p * (1 - p) * v[i.i] * v[j.i]) + CASE WHEN i.i = j.i AND i.i < any_value(i.last) THEN 1 ELSE 0 END AS h
+  FROM g{k} CROSS JOIN every i CROSS JOIN every j GROUP BY i.i, j.i
+),
+q{k} AS (
+  SELECT i, sum(w * (p - y) * v[i]) + CASE WHEN i < any_value(last) THEN any_value(b[i]) ELSE 0 END AS g
+  FROM g{k} CROSS JOIN every CROSS JOIN b{k} GROUP BY i
+),
+e{k}(m, c) AS (
+  SELECT list(list_append(r, g) ORDER BY i), 1 FROM (SELECT i, list(h ORDER BY j) AS r FROM h{k} GROUP BY i) JOIN q{k} USING (i)
+  UNION ALL
+  SELECT [CASE WHEN i = c THEN [x / m[c][c] FOR x IN m[c]]
+               ELSE [m[i][j] - m[i][c] / m[c][c] * m[c][j] FOR j IN range(1, len(m) + 2)] END FOR i IN range(1, len(m) + 1)], c + 1
+  FROM e{k} WHERE c <= len(m)
+),
+b{next} AS MATERIALIZED (
+  SELECT [b[i] - m[i][len(m) + 1] FOR i IN range(1, len(m) + 1)] AS b FROM e{k} CROSS JOIN b{k} WHERE c = len(m) + 1
+),
+"""
+FITTED = DESIGN + "".join(NEWTON.format(k=k, next=k + 1) for k in range(NEWTON_STEPS))
+_add("model_split", "SELECT household_key, held AS is_test FROM split", LABELLED, FEATURES, SPLIT)
+_add(
+    "model_medians",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS predictor, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 4) AS median FROM train" for c in NUMERIC
+    ),
+    LABELLED,
+    FEATURES,
+    SPLIT,
+)
+_add(
+    "model_levels",
+    "SELECT predictor, level, label, CAST(p - 1 AS INTEGER) AS place FROM slot",
+    LABELLED,
+    FEATURES,
+    SPLIT,
+    LEVELS,
+)
+_add(
+    "model_coefficients",
+    f"""
+SELECT name AS feature, round(c, 6) AS coefficient
+FROM (
+  SELECT unnest(list_concat([{", ".join(f"'numeric__{c}'" for c in NUMERIC)}],
+                            (SELECT list(concat('categorical__', predictor, '_', label) ORDER BY p) FROM place))) AS name,
+         unnest(list_resize(b, len(b) - 1)) AS c
+  FROM b{NEWTON_STEPS}
+)
+ORDER BY abs(c) DESC, name LIMIT 10
+""",
+    LABELLED,
+    FEATURES,
+    SPLIT,
+    LEVELS,
+    FITTED,
+)
+_add(
+    "model_holdout",
+    f"""
+SELECT round((SELECT avg(CASE WHEN a.m > z.m THEN 1.0 WHEN a.m = z.m THEN 0.5 ELSE 0.0 END)
+              FROM scored a JOIN scored z ON a.y = 1 AND z.y = 0), 3) AS model_auc,
+       (SELECT count(*) FROM train) AS train_rows, (SELECT count(*) FROM scored) AS test_rows,
+       CAST((SELECT any_value(last) FROM every) - 1 AS INTEGER) AS feature_count
+""",
+    LABELLED,
+    FEATURES,
+    SPLIT,
+    LEVELS,
+    FITTED,
+    f"scored AS (SELECT y, list_dot_product(v, b) AS m FROM design CROSS JOIN b{NEWTON_STEPS} WHERE held),\n",
+)
+for _name in ("model_coefficients", "model_holdout"):
+    ORACLES[_name] = ORACLES[_name].replace("WITH", "WITH RECURSIVE", 1)
+
 # --- single operators ------------------------------------------------------------------------------------------------
 
 _add(

@@ -8,7 +8,7 @@ from basketmart.catalog import QUERIES
 from oracle_queries import ORACLES
 
 FOLDER = "/root/testdata/sf0.001"
-ROWS_ONLY = {"hypothesis_p_values", "model_holdout", "model_coefficients"}
+ROWS_ONLY = {"hypothesis_p_values"}
 
 
 @pytest.fixture(scope="module")

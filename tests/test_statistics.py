@@ -163,7 +163,10 @@ def test_model_learns_on_training_rows_only(spark):
 def test_imputation_uses_interpolated_median_and_first_mode(spark):
     frame = spark.createDataFrame([(1.0, "b"), (2.0, "a"), (10.0, "b"), (20.0, "a"), (None, None)], "x double, c string")
     assert model.train_medians(frame, ["x"]) == {"x": 6.0}
-    assert model.train_levels(frame, ["c"]) == {"c": ("a", ["a"])}
+    modes = model.train_modes(frame, ["c"])
+    assert modes == {"c": "a"}
+    rows = model.level_places(frame, ["c"], modes).collect()
+    assert {(r.name, r.level, r.label) for r in rows} == {("c", "a", "a"), ("c", "b", model.RARE)}
 
 
 @pytest.mark.parametrize("rows, columns, rank", [(80, 6, 6), (120, 60, 60), (90, 40, 3)])
@@ -185,3 +188,59 @@ def test_pca_without_variance(spark):
     assert components.pca_variance(same).count() == 0
     assert components.pca_variance(same.filter("household_key = 0")).count() == 0
     assert components.pca_variance(same.filter("spend_u < 0")).count() == 0
+
+
+def dense_logistic(x, y, weight):
+    """Newton's method on a whole matrix; the last column is the intercept."""
+    w, ridge = np.zeros(x.shape[1]), np.append(np.ones(x.shape[1] - 1), 0.0)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ w))
+        w -= np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(ridge + 1e-12), x.T @ (weight * (p - y)) + ridge * w)
+    return w
+
+
+@pytest.mark.parametrize("dense", [256, 0])
+def test_newton_steps_agree_with_a_dense_fit(spark, monkeypatch, dense):
+    monkeypatch.setattr(model, "DENSE", dense)
+    monkeypatch.setattr(model, "CHUNK", 37)
+    features = feature_rows(spark, 300)
+    fitted = model.fit_holdout_model(features)
+    split = model.stratified_split(features).toPandas()
+    train = split[~split.is_test]
+    kinds = train.kind.fillna("x" if (train.kind == "x").sum() >= (train.kind == "y").sum() else "y")
+    kinds = kinds.where(kinds.isin(["x", "y"]), "__rare__")
+    columns, names = [], []
+    for name in ("score", "visits"):
+        values = train[name].fillna(train[name].median()).to_numpy(float)
+        columns.append((values - values.mean()) / values.std(ddof=1))
+        names.append(f"numeric__{name}")
+    for kind in sorted(set(kinds)):
+        columns.append((kinds == kind).to_numpy(float))
+        names.append(f"categorical__kind_{kind}")
+    y = train[model.TARGET].to_numpy(float)
+    weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
+    want = dense_logistic(np.column_stack([*columns, np.ones(len(y))]), y, weight)
+    assert fitted.names == names
+    assert fitted.coefficients == pytest.approx(want[:-1], abs=1e-7)
+
+
+def test_thousands_of_levels_and_unseen_ones(spark):
+    rows = [(i, float(i % 7), f"level {i % 600}" if i % 5 else f"only {i}", None, int(i % 7 > 3), 0, 0.0) for i in range(14_000)]
+    features = spark.createDataFrame(
+        rows,
+        """household_key long, score double, kind string, gap string,
+        next_period_active_flag int, next_period_spend_decline_flag int, future_spend double""",
+    )
+    split = model.stratified_split(features)
+    train = split.filter("not is_test")
+    modes = model.train_modes(train, ["kind", "gap"])
+    assert modes["gap"] == model.RARE
+    places = model.level_places(train, ["kind", "gap"], modes)
+    found = places.collect()
+    assert len({r.place for r in found}) == max(r.place for r in found) + 1
+    assert {r.label for r in found if r.level.startswith("only")} == {model.RARE}
+    encoded = model._encoded(split, ["score"], {"score": 0.0}, modes, places)
+    rare = {r.place for r in found if r.name == "kind" and r.label == model.RARE}
+    unseen = encoded.join(features.filter("kind like 'only%'").select("household_key"), "household_key").filter("is_test")
+    assert {r.slots[0] for r in unseen.collect()} == rare
+    assert encoded.count() == 14_000
