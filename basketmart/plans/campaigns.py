@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from basketmart.functions.money import mean_money, positive_ratio, units, wide_sum
 from basketmart.operators.ordering import ntile
+from basketmart.session import stored
 
 WINDOW_DAYS = 28
 
@@ -67,15 +68,17 @@ def mart_coupon_redemptions(redemptions: DataFrame, campaigns: DataFrame) -> Dat
     )
 
 
-def household_day_ledger(tx: DataFrame) -> DataFrame:
-    """Spend and baskets per household and day, small enough to join with any number of day windows.
+def household_day_ledger(tx: DataFrame, households: DataFrame | None = None) -> DataFrame:
+    """Spend and baskets per household and day, small enough to answer any number of day windows.
 
     A basket seen on several days must count once per window. Each basket-day carries the basket's previous day, so a
     basket belongs to the window ``[a, b]`` exactly once: on its first day inside, where the previous day lies before
     ``a``. Counts by (day, previous day) can therefore be added up, and a household is left with about one row per
-    active day however many lines it has.
+    active day however many lines it has. With ``households`` only theirs are kept, once lines are basket-days.
     """
     basket_days = tx.groupBy("household_key", "basket_id", "day").agg(F.sum(units("sales_value")).alias("sales_u"))
+    if households is not None:
+        basket_days = basket_days.join(households.select("household_key").distinct(), "household_key", "left_semi")
     basket = W.partitionBy("household_key", "basket_id").orderBy("day")
     return (
         basket_days.withColumn("previous_day", F.lag("day").over(basket))
@@ -84,20 +87,57 @@ def household_day_ledger(tx: DataFrame) -> DataFrame:
     )
 
 
-def _spend_between(first, last):
-    return F.sum(F.when(F.col("day").between(first, last), F.col("sales_u")).otherwise(F.lit(0).cast("long")))
+def household_day_spend(tx: DataFrame, households: DataFrame) -> DataFrame:
+    """The ledger without baskets: no window over baskets, one shuffle of what a task adds up for a household's day."""
+    days = tx.groupBy("household_key", "day").agg(F.sum(units("sales_value")).alias("sales_u"))
+    days = days.join(households.select("household_key").distinct(), "household_key", "left_semi")
+    return days.withColumn("baskets", F.lit(0).cast("long"))
 
 
-def _baskets_between(first, last):
-    entered = F.col("previous_day").isNull() | (F.col("previous_day") < first)
-    inside = F.col("day").between(first, last) & entered
-    return F.sum(F.when(inside, F.col("baskets")).otherwise(F.lit(0).cast("long")))
+def totals_upto(ledger: DataFrame, probes: DataFrame) -> DataFrame:
+    """The probes (``household_key, day`` and any other columns) with ``spend_upto`` and ``baskets_upto`` their day.
+
+    Ledger and probes are merged in the order of days, and running totals are read where a probe stands. A household has
+    one row for each day and probe, so what is shuffled does not depend on how long windows are or how many overlap.
+    """
+    entries = ledger.filter("day is not null").select("household_key", "day", "sales_u", "baskets", F.lit(0).alias("_probe"))
+    both = entries.unionByName(probes.withColumn("_probe", F.lit(1)), allowMissingColumns=True)
+    upto = W.partitionBy("household_key").orderBy("day", "_probe").rowsBetween(W.unboundedPreceding, W.currentRow)
+    zero = F.lit(0).cast("long")
+    running = both.withColumns(
+        {
+            "spend_upto": F.coalesce(F.sum("sales_u").over(upto), zero),
+            "baskets_upto": F.coalesce(F.sum("baskets").over(upto), zero),
+        }
+    )
+    return running.filter("_probe = 1").drop("sales_u", "baskets", "_probe")
+
+
+def _window_probes(rows: DataFrame, windows: dict[str, tuple]) -> DataFrame:
+    """Rows once for each end of their windows, as ``day`` and the sign with which each window (a name) counts it.
+
+    A window's total is the total up to its last day less that up to the day before its first.
+    """
+    points = {}  # days that several windows share are one point
+    for name, (first, last) in windows.items():
+        points.setdefault(str(first - 1), (first - 1, {}))[1][name] = -1
+        points.setdefault(str(last), (last, {}))[1][name] = 1
+    structs = [
+        F.struct(day.cast("int").alias("day"), *[F.lit(signs.get(name, 0)).alias(f"{name}_sign") for name in windows])
+        for day, signs in points.values()
+    ]
+    return rows.withColumn("_point", F.explode(F.array(*structs))).select(*rows.columns, "_point.*")
+
+
+def _signed(name: str, total: str):
+    return F.sum(F.col(f"{name}_sign") * F.col(total))
 
 
 def exposure_behaviour(tx: DataFrame, exposures: DataFrame, campaigns: DataFrame, redemptions: DataFrame) -> DataFrame:
     """Each exposure with spend and baskets 28 days before and 28 days from the campaign start.
 
-    An interval join: equal household, day inside the window.
+    An interval join (equal household, day inside the window) by running totals. Baskets seen on several days of a window,
+    which are few, are counted off again by their ledger rows.
     """
     dated = exposed_pairs(exposures).join(
         campaigns.select("campaign", F.col("description").alias("campaign_type"), "start_day"), "campaign"
@@ -106,25 +146,35 @@ def exposure_behaviour(tx: DataFrame, exposures: DataFrame, campaigns: DataFrame
     flagged = dated.join(redeemed, ["household_key", "campaign"], "left").withColumn(
         "redeemed_flag", F.coalesce("redeemed", F.lit(0))
     )
-    ledger = household_day_ledger(tx).withColumnRenamed("household_key", "ledger_household")
+    flagged = flagged.drop("redeemed")
     start = F.col("start_day")
-    in_window = (F.col("household_key") == F.col("ledger_household")) & F.col("day").between(
-        start - WINDOW_DAYS, start + (WINDOW_DAYS - 1)
-    )
-    joined = flagged.join(ledger, in_window, "left")
-    before, after = (start - WINDOW_DAYS, start - 1), (start, start + (WINDOW_DAYS - 1))
-    key = ["household_key", "campaign", "campaign_type", "start_day", "redeemed_flag"]
-    return joined.groupBy(*key, "copies").agg(
-        _spend_between(*before).alias("pre_u"),
-        _spend_between(*after).alias("post_u"),
-        _baskets_between(*before).alias("pre_baskets"),
-        _baskets_between(*after).alias("post_baskets"),
-    ).select(
-        *key,
-        (F.col("pre_u") * F.col("copies")).alias("pre_u"),
-        (F.col("post_u") * F.col("copies")).alias("post_u"),
-        "pre_baskets",
-        "post_baskets",
+    first, last = start - WINDOW_DAYS, start + (WINDOW_DAYS - 1)
+    ledger = stored(household_day_ledger(tx, exposures))
+    key = ["household_key", "campaign", "campaign_type", "start_day", "redeemed_flag", "copies"]
+    sums = (
+        totals_upto(ledger, _window_probes(flagged, {"pre": (first, start - 1), "post": (start, last)}))
+        .groupBy(*key)
+        .agg(
+            *[_signed(name, "spend_upto").alias(f"{name}_u") for name in ("pre", "post")],
+            *[_signed(name, "baskets_upto").alias(f"{name}_baskets") for name in ("pre", "post")],
+        )
+    )
+    again = ledger.filter("previous_day is not null").select("household_key", "day", "previous_day", "baskets")
+    inside = (F.col("previous_day") >= first) & (F.col("day") <= last)
+    zero = F.lit(0).cast("long")
+    counted = flagged.join(again, "household_key").filter(inside)
+    counted = counted.groupBy(*key).agg(
+        F.sum(F.when(F.col("day") < start, F.col("baskets")).otherwise(zero)).alias("pre_again"),
+        F.sum(F.when(F.col("previous_day") >= start, F.col("baskets")).otherwise(zero)).alias("post_again"),
+    )
+    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"c.{c}")) for c in key]
+    joined = sums.alias("s").join(counted.alias("c"), same, "left")
+    return joined.select(
+        *[F.col(f"s.{c}").alias(c) for c in key[:-1]],
+        (F.col("pre_u") * F.col("s.copies")).alias("pre_u"),
+        (F.col("post_u") * F.col("s.copies")).alias("post_u"),
+        (F.col("pre_baskets") - F.coalesce("pre_again", zero)).alias("pre_baskets"),
+        (F.col("post_baskets") - F.coalesce("post_again", zero)).alias("post_baskets"),
     )
 
 
@@ -176,16 +226,15 @@ def campaign_prepost(tx: DataFrame, exposures: DataFrame, campaigns: DataFrame)
     dated = exposures.join(
         campaigns.select("campaign", F.col("description").alias("campaign_type"), "start_day", "end_day"), "campaign"
     )
-    daily = household_day_ledger(tx).withColumnRenamed("household_key", "ledger_household")
-    start, end = F.col("start_day"), F.col("end_day") + WINDOW_DAYS
-    in_window = (F.col("household_key") == F.col("ledger_household")) & F.col("day").between(start - WINDOW_DAYS, end)
+    daily = household_day_spend(tx, exposures)
+    start = F.col("start_day")
+    # a campaign without an end, or with one before its start, has no second window
+    last = F.greatest(F.col("end_day") + WINDOW_DAYS, start - 1)
+    probes = _window_probes(dated, {"pre": (start - WINDOW_DAYS, start - 1), "post": (start, last)})
     per_household = (
-        dated.join(daily, in_window, "left")
+        totals_upto(daily, probes)
         .groupBy("campaign_type", "household_key")
-        .agg(
-            _spend_between(start - WINDOW_DAYS, start - 1).alias("pre_u"),
-            _spend_between(start, end).alias("post_u"),
-        )
+        .agg(_signed("pre", "spend_upto").alias("pre_u"), _signed("post", "spend_upto").alias("post_u"))
     )
     rows = F.count(F.lit(1))
     return per_household.groupBy("campaign_type").agg(

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from data import dicts, staged
 from pyspark.sql import functions as F
@@ -243,3 +245,44 @@ def test_validation_finds_planted_faults(spark):
 def test_distinct_tuples_count_nulls(spark):
     frame = spark.createDataFrame([(1, None), (1, None), (1, 2)], "a int, b int")
     assert frame.agg(F.count_distinct(F.struct("a", "b"))).first()[0] == 2
+
+
+def test_window_totals_agree_with_adding_up_the_days(spark):
+    rng = random.Random(8)
+    lines = [
+        {"basket_id": rng.randint(1, 60), "day": rng.choice([None, *range(40, 160)]), "sales_value": float(rng.randint(0, 9))}
+        for _ in range(900)
+    ]
+    # a basket belongs to one household; many are seen on several days
+    for line in lines:
+        line["household_key"] = line["basket_id"] % 4 + 1
+    descriptions = [(1, "TypeA", 90, 100), (2, "TypeB", 70, 60), (3, "TypeB", 100, None), (4, "TypeC", None, 9), (5, "TypeA", 30, 35)]
+    table = [(h, c) for h in (1, 2, 3, 9) for c in range(1, 6)] + [(1, 1)]
+    s = staged(spark, lines, campaign_desc=descriptions, campaign_table=table)
+    held = [(l["household_key"], l["basket_id"], l["day"], l["sales_value"]) for l in lines if l["day"] is not None]
+
+    def window(household, first, last):
+        inside = [(b, v) for h, b, d, v in held if h == household and first <= d <= last]
+        return round(sum(v for _, v in inside) * 10_000), len({b for b, _ in inside})
+
+    got = campaigns.exposure_behaviour(s["transactions"], s["exposures"], s["campaigns"], s["redemptions"]).collect()
+    assert len(got) == 20
+    for r in got:
+        start, copies = r["start_day"], 2 if (r["household_key"], r["campaign"]) == (1, 1) else 1
+        (pre, pre_b), (post, post_b) = ((0, 0), (0, 0)) if start is None else (
+            window(r["household_key"], start - 28, start - 1), window(r["household_key"], start, start + 27)
+        )
+        assert (r["pre_u"], r["post_u"]) == (pre * copies, post * copies)
+        assert (r["pre_baskets"], r["post_baskets"]) == (pre_b, post_b)
+    wanted = {}
+    for household, campaign in table:
+        _, kind, start, end = descriptions[campaign - 1]
+        sums = wanted.setdefault(kind, {}).setdefault(household, [0, 0])
+        if start is not None:
+            sums[0] += window(household, start - 28, start - 1)[0]
+            sums[1] += window(household, start, end + 28)[0] if end is not None else 0
+    for r in campaigns.campaign_prepost(s["transactions"], s["exposures"], s["campaigns"]).collect():
+        sums = wanted[r["campaign_type"]].values()
+        assert r["households"] == len(sums)
+        assert r["avg_pre_spend"] == pytest.approx(sum(a for a, _ in sums) / len(sums) / 10_000)
+        assert r["avg_post_spend"] == pytest.approx(sum(b for _, b in sums) / len(sums) / 10_000)
