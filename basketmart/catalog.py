@@ -743,10 +743,9 @@ def clipped_basket_spend(s):
 
 @query
 def average_ranks(s):
-    """Basket spend, units and their tied ranks, looked up without gathering a frequent value."""
+    """Basket units and their tied ranks, counted in slices that no frequent value fills alone."""
     baskets = _stored_baskets(s).select("basket_id", "household_key", "basket_units")
-    ranks = stored(O.value_ranks(baskets, {"units": F.col("basket_units")}))
-    return O.attach_ranks(baskets, ranks, "basket_units", {"units": "units_rank"})
+    return O.tied_ranks(baskets, "basket_units", {"units_rank": F.lit(True)})
 
 
 @query

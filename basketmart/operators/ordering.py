@@ -181,32 +181,62 @@ def quantile_row(frame: DataFrame, wanted: dict[str, tuple[Column, float]]) -> D
     )
 
 
-def attach_ranks(frame: DataFrame, ranked: DataFrame, column: str, names: dict[str, str]) -> DataFrame:
-    """Add the tied ranks of ``column`` in one or more series (series -> new column) of :func:`value_ranks`.
+def tied_ranks(frame: DataFrame, column: str, series: dict[str, Column]) -> DataFrame:
+    """Add the average rank of ``column`` among the rows of each series (new column -> condition on the rows).
 
-    No frequent value is sent to one task: values held by more than a thousandth of a series' rows (so fewer than a
-    thousand per series) are looked up by broadcast; their rows then leave the shuffle key and are spread by a hash.
+    Rows are cut into slices by value and row number, so rows that are equal in every column are spread like any others.
+    A row's rank follows from the rows before its value and those that hold it, counted within its slice; only a slice's
+    first and last value may go on in another one, and the table of these has two rows a slice. Rows outside a series, or
+    with a NULL in ``column``, have no rank in it. ``frame`` should be stored, as its row numbers are taken once.
     """
-    ranks = [F.max(F.when(F.col("series") == series, F.col("rank"))).alias(name) for series, name in names.items()]
-    lookup = (
-        ranked.filter(F.col("series").isin(list(names)))
-        .groupBy("value")
-        .agg(F.max(F.col("rows") * 1000 > F.col("series_rows")).alias("frequent"), *ranks)
-    )
-
-    def side(rows: DataFrame, prefix: str) -> DataFrame:
-        return rows.select(
-            F.col("value").alias(f"{prefix}_value"), *[F.col(name).alias(f"{prefix}_{name}") for name in names.values()]
-        )
-
-    hot = side(lookup.filter("frequent"), "_hot")
-    cold = side(lookup.filter("not frequent"), "_cold").withColumn("_cold_salt", F.lit(0).cast("long"))
-    value = F.col(column).cast("double")
-    # rows that need no further lookup carry a salt no cold value has
-    needs_lookup = F.col("_hot_value").isNull() & F.col(column).isNotNull()
-    salt = F.when(needs_lookup, F.lit(0).cast("long")).otherwise(-1 - F.pmod(F.xxhash64(*frame.columns), F.lit(4096)))
-    salted = frame.join(F.broadcast(hot), value == F.col("_hot_value"), "left").withColumn("_salt", salt)
-    found = salted.join(cold, (value == F.col("_cold_value")) & (F.col("_salt") == F.col("_cold_salt")), "left")
-    return found.select(
-        *frame.columns, *[F.coalesce(f"_hot_{name}", f"_cold_{name}").alias(name) for name in names.values()]
+    taken = {f"_in{k}": condition for k, condition in enumerate(series.values())}
+    held = F.col(column).isNotNull()
+    rows = frame.withColumns(
+        {
+            "_value": F.col(column).cast("double"),
+            "_spread": F.monotonically_increasing_id(),
+            **{name: F.when(held & condition, 1).otherwise(0).cast("long") for name, condition in taken.items()},
+        }
     )
+    rows = sliced(rows, ["_value", "_spread"])
+    peers, upto = W.partitionBy(SLICE, "_value"), W.partitionBy(SLICE).orderBy("_value")
+    upto = upto.rangeBetween(W.unboundedPreceding, W.currentRow)
+    numbers = range(len(series))
+    local = rows.withColumns(
+        {f"_same{k}": F.sum(f"_in{k}").over(peers) for k in numbers} | {f"_upto{k}": F.sum(f"_in{k}").over(upto) for k in numbers}
+    )
+    edges = local.filter(held).groupBy(SLICE).agg(
+        F.min("_value").alias("_first"),
+        F.max("_value").alias("_last"),
+        *[F.sum(f"_in{k}").alias(f"_n{k}") for k in numbers],
+        *[F.min_by(f"_same{k}", "_value").alias(f"_first{k}") for k in numbers],
+        *[F.max_by(f"_same{k}", "_value").alias(f"_last{k}") for k in numbers],
+    )
+    earlier = W.orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)  # one row a slice
+    edges = stored(
+        edges.withColumns({f"_before{k}": F.coalesce(F.sum(f"_n{k}").over(earlier), F.lit(0)) for k in numbers})
+    )
+    first = F.struct(
+        F.col("_first").alias("_edge"),
+        *[F.col(f"_before{k}").alias(f"_below{k}") for k in numbers],
+        *[F.col(f"_first{k}").alias(f"_all{k}") for k in numbers],
+    )
+    last = F.struct(
+        F.col("_last").alias("_edge"),
+        *[(F.col(f"_before{k}") + F.col(f"_n{k}") - F.col(f"_last{k}")).alias(f"_below{k}") for k in numbers],
+        *[F.col(f"_last{k}").alias(f"_all{k}") for k in numbers],
+    )
+    both = F.when(F.col("_first") == F.col("_last"), F.array(first)).otherwise(F.array(first, last))
+    spans = edges.select(F.explode(both).alias("e")).select("e.*").groupBy("_edge").agg(
+        *[F.min(f"_below{k}").alias(f"_below{k}") for k in numbers], *[F.sum(f"_all{k}").alias(f"_all{k}") for k in numbers]
+    )
+    # at most one and two rows a slice, that is a shuffle partition
+    offsets = F.broadcast(edges.select(F.col(SLICE).alias("_o_slice"), *[f"_before{k}" for k in numbers]))
+    placed = local.join(offsets, F.col(SLICE) == F.col("_o_slice"), "left")
+    placed = placed.join(F.broadcast(spans), F.col("_value") == F.col("_edge"), "left")
+    ranks = []
+    for k, name in enumerate(series):
+        below = F.coalesce(f"_below{k}", F.col(f"_before{k}") + F.col(f"_upto{k}") - F.col(f"_same{k}"))
+        rank = below + (F.coalesce(f"_all{k}", f"_same{k}") + 1) / 2
+        ranks.append(F.when(F.col(f"_in{k}") == 1, rank).alias(name))
+    return placed.select(*frame.columns, *ranks)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketmart.functions.money import mean_money, nonzero_ratio, positive_ratio, units, wide_sum
-from basketmart.operators.ordering import attach_ranks, quantile_row, value_ranks
+from basketmart.operators.ordering import quantile_row, tied_ranks, value_ranks
 from basketmart.session import stored
 
 BASKET_MEASURES = ["basket_spend", "basket_units", "discount_rate"]
@@ -241,17 +241,11 @@ def basket_spearman(baskets: DataFrame) -> DataFrame:
     """
     measures = stored(baskets.select(*BASKET_MEASURES))
     rated = F.col("discount_rate").isNotNull()
-    series = {
-        "spend_all": F.col("basket_spend"),
-        "units_all": F.col("basket_units"),
-        "spend_rated": F.when(rated, F.col("basket_spend")),
-        "units_rated": F.when(rated, F.col("basket_units")),
-        "rate_rated": F.col("discount_rate"),
-    }
-    ranks = stored(value_ranks(measures, series))
-    ranked = attach_ranks(measures, ranks, "basket_spend", {"spend_all": "spend_all", "spend_rated": "spend_rated"})
-    ranked = attach_ranks(ranked, ranks, "basket_units", {"units_all": "units_all", "units_rated": "units_rated"})
-    ranked = attach_ranks(ranked, ranks, "discount_rate", {"rate_rated": "rate_rated"})
+    everyone = F.lit(True)
+    ranked = tied_ranks(measures, "basket_spend", {"spend_all": everyone, "spend_rated": rated})
+    ranked = tied_ranks(ranked, "basket_units", {"units_all": everyone, "units_rated": rated})
+    ranked = tied_ranks(ranked, "discount_rate", {"rate_rated": rated})
+    series = ["spend_rated", "units_rated", "rate_rated"]
     in_rated = {name: F.when(rated, F.col(name)) for name in series}
     cells = {
         ("basket_spend", "basket_spend"): F.lit(1.0),

@@ -7,14 +7,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basketmart.operators.ordering import (
-    attach_ranks,
     exact_quantiles,
     ntile,
     row_numbers,
     rows_above_quantile,
     running_total,
+    sliced,
+    tied_ranks,
     value_ranks,
 )
+from basketmart.session import stored
 
 pytestmark = pytest.mark.usefixtures("many_slices")
 
@@ -72,21 +74,31 @@ def test_value_ranks_average_ties_and_skip_nulls(spark):
     assert rows == {1.0: (1, 0, 1.0, 5), 2.0: (3, 1, 3.0, 5), 9.0: (1, 4, 5.0, 5)}
 
 
-def test_attached_ranks_match_pandas(spark):
-    frame = hot_frame(spark).withColumn("v", F.when(F.col("id") % 10 != 0, F.col("v")))
-    ranks = value_ranks(frame, {"v": F.col("v")})
-    got = attach_ranks(frame, ranks, "v", {"v": "r"}).toPandas().sort_values("id")
+def test_tied_ranks_match_pandas(spark):
+    frame = stored(hot_frame(spark).withColumn("v", F.when(F.col("id") % 10 != 0, F.col("v"))))
+    odd = F.col("id") % 2 == 1
+    got = tied_ranks(frame, "v", {"r": F.lit(True), "odd": odd}).toPandas().sort_values("id")
     assert len(got) == 3000
-    want = got["v"].rank(method="average")
-    assert np.array_equal(got["r"].to_numpy(), want.to_numpy(), equal_nan=True)
-
-
-def test_frequent_value_leaves_the_shuffle_key(spark):
-    """The rows of a hot value are spread by salt, so no shuffle key holds more than a thousandth of the rows."""
-    frame = hot_frame(spark)
-    ranks = value_ranks(frame, {"v": F.col("v")})
-    plan = attach_ranks(frame, ranks, "v", {"v": "r"})._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan and "_hot_value" in plan
+    assert np.array_equal(got["r"].to_numpy(), got["v"].rank(method="average").to_numpy(), equal_nan=True)
+    among = got["v"].where(got["id"] % 2 == 1).rank(method="average")
+    assert np.array_equal(got["odd"].to_numpy(), among.to_numpy(), equal_nan=True)
+
+
+def test_rows_equal_in_all_columns_are_spread_and_ranked(spark):
+    """Nine in ten rows are the same: every slice gets its share of them, and ties reach over slices."""
+    frame = stored(spark.range(4000).select(F.when(F.col("id") % 10 == 0, F.col("id") % 70).otherwise(33).cast("int").alias("v")))
+    rows = sliced(frame.withColumn("_spread", F.monotonically_increasing_id()), ["v", "_spread"])
+    sizes = [r["count"] for r in rows.groupBy("_slice").count().collect()]
+    assert len(sizes) > 2 and max(sizes) < 0.6 * 4000
+    got = tied_ranks(frame, "v", {"r": F.lit(True)}).toPandas()
+    assert np.array_equal(np.sort(got["r"]), np.sort(got["v"].rank(method="average")))
+    assert (got["r"] == got["v"].rank(method="average")).all()
+
+
+def test_tied_ranks_of_few_rows(spark):
+    frame = stored(spark.createDataFrame([(1, 5.0), (2, None), (3, 5.0)], "id int, v double"))
+    assert {r.id: r.r for r in tied_ranks(frame, "v", {"r": F.lit(True)}).collect()} == {1: 1.5, 2: None, 3: 1.5}
+    assert tied_ranks(frame.filter("id > 9"), "v", {"r": F.lit(True)}).count() == 0
 
 
 def test_quantiles_match_numpy(spark):
