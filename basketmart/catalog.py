@@ -32,7 +32,9 @@ from basketmart.plans import statistics as T
 from basketmart.plans import validation as V
 from basketmart.plans import warehouse
 from basketmart.plans.staging import stage_all
-from basketmart.session import stored, tune
+from basketmart.session import scratch_path, stored, tune
+from basketmart.sources.csv import read_source
+from basketmart.sources.sinks import export_csv
 from basketmart.sources.star import fingerprint, star_sources
 from basketmart.sources.tables import LazyTables
 
@@ -116,6 +118,21 @@ def stage_lines(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES["stg_transactions"] = stage_lines
 
 
+def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """The receipt lines, exported as CSV under a name that starts with an underscore, read in byte ranges and staged."""
+    tune(spark)
+    sources = star_sources(spark, folder)
+    path = f"{scratch_path(spark)}/_transaction_data.csv"
+    export_csv(sources["transaction_data"], path)
+    lines = read_source(spark, path, "transaction_data")
+    return stage_all(LazyTables({name: partial(sources.__getitem__, name) for name in sources} | {"transaction_data": lambda: lines}))[
+        "transactions"
+    ]
+
+
+QUERIES["csv_round_trip"] = csv_round_trip
+
+
 @query
 def receipts_by_hour(s):
     return s["transactions"].groupBy("trans_hour").agg(

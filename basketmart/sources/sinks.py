@@ -2,12 +2,37 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+def _paths(spark: SparkSession, *names: str) -> list:
+    return [spark._jvm.org.apache.hadoop.fs.Path(name) for name in names]
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Put a table back that a stopped replacement had moved aside; whether there was one to put back."""
+    table, old = _paths(spark, path.rstrip("/"), f"{path.rstrip('/')}._replaced")
+    system = table.getFileSystem(spark._jsc.hadoopConfiguration())
+    return not system.exists(table) and system.exists(old) and system.rename(old, table)
+
+
+def _swapped_in(spark: SparkSession, new: str, path: str) -> None:
+    """Let the written folder take the table's place by two renames; the old rows go only after that."""
+    fresh, table, old = _paths(spark, new, path.rstrip("/"), f"{path.rstrip('/')}._replaced")
+    system = table.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(old, True)
+    if system.exists(table) and not system.rename(table, old):
+        raise OSError(f"{path} could not be moved aside")
+    if not system.rename(fresh, table):
+        system.rename(old, table)
+        raise OSError(f"{path} could not be replaced")
+    system.delete(old, True)
+
+
 def materialize(
     frame: DataFrame, path: str, partition_by: Iterable[str] = (), mode: str = "overwrite"
 ) -> DataFrame:
@@ -15,13 +40,29 @@ def materialize(
 
     With ``partition_by`` rows are first brought together by those columns, so each partition folder gets a few large
     files; the rebalance splits a folder that holds far more rows than the others.
+
+    A replacement is written beside the table and takes its place by renames once it is whole, so a failed write leaves the
+    old rows, and a plan may read the table it replaces. What a stop between the renames leaves, ``recover`` mends, as does
+    the next replacement.
     """
+    spark = frame.sparkSession
+    if mode == "overwrite":
+        recover(spark, path)
     columns = list(partition_by)
     if columns:
         frame = frame.hint("rebalance", *columns)
+    target = f"{path.rstrip('/')}._{uuid.uuid4().hex}" if mode == "overwrite" else path
     writer = frame.write.mode(mode)
-    (writer.partitionBy(*columns) if columns else writer).parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    try:
+        (writer.partitionBy(*columns) if columns else writer).parquet(target)
+    except Exception:
+        if target != path:
+            (unfinished,) = _paths(spark, target)
+            unfinished.getFileSystem(spark._jsc.hadoopConfiguration()).delete(unfinished, True)
+        raise
+    if target != path:
+        _swapped_in(spark, target, path)
+    return spark.read.schema(frame.schema).parquet(path)
 
 
 def materialize_bucketed(

@@ -129,6 +129,7 @@ SELECT household_key, basket_id, day, week_no, product_id, quantity, net_c / 100
 FROM tx
 """,
 )
+ORACLES["csv_round_trip"] = ORACLES["stg_transactions"]
 _add(
     "receipts_by_hour",
     """

@@ -1,3 +1,6 @@
+import csv
+import gzip
+import random
 from pathlib import Path
 
 import pytest
@@ -10,7 +13,7 @@ from basketmart.plans.warehouse import EXPORTED
 from basketmart.run import run
 from basketmart.schemas import SCHEMAS
 from basketmart.sources.csv import csv_sources, read_hidden_csv, read_source, resolve_source, source_inventory
-from basketmart.sources.sinks import append_rows, export_csv, first_rows, materialize, materialize_bucketed
+from basketmart.sources.sinks import append_rows, export_csv, first_rows, materialize, materialize_bucketed, recover
 from basketmart.sources.star import star_sources
 
 SF = "/root/testdata/sf0.001"
@@ -131,3 +134,61 @@ def test_full_run_exports_every_table(spark, csv_folder, tmp_path):
     assert counts["mart_promotion_performance"] == 1  # no merchandising: nothing is promoted
     names = {p.name for p in (tmp_path / "tables").iterdir()}
     assert {*EXPORTED, "feature_ready_households", "experiment_mde", "kpi_contract"} == names
+
+
+def test_quoted_line_breaks_at_any_range_border(spark, tmp_path, monkeypatch):
+    rng = random.Random(4)
+    rows = [
+        [str(i), "".join(rng.choices(['"', "\n", ",", "a", "é", "\r\n"], k=rng.randint(0, 9))), rng.choice(["", "x"])] for i in range(120)
+    ]
+    with open(tmp_path / "_notes.csv", "w", newline="", encoding="utf-8") as out:
+        csv.writer(out).writerows([["id", "note", "last"], *rows])
+    want = sorted((a, b or None, c or None) for a, b, c in rows)
+    for size in (7, 33, 100, 1 << 20):
+        monkeypatch.setattr("basketmart.sources.csv.RANGE_BYTES", size)
+        frame = read_hidden_csv(spark, str(tmp_path / "_notes.csv")).coalesce(8)
+        assert sorted(map(tuple, frame.collect())) == want
+
+
+def test_gzip_is_one_range(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("basketmart.sources.csv.RANGE_BYTES", 16)
+    with gzip.open(tmp_path / "_t.csv.gz", "wt") as out:
+        out.write("a,b\n" + "".join(f"{i},v{i}\n" for i in range(50)))
+    frame = read_hidden_csv(spark, str(tmp_path / "_t.csv.gz"))
+    assert sorted(int(r.a) for r in frame.collect()) == list(range(50)) and frame.rdd.getNumPartitions() == 1
+
+
+@pytest.mark.parametrize("row", ["1,2,3", "1"])
+@pytest.mark.parametrize("name", ["campaign_table.csv", "_campaign_table.csv"])
+def test_rows_with_a_wrong_number_of_fields_fail(spark, tmp_path, name, row):
+    put(tmp_path, name, "household_key,CAMPAIGN", "4,5", row)
+    with pytest.raises(Exception, match="MALFORMED|fields instead of 2"):
+        read_source(spark, str(tmp_path / name), "campaign_table").select("household_key").collect()
+
+
+def test_quoted_breaks_under_a_plain_name(spark, tmp_path):
+    put(tmp_path, "hh_demographic.csv", "household_key,AGE_DESC", '4,"65', '+"')
+    frame = read_source(spark, str(tmp_path / "hh_demographic.csv"), "hh_demographic", quoted_breaks=True)
+    assert frame.first().asDict() == {"household_key": 4, "age_desc": "65\n+"}
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_source(spark, str(tmp_path / "hh_demographic.csv"), "hh_demographic").collect()
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    materialize(spark.range(5), path)
+    broken = spark.range(3).select(F.when(F.col("id") < 2, F.col("id")).otherwise(F.raise_error(F.lit("stop"))).alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        materialize(broken, path)
+    assert spark.read.parquet(path).count() == 5
+    assert materialize(spark.range(7), path).count() == 7
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+
+
+def test_an_interrupted_swap_is_mended(spark, tmp_path):
+    path = tmp_path / "t"
+    materialize(spark.range(5), str(path))
+    path.rename(tmp_path / "t._replaced")  # as after a stop between the two renames
+    assert recover(spark, str(path)) and spark.read.parquet(str(path)).count() == 5
+    assert not recover(spark, str(path))
+    assert materialize(spark.read.parquet(str(path)).filter("id < 2"), str(path)).count() == 2  # reads what it replaces
