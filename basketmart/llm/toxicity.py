@@ -1,7 +1,7 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are learnt from labelled text, one from toxic and one from ordinary documents. A window is a
-word, or a part of a very long one, or a short one with its neighbour, between two fixed carrier phrases which both dictionaries hold; the carriers keep short windows from being stored
+word, or a part of a very long one, or two short ones in a row, between two fixed carrier phrases which both dictionaries hold; the carriers keep short windows from being stored
 raw, so the difference of the two compressed lengths is what the word itself costs. The gain of a window is that
 difference by its length. Largest gain, mean of the three largest and number of windows above a mark are turned into a
 score by a logistic calibration on labelled documents that no dictionary has seen.
@@ -63,7 +63,7 @@ class _Gain(dict):
             chain_log=18,
             search_log=7,
             min_match=4,
-            strategy=zstandard.STRATEGY_GREEDY,
+            strategy=zstandard.STRATEGY_LAZY2,
             write_content_size=0,
             write_checksum=0,
             write_dict_id=0,
@@ -106,7 +106,8 @@ def _cut(word: bytes, blankless: bool) -> list[bytes]:
 
 
 def windows(body: bytes) -> list[bytes]:
-    """Words without the marks at their edges; short ones with the next word (the last with the one before), long ones cut."""
+    """Words without the marks at their edges; each two short ones in a row together, one between long ones alone, very long
+    ones cut. Every word is part of a window."""
     words = [w for w in (w.strip(EDGES) for w in body.lower().split()) if w]
     blankless = not body.isascii() and _BLANKLESS.search(body) is not None
     out = []
@@ -117,10 +118,10 @@ def windows(body: bytes) -> list[bytes]:
             out += _cut(word, False)
         elif len(word) > 3:
             out.append(word)
-        elif i + 1 < len(words):
-            out.append(word + b" " + words[i + 1][:60])
-        else:
-            out.append(words[i - 1][-60:] + b" " + word if i else word)
+        elif i + 1 < len(words) and len(words[i + 1]) <= 3:
+            out.append(word + b" " + words[i + 1])
+        elif not i or len(words[i - 1]) > 3:
+            out.append(word)
     return out
 
 
