@@ -205,10 +205,12 @@ def tied_ranks(frame: DataFrame, column: str, series: dict[str, Column]) -> Data
     local = rows.withColumns(
         {f"_same{k}": F.sum(f"_in{k}").over(peers) for k in numbers} | {f"_upto{k}": F.sum(f"_in{k}").over(upto) for k in numbers}
     )
-    edges = local.filter(held).groupBy(SLICE).agg(
+    # counted before they are gathered, so a slice sends one row for each of its values at most
+    counted = rows.filter(held).groupBy(SLICE, "_value").agg(*[F.sum(f"_in{k}").alias(f"_same{k}") for k in numbers])
+    edges = counted.groupBy(SLICE).agg(
         F.min("_value").alias("_first"),
         F.max("_value").alias("_last"),
-        *[F.sum(f"_in{k}").alias(f"_n{k}") for k in numbers],
+        *[F.sum(f"_same{k}").alias(f"_n{k}") for k in numbers],
         *[F.min_by(f"_same{k}", "_value").alias(f"_first{k}") for k in numbers],
         *[F.max_by(f"_same{k}", "_value").alias(f"_last{k}") for k in numbers],
     )
