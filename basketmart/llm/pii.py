@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -36,12 +37,23 @@ HOMOGLYPHS = {
     "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "․": ".", "。": ".",
 }
 HOMOGLYPHS |= {chr(0xFEE0 + c): chr(c) for c in range(0x21, 0x7F)}  # full-width forms
+# by Unicode's own tables: decimal digits of any script, mathematical letters
+HOMOGLYPHS |= {chr(c): str(unicodedata.decimal(chr(c))) for c in range(0x80, 0x20000) if chr(c).isdecimal()}
+HOMOGLYPHS |= {
+    chr(c): plain for c in range(0x1D400, 0x1D800) if (plain := unicodedata.normalize("NFKC", chr(c))).isascii() and len(plain) == 1
+}
 ZERO_WIDTH = "­​‌‍⁠﻿"
-# Spelled digits.
-DIGITS = {w: str(n) for n, w in enumerate("zero one two three four five six seven eight nine".split())}
+# Spelled digits from zero to nine, a line for each language.
+SPELLED = [
+    "zero one two three four five six seven eight nine",
+    "null eins zwei drei vier fünf sechs sieben acht neun",
+    "zéro un deux trois quatre cinq six sept huit neuf",
+    "cero uno dos tres cuatro cinco seis siete ocho nueve",
+]
+DIGITS = {word: str(n) for line in SPELLED for n, word in enumerate(line.split())}
 
 _HOMO = re.compile("[" + "".join(map(re.escape, HOMOGLYPHS)) + ZERO_WIDTH + "]")
-_WORD = "|".join(DIGITS)
+_WORD = "|".join(sorted(DIGITS, key=lambda word: (-len(word), word)))  # "uno" before "un"
 _TOKEN = rf"(?:{_WORD}|[0-9]+)"
 _DISGUISED = r"[ -]+dot[ -]+|[ \t]*[\[({<][ \t]*dot[ \t]*[\])}>][ \t]*"
 _SPELLED = re.compile(
@@ -50,8 +62,7 @@ _SPELLED = re.compile(
     re.I,
 )
 _ONE = re.compile(rf"plus|{_WORD}|[0-9]+", re.I)
-_BRACKET = re.compile(r"[ \t]*[\[({<][ \t]*(at|dot)[ \t]*[\])}>][ \t]*", re.I)
-_BRACKET_HINT = re.compile(r"[\[({<][ \t]*(?:at|dot)[ \t]*[\])}>]", re.I)
+_BRACKET = re.compile(r"[\[({<][ \t]*(at|dot)[ \t]*[\])}>]", re.I)
 _PLAIN = re.compile(
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}(@|[ \t]+at[ \t]+)[A-Za-z0-9-]{1,63}"
     r"(?:(?:[ \t]+dot[ \t]+|\.)[A-Za-z0-9-]{1,63})*(?:[ \t]+dot[ \t]+|\.)[A-Za-z]{2,63}(?![A-Za-z0-9-])",
@@ -179,7 +190,15 @@ def _spelled_edits(text: str) -> list[tuple[int, int, str]]:
 
 
 def _at_dot(tape: _Tape) -> None:
-    edits = [(m.start(), m.end(), "@" if m[1].lower() == "at" else ".") for m in _BRACKET.finditer(tape.text)]
+    edits, text, last = [], tape.text, 0
+    for m in _BRACKET.finditer(text):  # blanks around a bracket belong to it
+        start, end = m.span()
+        while start > last and text[start - 1] in " \t":
+            start -= 1
+        while end < len(text) and text[end] in " \t":
+            end += 1
+        edits.append((start, end, "@" if m[1].lower() == "at" else "."))
+        last = end
     tape.rewrite(edits)
     edits, text, last = [], tape.text, 0
     for m in _PLAIN.finditer(text) if _PLAIN_HINT.search(text) else ():
@@ -199,7 +218,7 @@ def _suspicious(text: str) -> bool:
     """Whether any transducer rewrites the text; their own patterns decide."""
     if not text.isascii() and _HOMO.search(text):
         return True
-    if _BRACKET_HINT.search(text) or (_PLAIN_HINT.search(text) and _PLAIN.search(text)):
+    if _BRACKET.search(text) or (_PLAIN_HINT.search(text) and _PLAIN.search(text)):
         return True
     return bool(_spelled_edits(text))
 

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from basketmart.llm.decontamination import decontaminate
-from basketmart.llm.minhash import near_duplicates
+from basketmart.llm.minhash import one_of_each
 from basketmart.llm.packing import pack
 from basketmart.llm.pii import redact_documents
 from basketmart.llm.text import held_out, read_table
@@ -23,11 +22,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five words, 0.8), the one with the smallest id.
 
-    Documents without words are linked with nothing and stay. Rows that repeat an id are told apart by nothing else, so all
-    rows of a kept id stay.
+    Documents without words are linked with nothing and stay. Rows are judged by their texts, so rows that repeat an id or
+    have none lose no text of their own.
     """
-    dropped = near_duplicates(docs.select("doc_id", "text"), size=5, percent=80).filter(~F.col("kept")).select("doc_id")
-    return docs.join(dropped.distinct(), "doc_id", "left_anti").select(*docs.columns)
+    return one_of_each(docs, size=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

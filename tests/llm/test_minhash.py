@@ -118,3 +118,38 @@ def test_kept_is_one_of_each_component(spark):
     got = M.op6_circulant_minhash(spark, "/root/testdata/sf0.001")
     one = got.groupBy("component_id").agg(F.sum(F.col("kept").cast("int")).alias("n"))
     assert one.filter("n <> 1").count() == 0
+
+
+WORDS = [f"w{i}" for i in range(60)]
+T = " ".join(WORDS)
+
+
+def test_repeated_and_null_ids_lose_no_link(spark):
+    other = "nothing of the kind is said in here"
+    rows = [(1, T), (5, other), (5, T + " more"), (None, T), (None, other), (None, "alone with these few words"), (7, None)]
+    got = M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
+    seen = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0, r.kept) for r in got)
+    assert seen == sorted(
+        [(1, 58, 1, True), (5, 6, 5, True), (5, 59, 1, False), (0, 58, 1, False), (0, 6, 5, False), (0, 3, 0, True), (7, 0, 7, True)]
+    )
+
+
+def test_one_of_each_goes_by_texts(spark):
+    rows = [(1, T), (5, T), (5, "a text that only this row has"), (9, ""), (9, ""), (8, None), (None, "no id and said once only")]
+    rows += [(3, "said by one id in two rows"), (3, "said by one id in two rows"), (3, "Said by one id in two rows"), (None, T)]
+    docs = spark.createDataFrame([(i, t, n, 0) for n, (i, t) in enumerate(rows)], "doc_id long, text string, node long, row_key int")
+    got = M.one_of_each(docs)
+    assert got.columns == docs.columns
+    left = [(r.doc_id or 0, r.text or "") for r in got.collect()]
+    assert len({text for i, text in left if i == 3}) == 1
+    assert sorted(row for row in left if row[0] != 3) == sorted(
+        [(1, T), (5, "a text that only this row has"), (9, ""), (9, ""), (8, ""), (0, "no id and said once only")]
+    )
+    assert M.one_of_each(docs.limit(0)).count() == 0
+
+
+def test_long_texts_make_smaller_blocks(spark, monkeypatch):
+    monkeypatch.setattr(M, "BLOCK_SHINGLES", 200)
+    rows = [(i, " ".join(WORDS[:50] + [f"x{i}_{k}" for k in range(i % 7)])) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(M.near_duplicates(docs, 3, 85)) == brute(rows, 3, 85)

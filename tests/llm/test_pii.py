@@ -1,3 +1,4 @@
+import time
 import hashlib
 import re
 
@@ -146,3 +147,31 @@ def test_whole_table(spark):
         assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
         assert r.n_email == sum(k == 0 for _, k, _ in plain) and r.n_phone == sum(k == 3 for _, k, _ in plain)
         assert set(listed.split(",")) <= set(r.spans.split(","))
+
+
+def test_blanks_beside_a_bracket_take_linear_time():
+    text = "jo" + " " * 100_000 + "[at]" + "\t " * 50_000 + "example.org"
+    start = time.perf_counter()
+    assert [(a, b) for a, kind, b in hidden_spans(text, [])] == [(0, len(text))]
+    assert time.perf_counter() - start < 2
+    start = time.perf_counter()
+    hidden_spans("x" + " " * 200_000 + "y [at] z", [])
+    assert time.perf_counter() - start < 1
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "+٤٩ ٣٠ ١٢٣٤٥٦٧٨",
+        "+𝟜𝟡 𝟛𝟘 𝟙𝟚𝟛𝟜𝟝𝟞𝟟𝟠",
+        "plus vier neun drei null eins zwei drei vier fünf sechs",
+        "plus trois trois un deux trois quatre cinq six sept huit",
+        "plus tres cuatro uno dos tres cuatro cinco seis siete ocho",
+    ],
+)
+def test_digits_of_other_scripts_and_languages(text):
+    assert hidden_spans(f"Tel: {text}.", []) == [(5, 3, 5 + len(text))]
+
+
+def test_mathematical_letters_are_letters():
+    assert hidden_spans("𝒋𝒐@example.org", []) == [(0, 0, 14)]
