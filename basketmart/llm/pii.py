@@ -52,14 +52,20 @@ SPELLED = [
 ]
 DIGITS = {word: str(n) for line in SPELLED for n, word in enumerate(line.split())}
 
-_HOMO = re.compile("[" + "".join(map(re.escape, HOMOGLYPHS)) + ZERO_WIDTH + "]")
-_WORD = "|".join(sorted(DIGITS, key=lambda word: (-len(word), word)))  # "uno" before "un"
+_HOMO = frozenset(HOMOGLYPHS) | frozenset(ZERO_WIDTH)
+
+
+def _any_case(word: str) -> str:
+    """Classes rather than re.I, which would try every word at every place."""
+    return "".join(f"[{c}{c.upper()}]" for c in word)
+
+
+_WORD = "|".join(map(_any_case, sorted(DIGITS, key=lambda word: (-len(word), word))))  # "uno" before "un"
 _TOKEN = rf"(?:{_WORD}|[0-9]+)"
-_DISGUISED = r"[ -]+dot[ -]+|[ \t]*[\[({<][ \t]*dot[ \t]*[\])}>][ \t]*"
+_DISGUISED = r"[ -]+[dD][oO][tT][ -]+|[ \t]*[\[({<][ \t]*[dD][oO][tT][ \t]*[\])}>][ \t]*"
 _SPELLED = re.compile(
-    rf"(?<![A-Za-z0-9])(?:plus[ -]+{_TOKEN}(?:(?:{_DISGUISED}|\.|[ -]+){_TOKEN})*|{_TOKEN}(?:(?:{_DISGUISED}|\.|[ -]+){_TOKEN})+)"
+    rf"(?<![A-Za-z0-9])(?:[pP][lL][uU][sS][ -]+{_TOKEN}(?:(?:{_DISGUISED}|\.|[ -]+){_TOKEN})*|{_TOKEN}(?:(?:{_DISGUISED}|\.|[ -]+){_TOKEN})+)"
     r"(?![A-Za-z0-9])",
-    re.I,
 )
 _ONE = re.compile(rf"plus|{_WORD}|[0-9]+", re.I)
 _BRACKET = re.compile(r"[\[({<][ \t]*(at|dot)[ \t]*[\])}>]", re.I)
@@ -166,7 +172,8 @@ class _Tape:
 
 
 def _homoglyphs(tape: _Tape) -> None:
-    tape.rewrite([(m.start(), m.end(), HOMOGLYPHS.get(m[0], "")) for m in _HOMO.finditer(tape.text)])
+    if not tape.text.isascii():
+        tape.rewrite([(i, i + 1, HOMOGLYPHS.get(c, "")) for i, c in enumerate(tape.text) if c in _HOMO])
 
 
 def _spelled_edits(text: str) -> list[tuple[int, int, str]]:
@@ -216,7 +223,7 @@ def _at_dot(tape: _Tape) -> None:
 
 def _suspicious(text: str) -> bool:
     """Whether any transducer rewrites the text; their own patterns decide."""
-    if not text.isascii() and _HOMO.search(text):
+    if not text.isascii() and not _HOMO.isdisjoint(text):
         return True
     if _BRACKET.search(text) or (_PLAIN_HINT.search(text) and _PLAIN.search(text)):
         return True
