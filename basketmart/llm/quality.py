@@ -32,7 +32,7 @@ CLASSES = [
 ]
 SYMBOLS = b"#*$%&|<>"
 COMMON = 100  # words of a reference
-LONGEST = 8  # characters of a word that a reference may hold
+LONGEST = 8  # characters of a word that a reference holds where a caller sets no other limit; the query has none
 LEAST_WORDS = 2_000  # of a language in all, for it to have a reference
 MOST = 1_000  # languages whose references are broadcast at once
 EVERY = ""  # the reference for texts without a language
@@ -99,12 +99,13 @@ def repeated_lines(body: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def _characters(word: bytes) -> int:
-    return len(word) if len(word) <= LONGEST or word.isascii() else len(word.decode("utf-8", "replace"))
+def _fits(word: bytes, longest: int | None) -> bool:
+    return longest is None or len(word) <= longest or not word.isascii() and len(word.decode("utf-8", "replace")) <= longest
 
 
-def _reference_counts(rows: DataFrame) -> DataFrame:
-    """``lang``, ``kind`` (0: class, 1: word, 2: all words), ``item``, ``n``; each text also counts for EVERY."""
+def _reference_counts(rows: DataFrame, longest: int | None = LONGEST) -> DataFrame:
+    """``lang``, ``kind`` (0: class, 1: word, 2: all words), ``item``, ``n``; each text also counts for EVERY. ``longest`` is
+    the limit on a word's characters, None for words of any length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,9 +116,9 @@ def _reference_counts(rows: DataFrame) -> DataFrame:
                 classes[lang] += class_counts(body)
             out = [[], [], [], []]
             for lang, counts in words.items():
-                short = [(1, w, n) for w, n in counts.items() if _characters(w) <= LONGEST]
+                held = [(1, w, n) for w, n in counts.items() if _fits(w, longest)]
                 cells = [(0, b"%d" % i, int(n)) for i, n in enumerate(classes[lang])]
-                for kind, item, n in [*short, *cells, (2, b"", counts.total())]:
+                for kind, item, n in [*held, *cells, (2, b"", counts.total())]:
                     for column, value in zip(out, (lang, kind, item, n)):
                         column.append(value)
             kinds = (pa.string(), pa.int32(), pa.binary(), pa.int64())
@@ -148,9 +149,9 @@ def _languages(counts: DataFrame) -> list[str]:
     return [r.lang for r in enough.select("lang").orderBy("lang").collect()]
 
 
-def references(docs: DataFrame) -> dict[str, Reference]:
+def references(docs: DataFrame, longest: int | None = LONGEST) -> dict[str, Reference]:
     """One for each language with LEAST_WORDS words or more, and the one for every language together."""
-    counts = stored(_reference_counts(_with_lang(docs)))
+    counts = stored(_reference_counts(_with_lang(docs), longest))
     return _references(counts, _languages(counts))
 
 
@@ -225,9 +226,9 @@ def judge_quality(docs: DataFrame, known: dict[str, Reference]) -> DataFrame:
     return by_batch(_with_lang(docs), work, _MEASURED, ["doc_id", "body", "lang"])
 
 
-def judge_by_language(docs: DataFrame) -> DataFrame:
+def judge_by_language(docs: DataFrame, longest: int | None = LONGEST) -> DataFrame:
     """The same with references made from ``docs``; more than MOST languages are judged a group after the other."""
-    counts = stored(_reference_counts(_with_lang(docs)))
+    counts = stored(_reference_counts(_with_lang(docs), longest))
     langs = _languages(counts)
     groups = [langs[i : i + MOST] for i in range(0, len(langs), MOST)]
     if len(groups) < 2:
@@ -244,4 +245,4 @@ def judge_by_language(docs: DataFrame) -> DataFrame:
 
 
 def op3_divergence_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return judge_by_language(read_table(spark, folder, "documents"))
+    return judge_by_language(read_table(spark, folder, "documents"), longest=None)

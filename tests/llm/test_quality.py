@@ -90,3 +90,21 @@ def test_rare_languages_are_not_judged_by_others(spark, monkeypatch):
     assert all(got[100 + i][7] for i in range(20)) and got[200][7] and got[200][8] == got[200][9] == 0
     monkeypatch.setattr(Q, "MOST", 1)
     assert sorted(map(tuple, Q.judge_by_language(docs).collect())) == want
+
+
+def test_the_query_counts_words_of_any_length(spark, tmp_path):
+    """Two texts of long words only: one in the language's own words, one in words that nobody else uses."""
+    import random
+
+    rng = random.Random(4)
+    own = [f"langwierigkeit{chr(97 + i)}" for i in range(20)]
+    other = [f"sonderbarkeiten{chr(97 + i)}" for i in range(20)]
+    rows = [(i, " ".join(rng.choice(own) for _ in range(300)), "de") for i in range(30)]
+    rows += [(100, " ".join(rng.choice(other) for _ in range(300)), "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    known = references(docs, longest=None)
+    assert all(w.encode() in known["de"].places for w in own) and not references(docs)["de"].places
+    got = {r.doc_id: r for r in op3_divergence_rules(spark, str(tmp_path)).collect()}
+    assert all(got[i].word_distance < 0.44 for i in range(30))
+    assert got[100].word_distance > 0.44 and not got[100].kept
