@@ -49,12 +49,24 @@ def _basket_part(baskets: DataFrame) -> DataFrame:
 
 
 def _product_part(tx: DataFrame, products: DataFrame) -> DataFrame:
-    """Distinct products and categories; products are made distinct before the join so it sees far fewer rows."""
+    """Distinct products and categories; products are made distinct before the join so it sees far fewer rows.
+
+    One of a product's categories, if it is listed under several, stands for it in the count of products. So rows are
+    counted per category and then per key, and not copied for two distinct counts.
+    """
     bought = tx.select("household_key", period_of_week("week_no").alias("period_id"), "product_id").distinct()
-    labelled = bought.join(category_labels(products), "product_id", "left")
-    return labelled.groupBy(*KEY).agg(
-        F.count_distinct("product_id").alias("distinct_product_count"),
-        F.count_distinct(F.coalesce("commodity_desc", "department", F.lit(UNKNOWN))).alias("distinct_category_count"),
+    listed = category_labels(products).select(
+        "product_id", F.coalesce("commodity_desc", "department", F.lit(UNKNOWN)).alias("category")
+    )
+    # a window holds the categories of one product
+    place = F.row_number().over(W.partitionBy("product_id").orderBy("category"))
+    labelled = bought.join(listed.distinct().withColumn("place", place), "product_id", "left")
+    stands = F.col("product_id").isNotNull() & (F.coalesce("place", F.lit(1)) == 1)
+    per_category = labelled.groupBy(*KEY, F.coalesce("category", F.lit(UNKNOWN)).alias("category")).agg(
+        F.count_if(stands).alias("products")
+    )
+    return per_category.groupBy(*KEY).agg(
+        F.sum("products").alias("distinct_product_count"), F.count(F.lit(1)).alias("distinct_category_count")
     )
 
 

@@ -286,3 +286,53 @@ def test_window_totals_agree_with_adding_up_the_days(spark):
         assert r["households"] == len(sums)
         assert r["avg_pre_spend"] == pytest.approx(sum(a for a, _ in sums) / len(sums) / 10_000)
         assert r["avg_post_spend"] == pytest.approx(sum(b for _, b in sums) / len(sums) / 10_000)
+
+
+def test_products_and_categories_of_a_period_are_counted_without_copying_rows(spark):
+    """A product listed twice counts once, its two categories both; a NULL product counts as an unknown category only."""
+    from basketmart.plans.household_period import _product_part
+
+    s = staged(
+        spark,
+        [
+            {"product_id": 1},
+            {"product_id": 1, "basket_id": 2},
+            {"product_id": 2},
+            {"product_id": 9},
+            {"product_id": None},
+            {"household_key": 2, "product_id": None},
+        ],
+        product=[
+            (1, 1, "b", "s", "D", "C", "x"),
+            (1, 1, "b", "s", "D", "E", "x"),
+            (2, 1, "b", "s", "D", "C", "x"),
+            (2, 1, "b", "s", "D", "C", "y"),
+        ],
+    )
+    part = _product_part(s["transactions"], s["products"])
+    assert [tuple(r) for r in part.orderBy("household_key").collect()] == [(1, 1, 3, 3), (2, 1, 0, 1)]
+    assert "Expand" not in part._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_sizes_of_tasks_are_lowered_but_never_raised(spark):
+    from basketmart.session import MOST_BYTES, tune
+
+    for key, most in MOST_BYTES.items():
+        before = spark.conf.get(key)
+        for given, want in (("64MB", str(most)), ("5kb", "5kb")):
+            spark.conf.set(key, given)
+            assert tune(spark).conf.get(key) == want
+        spark.conf.set(key, before)
+
+
+def test_cells_of_a_household_lie_together(spark, many_slices):
+    from pyspark.sql import functions as F
+
+    from basketmart.plans.matrix import scaled_cells
+    from basketmart.session import stored
+
+    made = spark.range(2000).selectExpr("id % 100 as household_key", "concat('C', id div 100) as commodity_desc", "id * 100 as spend_u")
+    cells = stored(scaled_cells(made))
+    placed = cells.select("household_key", F.input_file_name().alias("file")).distinct()
+    assert placed.select("file").distinct().count() > 1
+    assert placed.count() == 100
