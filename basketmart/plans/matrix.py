@@ -37,16 +37,21 @@ def matrix_profile(cells: DataFrame) -> DataFrame:
 
 
 def scaled_cells(cells: DataFrame) -> DataFrame:
-    """Cells divided by their column's population deviation, zeros included; a constant column is left as it is."""
+    """Cells divided by their column's population deviation, zeros included; a constant column is left as it is.
+
+    A household's cells, at most one for each commodity, lie together, so once stored, each sum by household is formed where
+    the cells are read and shuffles one row a household.
+    """
     households = cells.agg(F.count_distinct("household_key").cast("double")).scalar()
     spend = F.col("spend_u") / 10000.0
     columns = cells.groupBy("commodity_desc").agg(
         (F.sum(spend * spend) / households - (F.sum(spend) / households) ** 2).alias("variance")
     )
     deviation = F.when(F.col("variance") > 0, F.sqrt("variance")).otherwise(1.0)
-    return cells.join(columns, "commodity_desc").select(
+    scaled = cells.join(columns, "commodity_desc").select(
         "household_key", "commodity_desc", (spend / deviation).alias("x")
     )
+    return scaled.repartition("household_key")
 
 
 def nearest_to_first_household(cells: DataFrame) -> DataFrame:
