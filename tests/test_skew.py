@@ -1,6 +1,7 @@
 """Hot keys and joins that cannot be broadcast give the same results as the plain definitions."""
 
 import random
+import re
 
 import pytest
 from compare import connect, differences
@@ -8,6 +9,7 @@ from data import dicts, staged
 from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
+from basketmart import catalog
 from basketmart.plans import baskets, campaigns, categories, customers, products, promotion
 
 FOLDER = "/root/testdata/sf0.001"
@@ -154,3 +156,35 @@ def test_hot_campaign_is_cut_into_quartiles(spark, no_broadcast, hot):
     assert {r[0]: r[1] for r in sizes.collect()} == want
     segments = customers.household_segments(baskets.mart_baskets(hot["transactions"]))
     assert segments.count() == hot["transactions"].select("household_key").distinct().count()
+
+
+@pytest.fixture()
+def receipts(spark, tmp_path):
+    """A folder with 40 orders of one to five lines, one of them without a household."""
+    orders = [(o, None if o == 7 else o % 9, f"199{5 + o % 3}-03-{o % 28 + 1:02d}") for o in range(1, 41)]
+    lines = [
+        (o, o * line % 13 + 1, line, o % 4, float(line), 10.0 * line + o, 0.05, "N", "O")
+        for o in range(1, 41)
+        for line in range(1, o % 5 + 2)
+    ]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate string").withColumn(
+        "o_orderdate", F.to_timestamp("o_orderdate")
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    schema = "l_orderkey long, l_partkey long, l_linenumber int, l_suppkey long, l_quantity double, l_extendedprice double, "
+    schema += "l_discount double, l_returnflag string, l_linestatus string"
+    spark.createDataFrame(lines, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("name", ["mart_baskets", "mart_baskets_legacy", "kpi_summary"])
+def test_baskets_need_no_shuffle_beyond_the_join(spark, no_broadcast, receipts, name):
+    plan = queries()[name](spark, receipts)._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"hashpartitioning\((.*?),? \d+\)", plan)
+    basket_keys = [key for key in keys if "active_households" not in key and not re.fullmatch(r"household_key#\d+L?", key)]
+    assert len(basket_keys) == 2 and all("orderkey" in key and "," not in key for key in basket_keys)
+
+
+def test_stored_baskets_equal_those_of_the_stored_lines(spark, no_broadcast, receipts):
+    tables = catalog.staged(spark, receipts)
+    got, want = tables["stored_baskets"], baskets.mart_baskets(tables["transactions"])
+    assert got.count() == 40 and got.exceptAll(want).count() == want.exceptAll(got).count() == 0
