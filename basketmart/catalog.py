@@ -31,7 +31,7 @@ from basketmart.plans import similarity as S
 from basketmart.plans import statistics as T
 from basketmart.plans import validation as V
 from basketmart.plans import warehouse
-from basketmart.plans.staging import stage_all
+from basketmart.plans.staging import stage_all, stage_transactions
 from basketmart.session import scratch_path, stored, tune
 from basketmart.sources.csv import read_source
 from basketmart.sources.sinks import export_csv
@@ -69,9 +69,13 @@ def _stored_once(spark: SparkSession, folder: str, name: str, build: Callable[[]
 def staged(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
     """Staged tables of a folder; each is planned when a query asks for it."""
     tune(spark)
-    views = stage_all(star_sources(spark, folder))
+    sources = star_sources(spark, folder)
+    views = stage_all(sources)
 
     def build(name: str) -> DataFrame:
+        if name == "transactions":
+            # stored as read: what staging adds follows from these columns
+            return stage_transactions(_stored_once(spark, folder, name, partial(sources.__getitem__, "transaction_data")))
         if name in DERIVED_FROM:
             return _stored_once(spark, folder, name, partial(views.__getitem__, name))
         return views[name]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial, reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from basketmart.session import stored
 CATEGORY = ["department", "commodity_desc"]
 SMALL_GROUP_HOUSEHOLDS = 50
 UNKNOWN = "UNKNOWN"
+NUMBER = "_category"
 
 
 def category_labels(products: DataFrame) -> DataFrame:
@@ -32,40 +35,48 @@ def labelled_lines(lines: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
+def numbered_categories(products: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Product id with the number of its category, and every category with its number; 0 is the unknown category.
+
+    Shuffles of lines carry the number in place of two texts. Both tables are stored: the numbers are taken once, and
+    joins are planned by the measured sizes.
+    """
+    listed = products.select("product_id", *[F.coalesce(name, F.lit(UNKNOWN)).alias(name) for name in CATEGORY])
+    known = (F.col("department") != UNKNOWN) | (F.col("commodity_desc") != UNKNOWN)
+    categories = stored(
+        listed.select(*CATEGORY).filter(known).distinct().withColumn(NUMBER, F.monotonically_increasing_id() + 1)
+    )
+    numbered = listed.join(categories, CATEGORY, "left").select("product_id", F.coalesce(NUMBER, F.lit(0)).alias(NUMBER))
+    unknown = products.sparkSession.range(1).select(*[F.lit(UNKNOWN).alias(name) for name in CATEGORY], F.col("id").alias(NUMBER))
+    return stored(numbered), categories.unionByName(unknown)
+
+
 def _category_measures(
     lines: DataFrame, products: DataFrame, sums: dict[str, Column], period: list[str] | None = None
 ) -> DataFrame:
     """Sums, distinct households and distinct baskets per category (and period).
 
-    Lines are reduced to product-household and product-basket pairs before the category is looked up: the join sees
-    fewer rows, the wide text keys enter late, and no task ever holds a whole category, since pairs are spread by
-    household or basket. Both parts meet in one aggregation.
+    Lines get the number of their category, and only it and the counted key are shuffled, once per key; sums are added up
+    before the shuffle. No task ever holds a whole category, since pairs are spread by household or basket. All parts meet
+    in one aggregation, the text keys enter after it.
     """
-    period = period or []
-    totals = [F.sum(name).alias(name) for name in sums]
-    by_household = lines.groupBy("product_id", *period, "household_key").agg(
-        *[F.sum(column).alias(name) for name, column in sums.items()]
-    )
-    households = (
-        labelled_lines(by_household, products)
-        .groupBy(*CATEGORY, *period, "household_key")
-        .agg(*totals)
-        .select(*CATEGORY, *period, *sums, F.col("household_key").isNotNull().cast("long").alias("households"))
-    )
-    pairs = lines.select("product_id", *period, "basket_id").distinct()
-    baskets = (
-        labelled_lines(pairs, products)
-        .select(*CATEGORY, *period, "basket_id")
-        .distinct()
-        .select(*CATEGORY, *period, F.col("basket_id").isNotNull().cast("long").alias("baskets"))
-    )
+    group = [NUMBER, *(period or [])]
+    numbered, categories = numbered_categories(products)
+    labelled = lines.join(numbered, "product_id", "left").withColumn(NUMBER, F.coalesce(NUMBER, F.lit(0)))
+
+    def distinct_part(key: str, name: str) -> DataFrame:
+        pairs = labelled.select(*group, key).distinct()
+        return pairs.select(*group, F.col(key).isNotNull().cast("long").alias(name))
+
+    summed = labelled.select(*group, *[column.alias(name) for name, column in sums.items()])
+    parts = [summed, distinct_part("household_key", "households"), distinct_part("basket_id", "baskets")]
+    stacked = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), parts)
     # a category may take a third of all sales, more than a bigint of units holds
     wide = [wide_sum(name).alias(name) if name.endswith("_u") else F.sum(name).alias(name) for name in sums]
-    return (
-        households.unionByName(baskets, allowMissingColumns=True)
-        .groupBy(*CATEGORY, *period)
-        .agg(*wide, F.sum("households").alias("households"), F.sum("baskets").alias("baskets"))
+    measures = stacked.groupBy(*group).agg(
+        *wide, F.sum("households").alias("households"), F.sum("baskets").alias("baskets")
     )
+    return measures.join(categories, NUMBER).drop(NUMBER)
 
 
 def mart_categories(tx: DataFrame, products: DataFrame, legacy: bool = False) -> DataFrame:

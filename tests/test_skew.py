@@ -188,3 +188,43 @@ def test_stored_baskets_equal_those_of_the_stored_lines(spark, no_broadcast, rec
     tables = catalog.staged(spark, receipts)
     got, want = tables["stored_baskets"], baskets.mart_baskets(tables["transactions"])
     assert got.count() == 40 and got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+
+@pytest.mark.parametrize("make, period", [(categories.mart_categories, []), (categories.mart_category_period, ["quarter_like_period"])])
+def test_categories_shuffle_numbers_once_per_counted_key(spark, hot, make, period):
+    frame = make(hot["transactions"], hot["products"])
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"hashpartitioning\((.*?),? \d+\)", plan)
+    assert not any("department" in key or "product_id" in key for key in keys)
+    counted = [key for key in keys if "_category" in key and ("basket_id" in key or "household_key" in key)]
+    assert len(counted) == 2 and all(len(key.split(",")) == 2 + len(period) for key in counted)
+
+
+def test_category_numbers_tell_categories_apart(spark, no_broadcast):
+    """Missing labels, labels that read UNKNOWN, missing and repeated products, missing households, baskets and weeks."""
+    labels = [(1, "A", "B"), (2, "A", None), (3, None, None), (4, "UNKNOWN", "UNKNOWN"), (5, "A", "B"), (5, "C", "B"), (5, "C", "B")]
+    rows = [
+        {"product_id": p, "household_key": h, "basket_id": b, "week_no": w, "sales_value": 1.0}
+        for p, h, b, w in [(1, 1, 1, 1), (1, 1, 2, 20), (5, 2, None, 1), (2, 1, 1, 1), (3, None, 3, 1), (4, 1, 4, 1),
+                           (9, 1, 3, 1), (None, 3, 3, 1), (5, 1, 1, None)]
+    ]
+    s = staged(spark, rows, product=[(p, 1, "b", "s", d, c, "x") for p, d, c in labels])
+    periods = categories.mart_category_period(s["transactions"], s["products"]).collect()
+    got = {(r["department"], r["commodity_desc"], r["quarter_like_period"]): (r["sales"], r["households"], r["baskets"]) for r in periods}
+    assert len(got) == len(periods) and got == {
+        ("A", "B", 1): (2.0, 2, 1),
+        ("A", "B", 2): (1.0, 1, 1),
+        ("A", "B", None): (1.0, 1, 1),
+        ("A", "UNKNOWN", 1): (1.0, 1, 1),
+        ("C", "B", 1): (2.0, 1, 0),
+        ("C", "B", None): (2.0, 1, 1),
+        ("UNKNOWN", "UNKNOWN", 1): (4.0, 2, 2),
+    }
+    whole = categories.mart_categories(s["transactions"], s["products"]).collect()
+    got = {(r["department"], r["commodity_desc"]): (r["category_sales"], r["household_count"], r["basket_penetration"]) for r in whole}
+    assert got == {
+        ("A", "B"): (4.0, 2, 2 / 4),
+        ("A", "UNKNOWN"): (1.0, 1, 1 / 4),
+        ("C", "B"): (4.0, 2, 1 / 4),
+        ("UNKNOWN", "UNKNOWN"): (4.0, 2, 2 / 4),
+    }
