@@ -2,6 +2,8 @@
 
 Measures are taken with one aggregation per table and grain, stacked into ``(metric, value)`` rows and turned back into
 one wide row; every check is an expression over that row. Distinct counts run on tables already reduced to their keys.
+Sums over all lines need no grain and no shuffle. Groups of measures are written one after the other, so that the shuffles
+of one group are gone before those of the next are made.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from basketmart.plans.categories import CATEGORY, SMALL_GROUP_HOUSEHOLDS
 from basketmart.plans.customers import household_totals
 from basketmart.plans.features import LABELS
 from basketmart.plans.promotion import GRAIN
+from basketmart.session import stored
 
 TOLERANCE = 0.01
 SUSPICIOUS_QUANTITY = 100
@@ -78,6 +81,11 @@ class _Measures:
     def add_rows(self, rows: DataFrame, names: list[str]) -> None:
         self.parts.append((rows.select("metric", F.col("value").cast("double").alias("value")), names))
 
+    def settle(self) -> None:
+        """Write the measures taken so far, a few rows: all of them are evaluated now, in one job."""
+        rows = stored(reduce(DataFrame.unionByName, [part for part, _ in self.parts]))
+        self.parts = [(rows, [name for _, names in self.parts for name in names])]
+
     def wide(self) -> DataFrame:
         return gathered(self.parts)
 
@@ -86,36 +94,45 @@ def _count() -> Column:
     return F.count(F.lit(1))
 
 
+def repeated_rows(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows that others equal in all the columns, one for each set of them, with their number ``n``.
+
+    Equal rows have equal hashes, so a first shuffle carries hashes only; rows whose hash occurs once are equal to no other.
+    The rest, compared by all their columns, are few unless the table is listed twice.
+    """
+    code = F.xxhash64(*columns).alias("_code")
+    several = stored(rows.select(code).groupBy("_code").agg(_count().alias("n")).filter("n > 1").select("_code"))
+    likely = rows.select(code, *columns).join(several, "_code", "left_semi")
+    return likely.groupBy("_code", *columns).agg(_count().alias("n")).filter("n > 1").drop("_code")
+
+
 def _measure_transactions(m: _Measures, tx: DataFrame) -> None:
     sales, discount = units("sales_value"), discount_units()
-    receipts = tx.groupBy("household_key", "basket_id", "store_id", "day", "week_no").agg(
-        _count().alias("lines"),
-        F.sum(sales).alias("sales_u"),
-        F.sum("quantity").alias("quantity"),
-        F.count_if(F.col("sales_value") < 0).alias("negative_sales"),
-        F.count_if(F.col("sales_value") == 0).alias("zero_sales"),
-        F.count_if(F.col("quantity") < 0).alias("negative_quantity"),
-        F.count_if(F.col("quantity") == 0).alias("zero_quantity"),
-        F.count_if(F.col("quantity") > SUSPICIOUS_QUANTITY).alias("large_quantity"),
-        F.count_if(F.col("trans_hour").isNull()).alias("invalid_time"),
-        F.count_if((discount > sales) & (sales > 0)).alias("deep_discount"),
-    )
-    summed = [name for name in receipts.columns if name not in {"household_key", "basket_id", "store_id", "day", "week_no"}]
     m.add(
-        receipts,
-        **{f"tx_{name}": wide_sum(name) if name == "sales_u" else F.sum(name) for name in summed},
-        tx_baskets=F.count_distinct("basket_id"),
-        tx_households=F.count_distinct("household_key"),
-        tx_stores=F.count_distinct("store_id"),
-        tx_days=F.count_distinct("day"),
-        tx_weeks=F.count_distinct("week_no"),
+        tx,
+        tx_lines=_count(),
+        tx_sales_u=wide_sum(sales),
+        tx_quantity=F.sum("quantity"),
+        tx_negative_sales=F.count_if(F.col("sales_value") < 0),
+        tx_zero_sales=F.count_if(F.col("sales_value") == 0),
+        tx_negative_quantity=F.count_if(F.col("quantity") < 0),
+        tx_zero_quantity=F.count_if(F.col("quantity") == 0),
+        tx_large_quantity=F.count_if(F.col("quantity") > SUSPICIOUS_QUANTITY),
+        tx_invalid_time=F.count_if(F.col("trans_hour").isNull()),
+        tx_deep_discount=F.count_if((discount > sales) & (sales > 0)),
         tx_min_day=F.min("day"),
         tx_max_day=F.max("day"),
         tx_min_week=F.min("week_no"),
         tx_max_week=F.max("week_no"),
     )
-    m.add(tx.groupBy(*RECEIPT_LINE).agg(_count().alias("n")), tx_repeated=F.sum(F.col("n") - 1))
+    keys = {"baskets": "basket_id", "stores": "store_id", "days": "day", "weeks": "week_no"}
+    for name, key in keys.items():
+        m.add(tx.select(key).distinct(), **{f"tx_{name}": F.count(key)})
+    m.settle()
+    m.add(repeated_rows(tx, RECEIPT_LINE), tx_repeated=F.sum(F.col("n") - 1))
+    m.settle()
     m.add(tx.select(*GRAIN).distinct(), tx_product_store_weeks=_count())
+    m.settle()
 
 
 def _measure_products(m: _Measures, tx: DataFrame, products: DataFrame) -> None:
@@ -170,6 +187,7 @@ def _measure_marketing(m: _Measures, s: Mapping[str, DataFrame]) -> None:
 def _measure_coverage(m: _Measures, tx: DataFrame, households: DataFrame) -> None:
     buyers = tx.select("household_key").filter(F.col("household_key").isNotNull()).distinct()
     known = households.select("household_key")
+    m.add(buyers, tx_households=_count())
     m.add(buyers.join(known, "household_key", "left_semi"), covered_households=_count())
     m.add(buyers.join(known, "household_key", "left_anti"), uncovered_households=_count())
 
@@ -192,13 +210,16 @@ def _measure_marts(m: _Measures, marts: Mapping[str, DataFrame]) -> None:
     )
     periods = marts["mart_household_period"].groupBy("household_key", "period_id").agg(_count().alias("n"))
     m.add(periods, period_rows=F.sum("n"), period_keys=_count())
+    m.settle()
     m.add(
         marts["mart_promotion_performance"],
         promotion_rows=F.sum("product_store_weeks"),
         promotion_sales_u=F.sum(wide_units("sales")),
         promotion_units=F.sum("units"),
     )
+    m.settle()
     m.add(marts["mart_categories"], sparse_categories=F.count_if(F.col("household_count") < SMALL_GROUP_HOUSEHOLDS))
+    m.settle()
     # the three distributions share one histogram pass
     values = (
         baskets.select(F.col("basket_spend").alias("outlier_baskets"))
@@ -293,8 +314,11 @@ def validation_checks(s: Mapping[str, DataFrame], marts: Mapping[str, DataFrame]
     tx = s["transactions"]
     _measure_transactions(m, tx)
     _measure_products(m, tx, s["products"])
+    m.settle()
     _measure_marketing(m, s)
+    m.settle()
     _measure_coverage(m, tx, s["households"])
+    m.settle()
     _measure_marts(m, marts)
     return as_checks(m.wide(), _definitions())
 
