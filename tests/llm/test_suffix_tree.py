@@ -125,3 +125,26 @@ def test_distributions_sum_to_at_most_one(spark, small):
         grams = np.array([code | a for a in range(256)], np.int64)
         total = (10 ** S._log_probability(grams, levels)).sum()
         assert total <= 1 + 1e-9
+
+
+@pytest.mark.parametrize("share, looked_up", [(0.0, 0), (2e-3, 300)])
+def test_joined_grams_and_words_score_as_those_looked_up(spark, small, monkeypatch, share, looked_up):
+    monkeypatch.setattr(S, "LEAST_SHARE", share)
+    monkeypatch.setattr(S, "LOOKED_UP", looked_up)
+    monkeypatch.setattr(S, "FREQUENT_SHARE", 2.0)
+    docs, texts = small
+    score = brute_tree([normal(t) for k, t in texts.items() if k % 3])
+    known = Counter(w for k, t in texts.items() if k % 3 for w in [*(t or "").encode().lower().split(), b"\n"])
+    n, v = known.total(), len(known)
+    for r in S.score_texts(docs, docs.filter("doc_id % 3 <> 0")).collect():
+        words = [*(texts[r.doc_id] or "").encode().lower().split(), b"\n"]
+        assert math.isclose(r.score, score(normal(texts[r.doc_id])), rel_tol=1e-6)
+        assert r.n_known == sum(w in known for w in words)
+        assert math.isclose(r.base_score, sum(math.log10((known[w] + 1) / (n + v + 1)) for w in words), rel_tol=1e-9)
+
+
+def test_rare_contexts_are_states_however_large_the_corpus(spark):
+    """Ten occurrences among 15 million positions, less than a millionth."""
+    docs = spark.createDataFrame([(0, "ab " * 5_000_000)] + [(k, "qzxj kvw") for k in range(1, 11)], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in S.score_texts(docs.filter("doc_id = 1"), docs).collect()}
+    assert got[1] > -1  # nine symbols; by their share alone each would have about -6
